@@ -30,5 +30,18 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(load(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p3_found": p3_found, "p7_ids": p7_ids}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    from chartweave.llm.leaks import leaked_items
+
+    leaks = leaked_items(spark, load(spark, d, "documents"), "doc_id", "text", load(spark, d, "eval_passage"), "item_id", "passage", run=12, seed=6)
+    return leaks.where(F.col("longest") >= 12).select("doc_id", "item_id")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    from chartweave.llm.encodings import garbled_texts
+
+    return garbled_texts(spark, load(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p3_found": p3_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 SQL: dict[str, str] = {}
