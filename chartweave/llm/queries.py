@@ -24,6 +24,12 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("a").alias("row_id_a"), F.col("b").alias("row_id_b"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    from chartweave.llm.pii import find_items
+
+    return find_items(spark, load(spark, d, "clinical_note"), "row_id", ["text", "author"], load(spark, d, "staff_roster"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     from chartweave.llm.tokens import encode_corpus
 
@@ -43,5 +49,5 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return garbled_texts(spark, load(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p3_found": p3_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 SQL: dict[str, str] = {}
