@@ -47,8 +47,8 @@ def field_value(field: str) -> Column:
     return F.nullif(F.trim(F.col(field).cast("string")), F.lit(""))
 
 
-def answer(f: Filter, kinds: dict[str, str] | None = None) -> Column:
-    """True, false or null (unanswerable) for a value that isn't missing."""
+def answer(f: Filter, kinds: dict[str, str] | None = None, days: Column | None = None) -> Column:
+    """True, false or null (unanswerable) for a value that isn't missing.  ``days``: the field's interval, where it is at hand."""
     kind = (kinds or KINDS)[f.field]
     x = field_value(f.field)
     low = F.lower(x)
@@ -76,7 +76,7 @@ def answer(f: Filter, kinds: dict[str, str] | None = None) -> Column:
         return F.when(ok, hit)
     plain = (low == text(f.value)) if f.op == "==" else (low != text(f.value))
     if kind == "date":
-        a, b = interval(x), interval(f.value if value is not None else F.lit(str(f.value)))
+        a, b = (interval(x) if days is None else days), interval(f.value if value is not None else F.lit(str(f.value)))
         known = F.when(a.isNotNull() & b.isNotNull(), may_satisfy(a, f.op, b))
         return known if f.op in ORDERED else F.when(a.isNotNull() & b.isNotNull(), known).otherwise(plain)
     return plain
@@ -84,16 +84,24 @@ def answer(f: Filter, kinds: dict[str, str] | None = None) -> Column:
 
 def verdicts(df: DataFrame, filters: list[Filter], kinds: dict[str, str] | None = None) -> DataFrame:
     """Adds ``first_failed`` (index of the first filter failed, null if none) and ``why`` (no_match, missing, unanswerable)."""
-    failed, why = F.lit(None).cast("int"), F.lit(None).cast("string")
-    for i, f in reversed(list(enumerate(filters))):
-        f.checked(kinds) if not isinstance(f.value, Column) else None
-        missing = field_value(f.field).isNull()
-        got = answer(f, kinds)
-        keep = F.when(missing, F.lit(f.keep_if_missing)).otherwise(F.coalesce(got, F.lit(f.keep_if_missing)))
-        reason = F.when(missing, "missing").when(got.isNull(), "unanswerable").otherwise("no_match")
-        failed = F.when(~keep, F.lit(i)).otherwise(failed)
-        why = F.when(~keep, reason).otherwise(why)
-    return df.withColumn("first_failed", failed).withColumn("why", why)
+    kind = lambda f: (kinds or KINDS)[f.field]
+    # values, intervals and answers are columns of their own, so that none is computed twice
+    intervals = {f.field: interval(field_value(f.field)).alias(f"__days_{f.field}") for f in filters if kind(f) == "date"}
+    out = df.select("*", *intervals.values())
+    for f in filters:
+        if not isinstance(f.value, Column):
+            f.checked(kinds)
+    got = [answer(f, kinds, F.col(f"__days_{f.field}") if f.field in intervals else None).alias(f"__got_{i}") for i, f in enumerate(filters)]
+    out = out.select("*", *got)
+    failed, why = [], []
+    for i, f in enumerate(filters):
+        missing, g = field_value(f.field).isNull(), F.col(f"__got_{i}")
+        keep = F.when(missing | g.isNull(), F.lit(f.keep_if_missing)).otherwise(g)
+        failed.append(F.when(~keep, F.lit(i)))
+        why.append(F.when(~keep, F.when(missing, "missing").when(g.isNull(), "unanswerable").otherwise("no_match")))
+    none = F.lit(None)
+    out = out.select(*df.columns, F.coalesce(*failed, none.cast("int")).alias("first_failed"), F.coalesce(*why, none.cast("string")).alias("why"))
+    return out
 
 
 def kept(df: DataFrame, filters: list[Filter], kinds: dict[str, str] | None = None) -> DataFrame:

@@ -1,14 +1,39 @@
-"""The registered queries of the core."""
+"""The registered queries of the core, each with its SQL where SQL can say the same."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
+from chartweave.functions import dates, text
+from chartweave.operators import answers, chunks, deid, evaluation, ingest, packing, ranking, retrieval, runs, validation
+from chartweave.plans import filters
+from chartweave.plans.filters import Filter
 from chartweave.session import load
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
 
+
+def query(sql: str | None = None) -> Callable:
+    """Registers a function under its name, with its SQL."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- normalising ---
+
+
+@query()
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     from chartweave.operators.timestamps import chart_timestamps
 
@@ -16,12 +41,28 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return chart_timestamps(spark, {t: (load(spark, d, t), f, day) for t, (f, day) in fields.items()}, load(spark, d, "care_site"))
 
 
+# The islands are found the other way here: a new one begins where a start lies beyond the greatest end before it.
+@query(r"""
+with o as (
+  select patient_id, trim(regexp_replace(upper(medication), '\s+', ' ', 'g')) as medication,
+         try_cast(substr(trim(start_date), 1, 10) as date) as s, try_cast(substr(trim(end_date), 1, 10) as date) as e
+  from med_orders),
+k as (select * from o where patient_id is not null and medication <> '' and s <= e),
+m as (select *, max(e) over (partition by patient_id, medication order by s, e rows between unbounded preceding and 1 preceding) as before from k),
+g as (select *, sum(case when before is null or s > before + 1 then 1 else 0 end) over (partition by patient_id, medication order by s, e rows unbounded preceding) as island from m),
+p as (select patient_id, medication, island, min(s) as a, max(e) as b from g group by all),
+n as (select *, lead(a) over (partition by patient_id, medication order by a) as next_a from p)
+select patient_id, medication, 'period' as kind, cast(a as varchar) as first_day, cast(b as varchar) as last_day from n
+union all
+select patient_id, medication, 'gap', cast(b + 1 as varchar), cast(next_a - 1 as varchar) from n where next_a is not null
+""")
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     from chartweave.operators.intervals import order_periods
 
     return order_periods(load(spark, d, "med_orders"))
 
 
+@query()
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     from chartweave.operators.units import common_units
 
@@ -33,22 +74,416 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     ])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p5_found": p5_found, "p6_found": p6_found}
+# --- ingest ---
 
-SQL: dict[str, str] = {
-    # Here the islands are found the other way: a new one begins where a start lies beyond the greatest end before it.
-    "p5_found": r"""
-with o as (
-  select patient_id, trim(regexp_replace(upper(medication), '\s+', ' ', 'g')) as medication,
-         try_cast(substr(trim(start_date), 1, 10) as date) as s, try_cast(substr(trim(end_date), 1, 10) as date) as e
-  from med_orders),
-k as (select * from o where patient_id is not null and medication <> '' and s <= e),
-m as (select *, max(e) over (partition by patient_id, medication order by s, e rows between unbounded preceding and 1 preceding) as before from k),
-g as (select *, sum(case when before is null or s > before + 1 then 1 else 0 end) over (partition by patient_id, medication order by s, e rows unbounded preceding) as island from m),
-p as (select patient_id, medication, island, min(s) as a, max(e) as b from g group by all),
-n as (select *, lead(a) over (partition by patient_id, medication order by a) as next_a from p)
-select patient_id, medication, 'period' as kind, cast(a as varchar) as first_day, cast(b as varchar) as last_day from n
-union all
-select patient_id, medication, 'gap', cast(b + 1 as varchar), cast(next_a - 1 as varchar) from n where next_a is not null
-""",
-}
+OPTIONAL = ["date_of_death", "age_at_death", "marital_status", "occupation", "smoking_started", "smoking_quit", "alcohol_use", "comment"]
+
+
+@query(f"select row_id, patient_id from demographics where {' or '.join(c + ' is not null' for c in OPTIONAL)}")
+def ingest_strip_empty(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.strip_empty(load(spark, d, "demographics"), OPTIONAL).select("row_id", "patient_id")
+
+
+_NULLS = ", ".join(f"'{t}'" for t in text.NULL_TOKENS)
+
+
+@query(f"""
+select row_id, case when date_of_death not in ({_NULLS}) then date_of_death end as date_of_death,
+       case when comment not in ({_NULLS}) then comment end as comment, case when language not in ({_NULLS}) then language end as language
+from demographics""")
+def ingest_null_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.nulled(load(spark, d, "demographics").select("row_id", "date_of_death", "comment", "language"))
+
+
+@query(r"""
+with v as (select row_id, "date" as raw, trim("date") as t from clinical_note),
+k as (select *, regexp_matches(t, '^\d{4}-\d{2}-\d{2}(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?$') as iso,
+             regexp_matches(t, '^\d{1,2}/\d{1,2}/\d{4}(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?$') as slash from v),
+p as (select *, case when iso then substr(t, 1, 10)
+                     when slash then regexp_extract(t, '/(\d{4})', 1) || '-' || lpad(regexp_extract(t, '^(\d{1,2})/', 1), 2, '0') || '-' || lpad(regexp_extract(t, '/(\d{1,2})/', 1), 2, '0') end as ds,
+             regexp_extract(t, '[T ](\d{1,2}):\d{2}', 1) as h, regexp_extract(t, '[T ]\d{1,2}:(\d{2})', 1) as mi,
+             coalesce(nullif(regexp_extract(t, '[T ]\d{1,2}:\d{2}:(\d{2})', 1), ''), '00') as s,
+             case when regexp_matches(t, ':\d{2}(?:\.\d+)?[+-]\d{2}:?\d{2}$') then regexp_extract(t, '([+-]\d{2}:?\d{2})$', 1) end as z from k),
+q as (select *, try_cast(ds as date) as d, case when z is null then 0 else (cast(substr(z, 2, 2) as int) * 60 + cast(right(z, 2) as int)) * (case when z[1] = '-' then -1 else 1 end) end as off from p)
+select row_id, raw, case when d is null then raw when h = '' then cast(d as varchar)
+  when cast(h as int) <= 23 and cast(mi as int) <= 59 and cast(s as int) <= 59
+  then strftime(cast(d as timestamp) + to_seconds(cast(h as int) * 3600 + cast(mi as int) * 60 + cast(s as int) - off * 60), '%Y-%m-%dT%H:%M:%SZ')
+  else raw end as iso from q""")
+def ingest_iso_dates(spark: SparkSession, d: str) -> DataFrame:
+    return load(spark, d, "clinical_note").select("row_id", F.col("date").alias("raw"), dates.canonical(F.col("date")).alias("iso"))
+
+
+SHAPED = ["date_of_birth", "recent_encounter_date", "zipcode", "recent_height_cm", "date_of_death", "smoking_history_taken", "insurance_type"]
+_LONG = lambda cols, t, row="row_id": " union all ".join(f"""select {row} as r, '{c}' as "column", cast("{c}" as varchar) as value from {t} where "{c}" is not null""" for c in cols)
+
+
+@query(f"""
+with l as ({_LONG(SHAPED, 'demographics')}), f as (select *, row_number() over (partition by "column" order by r) as n from l)
+select "column", count(*) as sampled, count(*) filter (regexp_matches(value, '{dates.DATE_SHAPE}')) as shaped,
+       count(*) filter (regexp_matches(value, '{dates.DATE_SHAPE}')) >= count(*) * 0.6 as is_date from f where n <= 100 group by 1""")
+def ingest_date_column_detect(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.date_columns(load(spark, d, "demographics"), "row_id", SHAPED)
+
+
+@query(f"""
+with l as ({_LONG(['date', 'age'], 'clinical_note')}), c as (select "column", value, count(*) as n from l where regexp_matches(value, '{dates.TWO_DIGIT_YEAR}') group by all),
+r as (select *, row_number() over (partition by "column" order by value) as k from c)
+select "column", cast(sum(n) as bigint) as offenders, string_agg(value, '; ' order by value) filter (k <= 5) as examples from r group by 1""")
+def ingest_two_digit_year(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.two_digit_years(load(spark, d, "clinical_note"), "row_id", ["date", "age"])
+
+
+@query(rf"""
+with l as ({_LONG(['sig', 'infusion_rate', 'pat_enc_csn_id'], 'med_admin')}), f as (select *, row_number() over (partition by "column" order by r) as n from l)
+select "column", arg_min(value, n) as example from f where n <= 200 and regexp_matches(trim(value), '^[0-9](\.[0-9]+)?[eE]\+[0-9]{{2,}}$') group by 1""")
+def ingest_excel_mangle(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.mangled_columns(load(spark, d, "med_admin"), "row_id", ["sig", "infusion_rate", "pat_enc_csn_id"])
+
+
+def _preflight(spark: SparkSession, d: str) -> DataFrame:
+    c = F.col
+    return ingest.preflight(load(spark, d, "clinical_note"), "patient_id", "row_id", [
+        ("blank_text", False, text.is_blank(c("text"))),
+        ("no_date", False, text.is_blank(c("date"))),
+        ("no_author", False, text.is_blank(c("author"))),
+        ("two_digit_year", True, F.coalesce(dates.has_two_digit_year(c("date")), F.lit(False))),
+        ("unsafe_id", True, ~F.coalesce(c("patient_id").rlike(ingest.SAFE_ID), F.lit(False))),
+    ])
+
+
+_PREFLIGHT = rf"""
+with i as (
+  select patient_id, row_id, 'blank_text' as issue, false as blocking from clinical_note where text is null or not regexp_matches(text, '\S')
+  union all select patient_id, row_id, 'no_date', false from clinical_note where "date" is null or not regexp_matches("date", '\S')
+  union all select patient_id, row_id, 'no_author', false from clinical_note where author is null or not regexp_matches(author, '\S')
+  union all select patient_id, row_id, 'two_digit_year', true from clinical_note where regexp_matches("date", '{dates.TWO_DIGIT_YEAR}')
+  union all select patient_id, row_id, 'unsafe_id', true from clinical_note where not coalesce(regexp_matches(patient_id, '{ingest.SAFE_ID}'), false)),
+g as (select patient_id, issue, blocking, count(*) as occurrences, min(row_id) as first_row from i group by all)"""
+
+
+@query(_PREFLIGHT + " select * from g")
+def ingest_preflight_issues(spark: SparkSession, d: str) -> DataFrame:
+    return _preflight(spark, d)
+
+
+@query(_PREFLIGHT + " select patient_id, bool_or(blocking) as blocked, count(*) filter (not blocking) as advisories, count(*) filter (blocking) as blockers from g group by 1")
+def ingest_preflight_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.patient_verdicts(_preflight(spark, d), "patient_id")
+
+
+@query("""
+with a as (select row_id, min(source_text_sha256) as h from chunk_index group by 1), b as (select row_id, sha256(text) as h from clinical_note)
+select coalesce(a.row_id, b.row_id) as row_id, case when a.row_id is null then 'added' when b.row_id is null then 'removed' else 'changed' end as change
+from a full join b on a.row_id = b.row_id where a.row_id is null or b.row_id is null or a.h is distinct from b.h""")
+def ingest_snapshot_changes(spark: SparkSession, d: str) -> DataFrame:
+    before = load(spark, d, "chunk_index").groupBy("row_id").agg(F.min("source_text_sha256").alias("content_hash"))
+    return ingest.snapshot_changes(before, ingest.snapshot(load(spark, d, "clinical_note"), ["row_id"], "text"), ["row_id"])
+
+
+@query("select distinct patient_id, 'quarantine' as action from med_admin m where not exists (select 1 from demographics g where g.patient_id = m.patient_id)")
+def ingest_orphans(spark: SparkSession, d: str) -> DataFrame:
+    derived = load(spark, d, "med_admin").select("patient_id").distinct()
+    return ingest.orphans(derived, load(spark, d, "demographics"), ["patient_id"])
+
+
+@query(f"select title, count(*) as rows from clinical_note group by 1 having not coalesce(regexp_matches(title, '{ingest.SAFE_ID}'), false)")
+def ingest_unsafe_ids(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.unsafe_ids(load(spark, d, "clinical_note"), "title")
+
+
+@query(r"""
+select row_id, patient_id, source_column, cast(length(text) as int) as n_chars, nullif("date", '') as document_date, nullif("type", '') as doc_type from (
+  select row_id, patient_id, 'title' as source_column, title as text, "date", "type" from clinical_note
+  union all select row_id, patient_id, 'text', text, "date", "type" from clinical_note) where regexp_matches(text, '\S')""")
+def ingest_corpus_cells(spark: SparkSession, d: str) -> DataFrame:
+    cells = ingest.corpus_cells(load(spark, d, "clinical_note"), "row_id", "patient_id", ["title", "text"], {"document_date": "date", "doc_type": "type"})
+    return cells.select("row_id", "patient_id", "source_column", F.length("text").alias("n_chars"), "document_date", "doc_type")
+
+
+# --- chunks ---
+
+_SPANS = r"""
+with t as (select row_id, regexp_extract_all(text, '[ \t\r\n]*[^ \t\r\n]+') as r from clinical_note where regexp_matches(text, '\S')),
+u as (select row_id, unnest(r) as x, generate_subscripts(r, 1) as i from t),
+s as (select row_id, i - 1 as i, sum(length(x)) over (partition by row_id order by i) as hi, length(regexp_replace(x, '^[ \t\r\n]+', '')) as n, count(*) over (partition by row_id) as total from u),
+c as (select distinct row_id, total, case when total <= 300 then 1 else cast(ceil((total - 300) / 250.0) as int) + 1 end as k from s),
+w as (select row_id, total, k, unnest(range(k)) as chunk_idx from c)"""
+
+
+@query(_SPANS + """
+select w.row_id, cast(w.chunk_idx as int) as chunk_idx, cast(min(s.hi - s.n) as bigint) as char_start, cast(max(s.hi) as bigint) as char_end, cast(count(*) as int) as token_count,
+       cast(w.total as int) as parent_tokens, cast(w.k as int) as num_chunks
+from w join s on s.row_id = w.row_id and s.i >= w.chunk_idx * 250 and s.i < w.chunk_idx * 250 + 300 group by w.row_id, w.chunk_idx, w.total, w.k""")
+def chunk_windows(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.token_windows(load(spark, d, "clinical_note"), ["row_id"], "text", 300, 50, r"[^ \t\r\n]+")
+
+
+@query(_SPANS + """
+select row_id, cast(0 as int) as chunk_idx, cast(min(hi - n) as bigint) as char_start, cast(max(hi) as bigint) as char_end, cast(count(*) as int) as token_count,
+       cast(max(total) as int) as parent_tokens, cast(1 as int) as num_chunks from s where i < 256 group by row_id""")
+def chunk_single(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.single_windows(load(spark, d, "clinical_note"), ["row_id"], "text", 256).withColumn("chunk_idx", F.col("chunk_idx").cast("int"))
+
+
+@query("select doc_id, 'sha256:' || sha256(text) as source_text_sha256 from documents")
+def chunk_row_hash(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.row_hashes(load(spark, d, "documents"), ["doc_id"], "text")
+
+
+@query("""
+select c.chunk_id, case when n.row_id is null or n.text is null then 'gone' when c.source_text_sha256 <> sha256(n.text) then 'stale' else 'ok' end as status,
+       case when c.source_text_sha256 = sha256(n.text) then md5(substring(n.text, c.char_start + 1, c.char_end - c.char_start)) end as text_md5
+from chunk_index c left join clinical_note n on n.row_id = c.row_id""")
+def chunk_text_resolve(spark: SparkSession, d: str) -> DataFrame:
+    out = chunks.resolved(load(spark, d, "chunk_index"), load(spark, d, "clinical_note"), ["row_id"], "text")
+    return out.select("chunk_id", "status", F.md5("chunk_text").alias("text_md5"))
+
+
+@query("select chunk_id, cast(count(*) over (partition by patient_id, source_stem, row_id, source_column) as int) as num_chunks from chunk_index")
+def chunk_num_chunks(spark: SparkSession, d: str) -> DataFrame:
+    out = chunks.chunk_counts(load(spark, d, "chunk_index").drop("num_chunks"), ["patient_id", "source_stem", "row_id", "source_column"])
+    return out.select("chunk_id", "num_chunks")
+
+
+@query("select source_file || ':' || row_id as chunk_id, count(*) as copies from chunk_index group by 1 having count(*) > 1")
+def chunk_duplicate_ids(spark: SparkSession, d: str) -> DataFrame:
+    rows = load(spark, d, "chunk_index").select(F.concat_ws(":", "source_file", F.col("row_id").cast("string")).alias("chunk_id"))
+    return chunks.duplicate_ids(rows)
+
+
+@query("select chunk_id, patient_id || ':' || source_stem || ':' || row_id || ':' || chunk_idx as built_id from chunk_index")
+def chunk_ids(spark: SparkSession, d: str) -> DataFrame:
+    c = load(spark, d, "chunk_index").withColumnRenamed("chunk_id", "given")
+    return chunks.addressed(c, "patient_id", "source_stem", "row_id").select(F.col("given").alias("chunk_id"), F.col("chunk_id").alias("built_id"))
+
+
+RENDERED = ["medication", "route", "dose_unit", "sig", "infusion_rate", "mar_action"]
+
+
+@query("select row_id, concat_ws(chr(10), " + ", ".join(f"case when regexp_matches({c}, '\\S') then '{c}: ' || {c} end" for c in RENDERED) + ") as rendered from med_admin")
+def table_row_render(spark: SparkSession, d: str) -> DataFrame:
+    return load(spark, d, "med_admin").select("row_id", chunks.rendered_row(RENDERED).alias("rendered"))
+
+
+@query("""
+select chunk_id, nullif(document_date, '') as document_date, nullif(age, '') as age, nullif(doc_type, '') as doc_type, nullif(author, '') as author from chunk_index
+union all select patient_id || ':med_orders:' || row_id || ':TABLE', nullif(order_date, ''), nullif(order_age, ''), null, nullif(prescribing_provider, '') from med_orders""")
+def chunk_metadata(spark: SparkSession, d: str) -> DataFrame:
+    orders = load(spark, d, "med_orders").withColumn("id", F.concat(F.col("patient_id"), F.lit(":med_orders:"), F.col("row_id").cast("string"), F.lit(":TABLE")))
+    names = {"document_date": "order_date", "age": "order_age", "doc_type": None, "author": "prescribing_provider"}
+    return chunks.chunk_metadata(load(spark, d, "chunk_index"), ["document_date", "age", "doc_type", "author"], [(orders, "id", names)])
+
+
+@query("""
+with n as (select label, sqrt(list_dot_product(cast(embedding as double[]), cast(embedding as double[]))) as norm, embedding is null as missing from embeddings)
+select label, count(*) as rows, count(*) filter (missing) as missing, cast(0 as bigint) as nan, cast(0 as bigint) as infinite, count(*) filter (norm < 1e-12) as zero,
+       count(*) filter (norm >= 1e-12 and abs(norm - 1) > 1e-3) as off_norm,
+       count(*) filter (missing or norm < 1e-12 or abs(norm - 1) > 1e-3) = 0 as ok from n group by 1""")
+def embed_validate(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.embedding_report(load(spark, d, "embeddings"), "label")
+
+
+@query()
+def embed_batch(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.embedded(load(spark, d, "documents"), "doc_id", "text", 64)
+
+
+# --- retrieval ---
+
+QUESTION = "ankle swelling after the third infusion"
+NEEDLE = "third infusion"
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return load(spark, d, "documents")
+
+
+def _bm25(where: str = "true", question: str = QUESTION) -> str:
+    words = sorted(set(question.split()))
+    wanted = ", ".join(f"('{w}', {question.split().count(w)})" for w in words)
+    return f"""
+t as (select source, doc_id, regexp_extract_all(lower(text), '([a-z0-9]+)') as toks from documents where {where}),
+z as (select source, count(*) as n, avg(coalesce(len(toks), 0)) as avgdl from t group by 1),
+e as (select source, doc_id, len(toks) as dl, unnest(toks) as word from t),
+f as (select source, word, count(distinct doc_id) as df from e group by all),
+i as (select f.source, word, avgdl, ln(n - df + 0.5) - ln(df + 0.5) as raw from f join z on f.source = z.source),
+m as (select source, avg(raw) as mean from i group by 1),
+w(word, times) as (values {wanted}),
+q as (select i.source, i.word, times, avgdl, case when raw < 0 then 0.25 * mean else raw end as idf from i join w on i.word = w.word join m on m.source = i.source),
+c as (select source, doc_id, dl, word, count(*) as tf from e group by all),
+sc as (select c.source, c.doc_id, sum(times * idf * tf * 2.5 / (tf + 1.5 * (1 - 0.75 + 0.75 * dl / avgdl))) as score from c join q on q.source = c.source and q.word = c.word group by all),
+rk as (select source, doc_id as chunk_id, cast(row_number() over (partition by source order by round(score, 9) desc, doc_id) as int) as rank, score from sc where score > 0)"""
+
+
+_EXACT = f"""
+xh as (select source, doc_id, cast((length(lower(text)) - length(replace(lower(text), '{NEEDLE}', ''))) // {len(NEEDLE)} as double) as score from documents),
+xr as (select source, doc_id as chunk_id, cast(row_number() over (partition by source order by score desc, doc_id) as int) as rank, score from xh where score > 0)"""
+
+
+@query(f"with {_EXACT} select source, chunk_id, rank, score from xr where rank <= 20")
+def retrieve_exact(spark: SparkSession, d: str) -> DataFrame:
+    return retrieval.exact(_docs(spark, d), "source", "doc_id", "text", NEEDLE, 20).select("source", "chunk_id", "rank", "score")
+
+
+@query(f"with {_bm25()} select source, chunk_id, rank, round(score, 6) as score from rk where rank <= 20")
+def retrieve_bm25(spark: SparkSession, d: str) -> DataFrame:
+    return retrieval.bm25(_docs(spark, d), "source", "doc_id", "text", QUESTION, 20).select("source", "chunk_id", "rank", F.round("score", 6).alias("score"))
+
+
+LANG = "en"
+
+
+@query(f"with {_bm25(f'''lang = '{LANG}' ''')} select source, chunk_id, rank, round(score, 6) as score from rk where rank <= 20")
+def retrieve_bm25_source_filtered(spark: SparkSession, d: str) -> DataFrame:
+    some = _docs(spark, d).where(F.col("lang") == LANG)
+    return retrieval.bm25(some, "source", "doc_id", "text", QUESTION, 20).select("source", "chunk_id", "rank", F.round("score", 6).alias("score"))
+
+
+def _knn(k: int, more: str = "") -> str:
+    return f"""
+s as (select q.vec_id as query_id, v.vec_id as chunk_id, list_dot_product(cast(q.embedding as double[]), cast(v.embedding as double[])) as score
+      from embeddings q join embeddings v on q.vec_id % 50 = 0 and q.vec_id <> v.vec_id {more}),
+r as (select *, cast(row_number() over (partition by query_id order by round(score, 9) desc, chunk_id) as int) as rank from s), k as (select * from r where rank <= {k})"""
+
+
+def _queries(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    v = load(spark, d, "embeddings")
+    return v, v.where(F.col("vec_id") % 50 == 0)
+
+
+@query(f"with {_knn(10)} select query_id, chunk_id, rank, round(score, 6) as score from k")
+def retrieve_knn(spark: SparkSession, d: str) -> DataFrame:
+    v, q = _queries(spark, d)
+    return retrieval.knn(spark, v, "vec_id", "embedding", q, "vec_id", 10).select("query_id", "chunk_id", "rank", F.round("score", 6).alias("score"))
+
+
+@query(f"""
+with {_knn(40)}, f as (select k.query_id, k.chunk_id, k.score from k join embeddings e on e.vec_id = k.chunk_id where e.label in (1, 3, 5)),
+g as (select *, cast(row_number() over (partition by query_id order by round(score, 9) desc, chunk_id) as int) as rank from f)
+select query_id, chunk_id, rank, round(score, 6) as score from g where rank <= 10""")
+def retrieve_knn_postfilter(spark: SparkSession, d: str) -> DataFrame:
+    v, q = _queries(spark, d)
+    out = retrieval.knn_then_filter(spark, v, "vec_id", "embedding", q, "vec_id", 10, 4, v.where(F.col("label").isin(1, 3, 5)))
+    return out.select("query_id", "chunk_id", "rank", F.round("score", 6).alias("score"))
+
+
+def _hybrid(spark: SparkSession, d: str, method: str, weights: dict[str, float]) -> DataFrame:
+    docs, k = _docs(spark, d), 10
+    depth = retrieval.member_depth(k)
+    members, _ = retrieval.run_members([
+        ("bm25", lambda: retrieval.bm25(docs, "source", "doc_id", "text", QUESTION, depth)),
+        ("exact", lambda: retrieval.exact(docs, "source", "doc_id", "text", NEEDLE, depth)),
+    ])
+    out = retrieval.fused(members, ["source"], k, method, weights)
+    return out.select("source", "chunk_id", "rank", F.round("score", 6).alias("score"), "retriever")
+
+
+def _fusion(a: str, b: str) -> str:
+    return f"""with {_bm25()}, {_EXACT},
+u as (select source, chunk_id, {a} as part, 0 as o from rk where rank <= 20 union all select source, chunk_id, {b}, 1 from xr where rank <= 20),
+g as (select source, chunk_id, sum(part) as score, case when min(o) = 0 then 'bm25' else 'exact' end as retriever from u group by all),
+h as (select *, cast(row_number() over (partition by source order by round(score, 9) desc, chunk_id) as int) as rank from g)
+select source, chunk_id, rank, round(score, 6) as score, retriever from h where rank <= 10"""
+
+
+@query(_fusion("1.0::double / (60 + rank)", "2.0::double / (60 + rank)"))
+def retrieve_hybrid_rrf(spark: SparkSession, d: str) -> DataFrame:
+    return _hybrid(spark, d, "reciprocal_rank", {"bm25": 1.0, "exact": 2.0})
+
+
+@query(_fusion("0.5::double * score", "0.25::double * score"))
+def retrieve_hybrid_weighted(spark: SparkSession, d: str) -> DataFrame:
+    return _hybrid(spark, d, "weighted_sum", {"bm25": 0.5, "exact": 0.25})
+
+
+@query("""
+with r as (select site_code, row_id as chunk_id, cast(row_number() over (partition by site_code order by row_id) as int) as rank from med_orders where contains(medication, 'TABLET'))
+select site_code, chunk_id, rank, 1.0::double as score from r where rank <= 10""")
+def retrieve_direct_rows(spark: SparkSession, d: str) -> DataFrame:
+    out = retrieval.table_rows(load(spark, d, "med_orders"), "site_code", "row_id", "medication contains 'TABLET'", 10)
+    return out.select("site_code", "chunk_id", "rank", "score")
+
+
+@query(f"""
+with {_bm25()}, a as (select * from rk where rank <= 5), l as (select source, max(rank) as last from a group by 1),
+n as (select source, doc_id as chunk_id, row_number() over (partition by source order by document_date desc nulls last, case when document_date is not null then doc_id end desc nulls last, doc_id) as r
+      from documents d where not exists (select 1 from a where a.source = d.source and a.chunk_id = d.doc_id))
+select source, chunk_id, rank, round(score, 6) as score, 'bm25' as retriever from a
+union all select n.source, n.chunk_id, cast(coalesce(last, 0) + r as int), 0.0, 'recent' from n left join l on l.source = n.source where r <= 5""")
+def retrieve_recent_union(spark: SparkSession, d: str) -> DataFrame:
+    docs = _docs(spark, d)
+    out = retrieval.with_recent(retrieval.bm25(docs, "source", "doc_id", "text", QUESTION, 5), docs, "source", "doc_id", "document_date", 5)
+    return out.withColumn("rank", F.col("rank").cast("int")).withColumn("score", F.round("score", 6))
+
+
+@query(f"with {_bm25()} select source, string_agg(chunk_id, ',' order by rank) as selected, count(*) as n from rk where rank <= 10 group by 1")
+def retrieve_record(spark: SparkSession, d: str) -> DataFrame:
+    out = retrieval.retrieval_record(retrieval.bm25(_docs(spark, d), "source", "doc_id", "text", QUESTION, 10), ["source"], "bm25 k=10")
+    return out.select("source", F.array_join(F.transform("selected_chunk_ids", lambda x: x.cast("string")), ",").alias("selected"), F.size("candidates").cast("long").alias("n"))
+
+
+# --- filters ---
+
+
+@query("""
+select chunk_id from chunk_index
+where contains(lower(trim(doc_type)), 'notes') and trim(doc_type) <> '' and coalesce(not contains(lower(trim(author)), 'pool'), true) and coalesce(lower(trim(title)) <> 'surgical - weekly check', true)""")
+def filter_text_ops(spark: SparkSession, d: str) -> DataFrame:
+    fs = [Filter("doc_type", "contains", "notes"), Filter("author", "not_contains", "pool", True), Filter("title", "!=", "Surgical - weekly check", True)]
+    return filters.kept(load(spark, d, "chunk_index"), fs).select("chunk_id")
+
+
+@query("select chunk_id, age from chunk_index where try_cast(trim(age) as double) >= 50 and try_cast(trim(age) as double) < 70 and isfinite(try_cast(trim(age) as double))")
+def filter_number_ops(spark: SparkSession, d: str) -> DataFrame:
+    return filters.kept(load(spark, d, "chunk_index"), [Filter("age", ">=", 50), Filter("age", "<", "70")]).select("chunk_id", "age")
+
+
+_LOHI = r"""
+d as (select chunk_id, nullif(trim(document_date), '') as x from chunk_index),
+i as (select chunk_id, x, case when regexp_matches(x, '^\d{4}-(\d{2}|XX)-(\d{2}|XX)([T ].*)?$') then try_cast(replace(replace(substr(x, 1, 7), '-XX', '-01'), 'XX', '01') || '-' || replace(substr(x, 9, 2), 'XX', '01') as date) end as day from d)"""
+
+
+@query(f"with {_LOHI} select chunk_id, x as document_date from i where x is not null and day >= date '2022-03-01' and day <= date '2023-12-31'")
+def filter_partial_dates(spark: SparkSession, d: str) -> DataFrame:
+    out = filters.kept(load(spark, d, "chunk_index"), [Filter("document_date", ">=", "2022-03-XX"), Filter("document_date", "<=", "2023-XX-XX")])
+    return out.select("chunk_id", F.trim("document_date").alias("document_date"))
+
+
+STATS = [Filter("author", "not_contains", "desk"), Filter("document_date", ">", "2022-06-15"), Filter("age", "<=", 80)]
+
+
+@query(f"""
+with {_LOHI}, v as (
+  select c.chunk_id, nullif(trim(c.author), '') as a, i.x, i.day, nullif(trim(c.age), '') as g from chunk_index c join i on i.chunk_id = c.chunk_id),
+w as (select chunk_id, case when a is null then 0 when contains(lower(a), 'desk') then 0 when x is null or day is null or not day > date '2022-06-15' then 1
+                            when g is null or try_cast(g as double) is null or not try_cast(g as double) <= 80 then 2 end as k,
+             case when a is null then 'missing' when contains(lower(a), 'desk') then 'no_match' when x is null then 'missing' when day is null then 'unanswerable'
+                  when not day > date '2022-06-15' then 'no_match' when g is null then 'missing' when try_cast(g as double) is null then 'unanswerable' else 'no_match' end as why from v)
+select cast(k as int) as filter_index, count(*) as dropped, count(*) filter (why = 'missing') as dropped_missing, count(*) filter (why = 'unanswerable') as dropped_unparseable, min(chunk_id) as example
+from w where k is not null group by 1""")
+def filter_drop_stats(spark: SparkSession, d: str) -> DataFrame:
+    return filters.drop_statistics(load(spark, d, "chunk_index"), STATS, "chunk_id")
+
+
+@query("""
+with p as (select chunk_id, patient_id, coalesce(try_cast(trim(age) as double) > 70, false) as ok from chunk_index), s as (select patient_id from p where ok group by 1)
+select p.chunk_id, s.patient_id is null as fell_back from p left join s on s.patient_id = p.patient_id where ok or s.patient_id is null""")
+def filter_fallback(spark: SparkSession, d: str) -> DataFrame:
+    out = filters.kept_or_all(load(spark, d, "chunk_index"), [Filter("age", ">", 70)], ["patient_id"])
+    return out.select("chunk_id", "fell_back")
+
+
+@query("""
+with v as (select patient_id, nullif(trim(min(legal_sex)), '') as s from demographics where patient_id is not null group by 1)
+select c.chunk_id, s is null or lower(s) = 'unknown' as filter_skipped from chunk_index c left join v on v.patient_id = c.patient_id
+where s is null or lower(s) = 'unknown' or (nullif(trim(c.title), '') is not null and contains(lower(trim(c.title)), lower(left(s, 1))))""")
+def filter_template_value(spark: SparkSession, d: str) -> DataFrame:
+    values = load(spark, d, "demographics").where(F.col("patient_id").isNotNull()).groupBy("patient_id").agg(F.min("legal_sex").alias("v"))
+    values = values.select("patient_id", F.when(F.lower(F.trim("v")) == "unknown", F.col("v")).otherwise(F.substring(F.trim("v"), 1, 1)).alias("v"))
+    out = filters.with_template_values(load(spark, d, "chunk_index"), Filter("title", "contains", None), values, ["patient_id"], "v")
+    return out.select("chunk_id", "filter_skipped")
+
+
+@query("select chunk_id from chunk_index where not coalesce(num_chunks > 4 and chunk_idx >= 2, false)")
+def filter_stop_if(spark: SparkSession, d: str) -> DataFrame:
+    return filters.stop_gate(load(spark, d, "chunk_index"), "num_chunks > 4 and chunk_idx >= 2").select("chunk_id")
