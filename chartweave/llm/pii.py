@@ -24,9 +24,10 @@ L = len(LABELS)
 AROUND = range(-3, 4)
 PAD = 4
 TRI = 1 << 14
-TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\S\n]+|\n|.", re.S)
+#: A token may carry one blank at its end, which spares most tokens of blanks.
+TOKEN = re.compile(r"[^\W\d_]+ ?|\d+ ?|\n|[^\S\n]+|. ?", re.S)
 #: Tokens that come this near to a label (in nats) are decoded, with their neighbours; all others are none.
-NEAR, MARGIN = 5.0, 8
+NEAR, MARGIN = 3.0, 4
 _TITLES = {"mr", "mrs", "ms", "miss", "dr", "prof", "md", "do", "rn", "np", "phd", "pa", "pharmd", "mbbs", "pgr"}
 
 
@@ -79,9 +80,20 @@ class Tokens:
     """Texts as token numbers with edges between them; the tables per token grow as new tokens come up."""
 
     def __init__(self):
-        self.number: dict[str, int] = {"": 0}
+        self.number: dict[str, int] = {}
+        self.plain: dict[str, int] = {"": 0}
         self.list = [""]
 
+    def _number(self, t: str) -> int:
+        """Twice the token's number, plus one if it carries a blank; -1 for blanks alone."""
+        if t != "\n" and t.isspace():
+            return -1
+        bare = t[:-1] if t[-1] == " " else t
+        if bare not in self.plain:
+            self.plain[bare] = len(self.list)
+            self.list.append(bare)
+        return 2 * self.plain[bare] + (bare is not t)
+
     def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Token numbers, start offsets, ends, and which text each belongs to (-1: an edge)."""
         ids, starts, ends, owner = [np.zeros(PAD, np.int64)], [np.zeros(PAD, np.int64)], [np.zeros(PAD, np.int64)], [np.full(PAD, -1)]
@@ -93,15 +105,13 @@ class Tokens:
             size = np.fromiter(map(len, toks), np.int64, len(toks))
             end = np.cumsum(size)
             for t in set(toks).difference(number):
-                number[t] = -1 if t != "\n" and t.isspace() else len(self.list)
-                if number[t] >= 0:
-                    self.list.append(t)
+                number[t] = self._number(t)
             n = np.fromiter(map(number.__getitem__, toks), np.int64, len(toks))
             keep = n >= 0
             edge = np.zeros(PAD, np.int64)
-            ids += [n[keep], edge]
+            ids += [n[keep] >> 1, edge]
             starts += [(end - size)[keep], edge]
-            ends += [end[keep], edge]
+            ends += [end[keep] - (n[keep] & 1), edge]
             owner += [np.full(int(keep.sum()), k), np.full(PAD, -1)]
         return tuple(map(np.concatenate, (ids, starts, ends, owner)))
 
@@ -181,13 +191,15 @@ def viterbi(emit: np.ndarray, begin: np.ndarray, end: np.ndarray, steps: np.ndar
     begin, size = begin[order], (end - begin)[order]
     longest = int(size[0])
     back = np.zeros((longest, len(begin), L), np.int8)
+    into = np.ascontiguousarray(steps.T)
     score = emit[begin] + steps[0]
     last = score.copy()
     for t in range(1, longest):
         m = int(np.searchsorted(-size, -t, "left"))
-        every = score[:m, :, None] + steps
-        back[t, :m] = every.argmax(1)
-        score = every.max(1) + emit[begin[:m] + t]
+        every = score[:m, None, :] + into
+        best = every.argmax(2)
+        back[t, :m] = best
+        score = np.take_along_axis(every, best[:, :, None], 2)[:, :, 0] + emit[begin[:m] + t]
         last[:m] = score
     now = (last + steps[:, 0]).argmax(1)
     rows = np.arange(len(begin))
