@@ -190,7 +190,11 @@ def clause(df: DataFrame, expression: str) -> Column:
 def table_rows(df: DataFrame, group: str | None, row_id: str, expression: str | None, k: int) -> DataFrame:
     """The first k rows, in table order, that satisfy a clause, each with score 1."""
     kept = df.where(clause(df, expression)) if expression else df
-    out = ranked(kept.withColumn("chunk_id", F.col(row_id)), [group] if group else [F.lit(1)], [F.asc(row_id)], k)
+    kept = kept.withColumn("chunk_id", F.col(row_id))
+    if group is None:  # the global top k first, so that the numbering sees k rows only
+        out = kept.orderBy(row_id).limit(k).withColumn("rank", F.row_number().over(W.orderBy(row_id)))
+    else:
+        out = ranked(kept, [group], [F.asc(row_id)], k)
     return out.withColumn("score", F.lit(1.0)).withColumn("retriever", F.lit("direct_parquet"))
 
 

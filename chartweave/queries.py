@@ -487,3 +487,499 @@ def filter_template_value(spark: SparkSession, d: str) -> DataFrame:
 @query("select chunk_id from chunk_index where not coalesce(num_chunks > 4 and chunk_idx >= 2, false)")
 def filter_stop_if(spark: SparkSession, d: str) -> DataFrame:
     return filters.stop_gate(load(spark, d, "chunk_index"), "num_chunks > 4 and chunk_idx >= 2").select("chunk_id")
+
+
+# --- ranking and packing ---
+
+SOURCE_WEIGHTS = {"discharge summary": 1.0, "pathology report": 0.5}
+
+
+def _candidates(spark: SparkSession, d: str, k: int = 20) -> DataFrame:
+    docs = _docs(spark, d)
+    found = retrieval.bm25(docs, "source", "doc_id", "text", QUESTION, k)
+    meta = docs.select(F.col("doc_id").alias("chunk_id"), "text", "doc_type", "title", "document_date", F.lit(None).cast("string").alias("author"))
+    return found.join(meta, "chunk_id")
+
+
+_CAND = f"{_bm25()}, cd as (select rk.*, d.text, d.doc_type, d.title, d.document_date from rk join documents d on d.doc_id = rk.chunk_id where rank <= 20)"
+_WORDS = ", ".join(f"'{w}'" for w in sorted(set(QUESTION.split())))
+_COMBINED = rf"""{_CAND}, cb as (
+  select *, 0.4::double / (60 + rank) + 0.4::double * len(list_intersect([{_WORDS}], list_distinct(regexp_extract_all(lower(text), '([\p{{L}}\p{{N}}_]+)')))) / {len(set(QUESTION.split()))}
+         + 0.2::double * case doc_type when 'discharge summary' then 1.0 when 'pathology report' then 0.5 else 0.0 end as combined from cd),
+cn as (select *, cast(row_number() over (partition by source order by round(combined, 6) desc, rank, chunk_id) as int) as new_rank from cb)"""
+
+
+def _with_combined(spark: SparkSession, d: str) -> DataFrame:
+    return ranking.combined(_candidates(spark, d), ["source"], F.lit(QUESTION), "text", "doc_type", SOURCE_WEIGHTS)
+
+
+@query(f"with {_COMBINED} select source, chunk_id, rank as prior_rank, new_rank, round(combined, 6) as combined from cn")
+def rank_combined(spark: SparkSession, d: str) -> DataFrame:
+    return _with_combined(spark, d).select("source", "chunk_id", "prior_rank", "new_rank", F.round("combined", 6).alias("combined"))
+
+
+def _by_date(order: str) -> str:
+    return f"""with {_CAND}, dd as (select *, try_cast(document_date as date) as day from cd),
+r as (select *, cast(row_number() over (partition by source order by day {order} nulls last, rank, chunk_id) as int) as new_rank from dd)
+select source, chunk_id, new_rank, round(1.0::double / new_rank, 6) as date_score from r"""
+
+
+@query(_by_date("desc"))
+def rank_newest(spark: SparkSession, d: str) -> DataFrame:
+    return ranking.by_date(_candidates(spark, d), ["source"], "document_date", True).select("source", "chunk_id", "new_rank", F.round("date_score", 6).alias("date_score"))
+
+
+@query(_by_date("asc"))
+def rank_oldest(spark: SparkSession, d: str) -> DataFrame:
+    return ranking.by_date(_candidates(spark, d), ["source"], "document_date", False).select("source", "chunk_id", "new_rank", F.round("date_score", 6).alias("date_score"))
+
+
+_SAME = r"replace(lower(trim(regexp_replace(text, '[ \t\r\n\f\v]+', ' ', 'g'))), 'ß', 'ss')"
+_DEDUP = rf"""{_COMBINED}, cs as (select *, case when regexp_matches(text, '\S') then sha256({_SAME}) else chr(1) || chunk_id end as same from cn),
+cu as (select * from cs qualify row_number() over (partition by source, same order by new_rank, chunk_id) = 1)"""
+
+
+@query(f"with {_DEDUP} select source, chunk_id, new_rank from cu")
+def rank_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return ranking.without_copies(_with_combined(spark, d), ["source"], "text").select("source", "chunk_id", "new_rank")
+
+
+_TRIM = f"{_DEDUP}, ct as (select *, cast(row_number() over (partition by source order by new_rank, chunk_id) as int) as final_rank from cu), cf as (select * from ct where final_rank <= 5)"
+
+
+@query(f"with {_TRIM} select source, chunk_id, final_rank from cf")
+def rank_composed(spark: SparkSession, d: str) -> DataFrame:
+    out = ranking.rerank(_candidates(spark, d), ["source"], F.lit(QUESTION), "text", "doc_type", "document_date", 5, source_weights=SOURCE_WEIGHTS)
+    return out.select("source", "chunk_id", "final_rank")
+
+
+@query(f"""with {_TRIM} select source, chunk_id, final_rank,
+cast(row_number() over (partition by source order by try_cast(document_date as date) asc nulls last, final_rank) as int) as read_pos from cf""")
+def rank_chronological(spark: SparkSession, d: str) -> DataFrame:
+    out = ranking.rerank(_candidates(spark, d), ["source"], F.lit(QUESTION), "text", "doc_type", "document_date", 5, source_weights=SOURCE_WEIGHTS, chronological=True)
+    return out.select("source", "chunk_id", "final_rank", "read_pos")
+
+
+@query(rf"""
+with n as (select doc_id, sha256({_SAME}) as h from documents where regexp_matches(text, '\S'))
+select left(h, 12) as text_hash, count(*) as copies, count(*) - 1 as dropped, min(doc_id) as kept_id from n group by h having count(*) > 1""")
+def rank_copy_statistics(spark: SparkSession, d: str) -> DataFrame:
+    docs = _docs(spark, d).withColumn("best", F.lit(0))
+    return ranking.copy_statistics(docs, "doc_id", "text", "best")
+
+
+def _blocks(spark: SparkSession, d: str) -> DataFrame:
+    out = ranking.rerank(_candidates(spark, d), ["source"], F.lit(QUESTION), "text", "doc_type", "document_date", 5, source_weights=SOURCE_WEIGHTS)
+    return packing.blocks(out)
+
+
+_PACK = f"""{_TRIM}, bl as (
+  select source, doc_type, final_rank, '[' || final_rank || '] ' || chunk_id || ' | ' || coalesce(nullif(trim(title), ''), '—') || ' | ' || coalesce(nullif(trim(doc_type), ''), '—') || ' | '
+         || coalesce(nullif(trim(document_date), ''), '—') || ' | — | ' || coalesce(nullif(trim(source), ''), '—') as head, text, score from cf where regexp_matches(text, '\\S')),
+bk as (select *, head || ' | score=' || cast(cast(score as decimal(18, 3)) as varchar) || chr(10) || text as rendered from bl),
+bt as (select *, greatest(1, length(rendered) // 4) as tokens from bk)"""
+
+
+@query(f"with {_PACK} select source, coalesce(doc_type, 'unknown') as doc_type, cast(sum(tokens) as bigint) as tokens from bt group by all")
+def pack_tokens_by_type(spark: SparkSession, d: str) -> DataFrame:
+    return packing.tokens_by_type(_blocks(spark, d), ["source"])
+
+
+@query(f"""with {_PACK} select source, count(*) as n_blocks, cast(sum(tokens) as bigint) as total_tokens,
+case when sum(tokens) > 1000 then 'over_ceiling' else 'ok' end as status, md5(string_agg(rendered, chr(10) || chr(10) order by final_rank)) as packet_md5 from bt group by 1""")
+def pack_blocks(spark: SparkSession, d: str) -> DataFrame:
+    out = packing.packets(_blocks(spark, d), ["source"], ceiling=1000)
+    return out.select("source", "n_blocks", "total_tokens", "status", F.md5("packet").alias("packet_md5"))
+
+
+# --- answers ---
+
+ANSWER_FIELDS = ["legal_sex", "date_of_birth", "smoking_hx", "language", "deceased"]
+
+
+@query("""
+select row_id, legal_sex as "person.sex", date_of_birth as "person.birth.date", upper(cast(deceased = 'TRUE' as varchar)) as "status.dead",
+       coalesce(race, '') || case when race is not null and ethnicity is not null then '; ' else '' end || coalesce(ethnicity, '') as "person.groups" from demographics""")
+def answers_flatten(spark: SparkSession, d: str) -> DataFrame:
+    c = F.col
+    data = F.struct(
+        F.struct(c("legal_sex").alias("sex"), F.struct(c("date_of_birth").alias("date")).alias("birth"), F.filter(F.array("race", "ethnicity"), lambda x: x.isNotNull()).alias("groups")).alias("person"),
+        F.struct((c("deceased") == "TRUE").alias("dead")).alias("status"),
+    )
+    return answers.flat(load(spark, d, "demographics").withColumn("data", data), ["row_id"], "data")
+
+
+@query(" union all ".join(f"select row_id, '{c}' as field, {c} as value from demographics" for c in ANSWER_FIELDS))
+def answers_long(spark: SparkSession, d: str) -> DataFrame:
+    return answers.long_table(load(spark, d, "demographics"), ["row_id"], ANSWER_FIELDS)
+
+
+@query("select patient_id, " + ", ".join(f"coalesce((select string_agg(v, '; ' order by v) from (select distinct {c} as v from demographics i where i.patient_id is not distinct from o.patient_id and {c} is not null)), '') as {c}" for c in ANSWER_FIELDS) + " from (select distinct patient_id from demographics) o")
+def answers_wide(spark: SparkSession, d: str) -> DataFrame:
+    long = answers.long_table(load(spark, d, "demographics"), ["patient_id"], ANSWER_FIELDS)
+    return answers.wide_table(long, ["patient_id"], "field", "value", ANSWER_FIELDS)
+
+
+@query("""
+with e as (select row_id, patient_id, unnest(regexp_split_to_array(coalesce(ingredients, ''), ';\\s*')) as pointer, generate_subscripts(regexp_split_to_array(coalesce(ingredients, ''), ';\\s*'), 1) as pos from med_orders where ingredients is not null),
+f as (select * from e where regexp_matches(pointer, '\\S')), p as (select medication as pointer, min(sig) as passage from med_orders where medication is not null group by 1)
+select f.row_id, string_agg(coalesce(passage, '(not shown: ' || f.pointer || ')'), ' ;; ' order by pos) as evidence_text, count(*) filter (passage is null) as not_shown from f left join p on p.pointer = f.pointer group by 1""")
+def answers_evidence_join(spark: SparkSession, d: str) -> DataFrame:
+    orders = load(spark, d, "med_orders")
+    passages = orders.where(F.col("medication").isNotNull()).groupBy(F.col("medication").alias("chunk_id")).agg(F.min("sig").alias("passage"))
+    out = answers.with_evidence(orders.select("row_id", "ingredients"), passages, ["row_id"], "ingredients")
+    return out.where(F.col("evidence_text").isNotNull()).select("row_id", "evidence_text", "not_shown")
+
+
+@query("select row_id, " + " or ".join(f"coalesce(regexp_matches({c}, '\\S'), false)" for c in OPTIONAL) + " as any_value_found from demographics")
+def answers_any_value(spark: SparkSession, d: str) -> DataFrame:
+    return load(spark, d, "demographics").select("row_id", answers.any_value(OPTIONAL).alias("any_value_found"))
+
+
+@query("""
+with s as (select row_id, case when ingredients is null then null else string_split(ingredients, '; ') end as l from med_orders)
+select row_id, cast(i - 1 as int) as row_index, l[i] as record from (select row_id, l, unnest(range(1, len(l) + 1)) as i from s where len(l) > 0)
+union all select row_id, null, null from s where l is null or len(l) = 0""")
+def answers_row_axis(spark: SparkSession, d: str) -> DataFrame:
+    rows = load(spark, d, "med_orders").select("row_id", F.split("ingredients", "; ").alias("records"))
+    return answers.by_row_axis(rows, "records").select("row_id", "row_index", "record")
+
+
+@query("select variable, count(*) as n_rows, count(distinct query_id) as n_patients from eval_passage group by 1")
+def answers_run_metadata(spark: SparkSession, d: str) -> DataFrame:
+    return answers.run_metadata(load(spark, d, "eval_passage"), "variable", "query_id")
+
+
+# --- evaluation ---
+
+_GOLD = f"gd as (select source, doc_id as chunk_id from documents where doc_type = 'nursing handover' and contains(lower(text), 'infusion'))"
+
+
+def _gold(spark: SparkSession, d: str) -> DataFrame:
+    docs = _docs(spark, d)
+    return docs.where((F.col("doc_type") == "nursing handover") & F.contains(F.lower("text"), F.lit("infusion"))).select("source", F.col("doc_id").alias("chunk_id"))
+
+
+_RECALL = ", ".join(f"round(coalesce(sum(case when rank <= {k} then 1 end), 0)::double / max(n), 6) as recall_at_{k}" for k in evaluation.K_VALUES)
+_NDCG = ", ".join(f"round(coalesce(sum(case when rank <= {k} then 1 / log2(rank + 1) end), 0) / list_sum([1 / log2(i + 1) for i in range(1, least({k}, max(n)) + 1)]), 6) as ndcg_at_{k}" for k in evaluation.K_VALUES)
+
+
+@query(f"""with {_bm25()}, {_GOLD}, gn as (select source, count(*) as n from gd where source is not null group by 1),
+hit as (select gd.source, rank from gd join rk on rk.source = gd.source and rk.chunk_id = gd.chunk_id and rank <= 20)
+select gn.source, cast(max(n) as int) as n_relevant, round(coalesce(1.0::double / min(rank), 0), 6) as mrr, {_RECALL}, {_NDCG} from gn left join hit on hit.source = gn.source group by 1""")
+def eval_recall_mrr_ndcg(spark: SparkSession, d: str) -> DataFrame:
+    found = retrieval.bm25(_docs(spark, d), "source", "doc_id", "text", QUESTION, 20)
+    return evaluation.retrieval_metrics(found, _gold(spark, d).where(F.col("source").isNotNull()), ["source"])
+
+
+@query(f"""with {_bm25()}, se as (select source, list(chunk_id::varchar order by rank) filter (rank <= 10) as sel, list(chunk_id::varchar order by rank) filter (rank <= 3) as s3,
+  list(chunk_id::varchar order by rank) filter (rank between 2 and 12) as s12 from rk group by 1),
+ok as (select source, sel, s3, s12, len(list_filter(s12, lambda x: not list_contains(sel, x))) = 0 and len(s12) > 0 as a, len(list_filter(s3, lambda x: not list_contains(sel, x))) = 0 as b from se)
+select source, a or b as sufficient, case when a then 0 when b then 1 end as first_set,
+       cast(len(list_filter(sel, lambda x: not list_contains(case when a then s12 when b then s3 else []::varchar[] end, x))) as int) as unnecessary from ok""")
+def eval_bundle(spark: SparkSession, d: str) -> DataFrame:
+    found = retrieval.bm25(_docs(spark, d), "source", "doc_id", "text", QUESTION, 12).withColumn("id", F.col("chunk_id").cast("string"))
+    pick = lambda c: F.sort_array(F.collect_list(F.when(c, F.struct("rank", "id"))))
+    r = F.col("rank")
+    g = found.groupBy("source").agg(pick(r <= 10).alias("sel"), pick(r.between(2, 12)).alias("s12"), pick(r <= 3).alias("s3"))
+    ids = lambda c: F.transform(c, lambda x: x["id"])
+    # a set without members isn't a set anybody asked for
+    sets = F.array(F.when(F.size("s12") > 0, ids("s12")).otherwise(F.array(F.lit("none"))), ids("s3"))
+    b = evaluation.bundle_sufficiency(ids("sel"), sets)
+    return g.select("source", b.alias("b")).select("source", "b.sufficient", "b.first_set", "b.unnecessary")
+
+
+_WILSON = """
+w as (select *, 1.959963984540054 as z, k::double / nullif(n, 0) as p from a),
+v as (select *, (p + z * z / (2 * n)) / (1 + z * z / n) as mid, z / (1 + z * z / n) * sqrt(p * (1 - p) / n + z * z / (4.0 * n * n)) as half from w),
+u as (select *, case when n > 0 then round(greatest(0, mid - half), 4) else 0 end as lo, case when n > 0 then round(least(1, mid + half), 4) else 0 end as hi from v)"""
+
+
+@query(f"""
+with a as (select site_code, count(case when legal_sex is not null and language is not null then 1 end) as n, count(*) filter (legal_sex is not null and language is not null and language = 'English') as k from demographics group by 1), {_WILSON}
+select site_code, n, k, case when n > 0 then round(p, 4) end as accuracy, lo as ci_low, hi as ci_high, case when n < 5 or hi - lo > 0.35 then 'underpowered' else 'adequate' end as power from u""")
+def eval_wilson(spark: SparkSession, d: str) -> DataFrame:
+    v = load(spark, d, "demographics").withColumn("correct", F.when(F.col("legal_sex").isNotNull() & F.col("language").isNotNull(), F.col("language") == "English"))
+    return evaluation.accuracy(v, ["site_code"], "correct")
+
+
+def _reviews(spark: SparkSession, d: str) -> DataFrame:
+    """Two snapshots of a patient as an extraction and its review: field, extracted, expected."""
+    g = load(spark, d, "demographics").where(F.col("patient_id").isNotNull())
+    first = g.groupBy("patient_id").agg(*[F.min_by(c, "row_id").alias(f"a_{c}") for c in ANSWER_FIELDS], *[F.max_by(c, "row_id").alias(f"b_{c}") for c in ANSWER_FIELDS])
+    pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"a_{c}").alias("extracted"), F.col(f"b_{c}").alias("expected")) for c in ANSWER_FIELDS])
+    return first.select("patient_id", F.explode(pairs).alias("p")).select("patient_id", "p.*")
+
+
+_REVIEWS = "rv as (" + " union all ".join(f"select patient_id, '{c}' as field, (array_agg({c} order by row_id))[1] as extracted, (array_agg({c} order by row_id desc))[1] as expected from demographics where patient_id is not null group by 1" for c in ANSWER_FIELDS) + ")"
+_RIGHT = "case when extracted is not null and expected is not null then lower(trim(extracted)) = lower(trim(expected)) end"
+
+
+@query(f"""with {_REVIEWS}, a as (select field, count({_RIGHT}) as n, count(*) filter ({_RIGHT}) as k from rv group by 1), {_WILSON}
+select field, n, k, case when n > 0 then round(p, 4) end as accuracy, lo as ci_low, hi as ci_high, case when n < 5 or hi - lo > 0.35 then 'underpowered' else 'adequate' end as power from u""")
+def eval_per_field(spark: SparkSession, d: str) -> DataFrame:
+    r = _reviews(spark, d)
+    right = F.when(F.col("extracted").isNotNull() & F.col("expected").isNotNull(), F.lower(F.trim("extracted")) == F.lower(F.trim("expected")))
+    return evaluation.accuracy(r.withColumn("right", right), ["field"], "right")
+
+
+@query(f"""with {_REVIEWS} select field, extracted, expected, count(distinct patient_id) as patients, count(distinct patient_id) >= 2 as systematic from rv where {_RIGHT} = false group by 1, 2, 3""")
+def eval_patterns(spark: SparkSession, d: str) -> DataFrame:
+    r = _reviews(spark, d)
+    return evaluation.mismatch_patterns(r.where(F.lower(F.trim("extracted")) != F.lower(F.trim("expected"))), "patient_id")
+
+
+@query(f"with {_REVIEWS} select field, count(*) as confirmed, count({_RIGHT}) as scorable, count(*) filter ({_RIGHT}) as still_right from rv group by 1")
+def eval_rescored(spark: SparkSession, d: str) -> DataFrame:
+    return evaluation.rescored(_reviews(spark, d), ["field"], "extracted", "expected")
+
+
+@query(f"""with {_bm25()}, {_GOLD}, fed as (select source, list(chunk_id order by rank) as ids from rk where rank <= 10 group by 1), rel as (select source, list(chunk_id) as ids from gd where source is not null group by 1),
+x as (select f.source, coalesce(len(r.ids), 0) as n, len(list_intersect(r.ids, f.ids)) as hit from fed f left join rel r on r.source = f.source)
+select source, case when n = 0 then 'no_retrieval_gold' when hit = 0 then 'retrieval_miss' when hit = n then 'extraction_miss' else 'both' end as miss from x""")
+def eval_decompose(spark: SparkSession, d: str) -> DataFrame:
+    fed = retrieval.bm25(_docs(spark, d), "source", "doc_id", "text", QUESTION, 10).groupBy("source").agg(F.collect_set("chunk_id").alias("fed"))
+    rel = _gold(spark, d).where(F.col("source").isNotNull()).groupBy("source").agg(F.collect_set("chunk_id").alias("relevant"))
+    j = fed.join(rel, "source", "left")
+    return j.select("source", evaluation.miss_kind(F.col("relevant"), F.col("fed"), F.lit(True)).alias("miss"))
+
+
+_RUNS = "rn as (select event_type as run, user_id % 5 as metric, round(avg(value), 6) as value from events group by all)"
+
+
+@query(f"""with {_RUNS} select run, metric, value, round(value - first_value(value) over (partition by metric order by run), 6) as delta,
+row_number() over (partition by metric order by value desc, run) = 1 as best from rn""")
+def eval_compare_runs(spark: SparkSession, d: str) -> DataFrame:
+    m = load(spark, d, "events").groupBy(F.col("event_type").alias("run"), (F.col("user_id") % 5).alias("metric")).agg(F.round(F.avg("value"), 6).alias("value"))
+    return evaluation.compared_runs(m, "run", "run", "metric", "value")
+
+
+@query("""
+with s as (select event_type, value, case when event_type = 'error' and value > 50 then 'failed' when value < 5 then 'unannotated' else 'scored' end as status from events)
+select event_type, count(*) filter (status = 'scored') as scored, count(*) filter (status = 'failed') as failed, count(*) filter (status = 'unannotated') as unannotated,
+       round(avg(value) filter (status = 'scored'), 4) as value from s group by 1""")
+def eval_scored_means(spark: SparkSession, d: str) -> DataFrame:
+    e = load(spark, d, "events")
+    status = F.when((F.col("event_type") == "error") & (F.col("value") > 50), "failed").when(F.col("value") < 5, "unannotated").otherwise("scored")
+    return evaluation.means_over_scored(e.withColumn("status", status), ["event_type"], ["value"], "status")
+
+
+@query("""
+with a as (select patient_id, min(row_id) as i, max(row_id) as j from demographics where patient_id is not null group by 1),
+l as (""" + " union all ".join(f"select a.patient_id, '{c}' as path, x.{c} as l, y.{c} as r from a join demographics x on x.row_id = a.i join demographics y on y.row_id = a.j" for c in ANSWER_FIELDS) + """)
+select patient_id, path, l as "left", r as "right", 'changed' as change from l where l is distinct from r""")
+def diff_deep(spark: SparkSession, d: str) -> DataFrame:
+    g = load(spark, d, "demographics").where(F.col("patient_id").isNotNull())
+    ends = g.groupBy("patient_id").agg(F.min("row_id").alias("i"), F.max("row_id").alias("j"))
+    side = lambda end: evaluation.flattened(g.join(ends.select(F.col(end).alias("row_id")), "row_id", "left_semi"), ["patient_id"], ANSWER_FIELDS)
+    return evaluation.deep_diff(side("i"), side("j"), ["patient_id"])
+
+
+# --- runs ---
+
+
+def _log(spark: SparkSession, d: str) -> DataFrame:
+    return load(spark, d, "events")
+
+
+@query("""
+select user_id, (array_agg(event_type order by ts desc, event_id desc))[1] as last_state, cast(max(ts) as varchar) as last_ts, count(*) as transitions from events group by 1""")
+def run_last_state(spark: SparkSession, d: str) -> DataFrame:
+    out = runs.last_states(_log(spark, d), ["user_id"], "event_type", "ts", "event_id")
+    return out.withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz").cast("string"))
+
+
+@query("select user_id, event_type, count(*) as n from events group by all")
+def run_state_counts(spark: SparkSession, d: str) -> DataFrame:
+    return runs.state_counts(_log(spark, d), "user_id", "event_type")
+
+
+@query("""
+with g as (select user_id, count(*) filter (event_type = 'error' and value > 99) as failed, count(*) filter (event_type = 'purchase') as worked, bool_or(event_type = 'signup') as tables,
+           count(*) filter (event_type = 'error' and value > 80) as bad, count(*) filter (event_type = 'view' and value < 1) as skipped from events group by 1)
+select user_id, case when failed > 0 then 'failed' when worked = 0 then 'no_work' when not tables then 'tables_missing' when bad > 0 then 'extraction_failures' when skipped > 0 then 'skipped' else 'completed' end as status from g""")
+def run_status(spark: SparkSession, d: str) -> DataFrame:
+    e, v = F.col("event_type"), F.col("value")
+    g = _log(spark, d).groupBy("user_id").agg(
+        F.count_if((e == "error") & (v > 99)).alias("failed"), F.count_if(e == "purchase").alias("worked"), F.bool_or(e == "signup").alias("tables"),
+        F.count_if((e == "error") & (v > 80)).alias("bad"), F.count_if((e == "view") & (v < 1)).alias("skipped"),
+    )
+    return g.select("user_id", runs.run_status(F.col("failed"), F.col("worked"), F.col("tables"), F.col("bad"), F.col("skipped")).alias("status"))
+
+
+@query("""
+with o as (select user_id, event_type, ts, event_id, coalesce(sum(case when event_type = 'purchase' then 1 else 0 end) over (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding), 0) as k
+           from events where event_type in ('view', 'purchase')),
+p as (select user_id, k, max(ts) filter (event_type = 'view') as a, max(ts) filter (event_type = 'purchase') as z from o group by all),
+s as (select user_id, (epoch_us(z) - epoch_us(a)) / 1e6 as s from p where a is not null and z is not null)
+select user_id, count(*) as pairs, round(avg(s) filter (s > 0.05), 3) as mean_seconds from s group by 1""")
+def run_progress(spark: SparkSession, d: str) -> DataFrame:
+    return runs.durations(_log(spark, d).withColumn("ts", F.col("ts").cast("timestamp")), ["user_id"], "event_type", "ts", "event_id", "view", "purchase")
+
+
+@query("select user_id, count(*) as calls, sum(cast(event_id % 97 as bigint))::bigint as input_tokens, sum(cast(event_id % 13 as bigint))::bigint as output_tokens, bool_and(value > 1) as all_cached from events group by 1")
+def run_economics(spark: SparkSession, d: str) -> DataFrame:
+    calls = _log(spark, d).select("user_id", (F.col("event_id") % 97).alias("input_tokens"), (F.col("event_id") % 13).alias("output_tokens"), (F.col("value") > 1).alias("cached"))
+    return runs.economics(calls, ["user_id"])
+
+
+@query("select event_type, count(*) as entries, count(distinct user_id) as entities from (select distinct user_id, event_type, props from events) group by 1")
+def state_merge_dedup(spark: SparkSession, d: str) -> DataFrame:
+    e = _log(spark, d).select("user_id", "event_type", "props")
+    late, merged = e.where(F.col("event_type") == "error"), e
+    log = runs.merged_log([merged, late], F.concat_ws("|", F.col("user_id").cast("string"), "event_type", "props"))
+    return log.groupBy("event_type").agg(F.count("*").alias("entries"), F.count_distinct("user_id").alias("entities"))
+
+
+@query("""
+select m.patient_id, m.medication from (select distinct patient_id, medication from med_orders) m
+where not exists (select 1 from med_admin a where a.patient_id = m.patient_id and a.medication = m.medication and a.mar_action = 'Given')""")
+def run_unfinished(spark: SparkSession, d: str) -> DataFrame:
+    wanted = load(spark, d, "med_orders").select("patient_id", "medication").distinct()
+    done = load(spark, d, "med_admin").select("patient_id", "medication", (F.col("mar_action") == "Given").alias("ok"))
+    return runs.unfinished(wanted, done, ["patient_id"], ["medication"])
+
+
+# --- validation ---
+
+
+@query(r"""
+with o as (select row_id, nullif(regexp_extract(trim(start_date), '^(\d{4}-\d{2}-\d{2})(?:[T ].*)?$', 1), '') as a, nullif(regexp_extract(trim(end_date), '^(\d{4}-\d{2}-\d{2})(?:[T ].*)?$', 1), '') as b from med_orders),
+p as (select row_id, try_cast(a as date) as a, try_cast(b as date) as b from o)
+select row_id, 'start_before_end' as rule, case when a is null or b is null then 'did_not_run' when b < a then 'failed' else 'passed' end as outcome from p
+union all select row_id, 'within_a_month', case when a is null or b is null then 'did_not_run' when abs((year(b) * 12 + month(b)) - (year(a) * 12 + month(a))) > 1 then 'failed' else 'passed' end from p""")
+def invariants_dates(spark: SparkSession, d: str) -> DataFrame:
+    a, b = F.col("start_date"), F.col("end_date")
+    ok = lambda: F.when(dates.interval(a).isNotNull() & dates.interval(b).isNotNull(), ~validation.not_adjacent(a, b))
+    return validation.outcomes(load(spark, d, "med_orders"), ["row_id"], {"start_before_end": lambda: validation.ordered(a, b), "within_a_month": ok})
+
+
+@query("""
+with o as (select patient_id, row_id, row_number() over (partition by patient_id order by row_id) as line, substr(start_date, 1, 10) as s from med_orders where start_date is not null),
+p as (select *, lag(s) over (partition by patient_id order by line, s) as previous from o)
+select patient_id, cast(line as int) as line, s as start_day, previous, coalesce(previous <= s, true) as ok from p""")
+def invariants_line_order(spark: SparkSession, d: str) -> DataFrame:
+    o = load(spark, d, "med_orders").where(F.col("start_date").isNotNull())
+    o = o.select("patient_id", F.row_number().over(W.partitionBy("patient_id").orderBy("row_id")).alias("line"), F.substring("start_date", 1, 10).alias("start_day"))
+    return validation.lines_in_order(o, ["patient_id"], "line", "start_day")
+
+
+@query(r"""
+with l as (select row_id, 'order' as parent, bool_or(regexp_matches(medication, '\S')) as v, bool_or(trim(prescribing_provider) <> '') as p from med_orders group by 1
+  union all select row_id, 'dose', bool_or(trim(disp) <> '' and lower(trim(disp)) <> 'unknown'), bool_or(trim(number_of_times) <> '') from med_orders group by 1)
+select row_id, parent from l where coalesce(v, false) and not coalesce(p, false)""")
+def provenance_paths(spark: SparkSession, d: str) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(p).alias("parent"), F.lit(k).alias("key"), F.col(c).alias("value")) for p, k, c in [("order", "medication", "medication"), ("order", "evidence_chunk_id", "prescribing_provider"), ("dose", "amount", "disp"), ("dose", "evidence_chunk_id", "number_of_times")]])
+    leaves = load(spark, d, "med_orders").select("row_id", F.explode(pairs).alias("p")).select("row_id", "p.*")
+    return validation.unpointed_groups(leaves, ["row_id"], "parent", "key", "value")
+
+
+@query()
+def validate_provenance_json(spark: SparkSession, d: str) -> DataFrame:
+    made = F.to_json(F.struct(F.struct(F.col("legal_sex").alias("value"), F.col("patient_id").alias("evidence_chunk_id")).alias("sex"), F.struct(F.col("language").alias("value")).alias("language")))
+    return validation.unprovenanced(load(spark, d, "demographics").select("row_id", made.alias("data")), ["row_id"], "data")
+
+
+# --- de-identification ---
+
+_TYPES = " ".join(f"when contains(t, '{k}') then '{k}'" for k in deid.DOC_TYPES[:-1])
+
+
+@query(f"with d as (select doc_id, lower(trim(doc_type)) as t from documents) select doc_id, case {_TYPES} else 'unknown' end as doc_type from d")
+def deid_doc_type(spark: SparkSession, d: str) -> DataFrame:
+    return _docs(spark, d).select("doc_id", deid.canonical_doc_type(F.col("doc_type")).alias("doc_type"))
+
+
+@query("""
+with c as (select site_code, language, count(*) as n from demographics group by all)
+select site_code, language, case when n >= 11 then n end as n, case when n < 11 then '<11' end as band from c""")
+def deid_small_cells(spark: SparkSession, d: str) -> DataFrame:
+    return deid.small_cells(load(spark, d, "demographics").groupBy("site_code", "language").agg(F.count("*").alias("n")), "n", "band")
+
+
+@query("select site_code, language, count(*) as n from demographics group by all having count(*) >= 11")
+def deid_small_cells_dropped(spark: SparkSession, d: str) -> DataFrame:
+    return deid.small_cells(load(spark, d, "demographics").groupBy("site_code", "language").agg(F.count("*").alias("n")), "n")
+
+
+def _forbidden(c: str) -> str:
+    safe = " or ".join(f"regexp_matches({c}, '{p}')" for p in deid.SAFE)
+    return f"coalesce(not ({safe}) and (" + " or ".join(f"regexp_matches({c}, '{p}')" for p in deid.FORBIDDEN) + "), false)"
+
+
+@query(f"select row_id, {_forbidden('text')} as text_forbidden, {_forbidden('author')} as author_forbidden, {_forbidden('title')} as title_forbidden from clinical_note")
+def deid_forbidden_scan(spark: SparkSession, d: str) -> DataFrame:
+    n = load(spark, d, "clinical_note")
+    return n.select("row_id", *[deid.is_forbidden(F.col(c)).alias(f"{c}_forbidden") for c in ("text", "author", "title")])
+
+
+@query(f"""with g as (select *, {_forbidden('author')} as a, {_forbidden('title')} as t from clinical_note)
+select count(*) filter (not a and not t) as written, count(*) filter (a or t) as rejected, count(*) filter (a) as for_author from g""")
+def deid_write_gate(spark: SparkSession, d: str) -> DataFrame:
+    good, bad = deid.gated(load(spark, d, "clinical_note"), ["author", "title"])
+    sides = good.select(F.lit(True).alias("ok"), F.lit(False).alias("a")).unionByName(bad.select(F.lit(False).alias("ok"), F.array_contains("rejected_for", "author").alias("a")))
+    return sides.agg(F.count_if("ok").alias("written"), F.count_if(~F.col("ok")).alias("rejected"), F.count_if("a").alias("for_author"))
+
+
+@query(f"with {_bm25()} select source, count(*) as n, count(*) filter (rank <= 5) as n_selected, md5(string_agg(sha256(chunk_id::varchar), ',' order by rank)) as hashes from rk where rank <= 20 group by 1")
+def deid_selection_rows(spark: SparkSession, d: str) -> DataFrame:
+    found = retrieval.bm25(_docs(spark, d), "source", "doc_id", "text", QUESTION, 20).withColumn("selected", F.col("rank") <= 5)
+    out = deid.selection_rows(found, ["source"])
+    hashes = F.md5(F.array_join(F.transform("candidates", lambda c: c["chunk_hash"]), ","))
+    return out.select("source", F.size("candidates").cast("long").alias("n"), "n_selected", hashes.alias("hashes"))
+
+
+_BUCKETS = " ".join("when " + " or ".join(f"contains(t, '{w}')" for w in words) + f" then '{name}'" for name, words in deid.ERROR_WORDS)
+
+
+@query(f"with t as (select row_id, lower(coalesce(order_status, '') || ' ' || coalesce(sig, '')) as t from med_orders) select row_id, case {_BUCKETS} else 'other' end as bucket from t")
+def deid_error_buckets(spark: SparkSession, d: str) -> DataFrame:
+    m = F.concat(F.coalesce("order_status", F.lit("")), F.lit(" "), F.coalesce("sig", F.lit("")))
+    return load(spark, d, "med_orders").select("row_id", deid.error_bucket(m).alias("bucket"))
+
+
+@query()
+def deid_surrogate(spark: SparkSession, d: str) -> DataFrame:
+    c = load(spark, d, "chunk_index")
+    return c.select("chunk_id", deid.surrogate(F.col("chunk_id"), b"test key", "study1", "chunk", "chunk_id").alias("surrogate"))
+
+
+@query("select chunk_id, regexp_extract(document_date, '(\\d{4})-?(\\d{2})', 1) || '-' || regexp_extract(document_date, '(\\d{4})-?(\\d{2})', 2) as month from chunk_index where regexp_matches(document_date, '\\d{4}-?\\d{2}')")
+def deid_month_stamp(spark: SparkSession, d: str) -> DataFrame:
+    c = load(spark, d, "chunk_index").where(F.col("document_date").rlike(r"\d{4}-?\d{2}"))
+    return c.select("chunk_id", deid.month_stamp(F.col("document_date")).alias("month"))
+
+
+# --- recipes ---
+
+
+@query()
+def recipe_retrieve_and_prompt(spark: SparkSession, d: str) -> DataFrame:
+    from chartweave.plans.recipes import HANDLERS, EchoProvider
+
+    made = _blocks(spark, d)
+    packed = packing.packets(made, ["source"]).join(made.groupBy("source").agg(F.collect_set("chunk_id").alias("shown")), "source")
+    return HANDLERS["retrieve_and_prompt"](packed, ["source"], {"prompt": "Answer from the passages."}, EchoProvider(200_000))
+
+
+@query()
+def recipe_map_rows(spark: SparkSession, d: str) -> DataFrame:
+    from chartweave.plans.recipes import HANDLERS, EchoProvider
+
+    rows = load(spark, d, "eval_passage").select("item_id", "variable", "query_text")
+    return HANDLERS["map_table_rows_and_prompt"](rows, ["item_id"], {"prompt": "One answer per row."}, EchoProvider())
+
+
+@query("select distinct row_id, medication, route from med_orders where contains(medication, 'TABLET')")
+def recipe_direct_rows(spark: SparkSession, d: str) -> DataFrame:
+    from chartweave.plans.recipes import HANDLERS
+
+    return HANDLERS["direct_parquet"](load(spark, d, "med_orders"), ["row_id"], {"filter": "medication contains 'TABLET'", "columns": ["medication", "route"]})
+
+
+@query("select row_id, cast(cast(substr(trim(recent_encounter_date), 1, 4) as int) - floor(try_cast(age_at_death as double)) as int) as birth_year from demographics where try_cast(substr(trim(recent_encounter_date), 1, 4) as int) is not null")
+def recipe_birth_year(spark: SparkSession, d: str) -> DataFrame:
+    from chartweave.plans.recipes import birth_year
+
+    g = load(spark, d, "demographics").where(F.substring(F.trim("recent_encounter_date"), 1, 4).try_cast("int").isNotNull())
+    return g.select("row_id", birth_year(F.col("recent_encounter_date"), F.col("age_at_death")).alias("birth_year"))
