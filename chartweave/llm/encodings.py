@@ -166,6 +166,9 @@ def _legacy_spans(text: str, read: str, sure: list[tuple[int, int]]) -> list[tup
     return [r for r in runs[first : last + 1] if odd(*r)]
 
 
+#: What a record for training mustn't hold: control characters, the mark of loss, a character that a lead byte is misread as
+#: before another that isn't ASCII (but for common letters), or a long run of Western letters.
+LOOKS_GARBLED = r"[\u0080-\u009f�]|[ÂÃÐÑÄÅĂ√∂├┬Γ„‚â][^\x00-\x7fa-zéèêàùûîôçñãõáíóúäöüß]|[À-ÿ]{5}"
 #: A run speaks for a chain from this log likelihood ratio on; a chain of single bytes needs more, as all bytes decode.
 SURE, SURE_LEGACY = 2.0, 25.0
 
@@ -201,13 +204,13 @@ def restore(text: str, classifier: Classifier, rounds: int = 4) -> str | None:
 
 def training_records(df: DataFrame, key: str, text: str, most: int) -> list[str]:
     """At most ``most`` records without marks of garbling, the same ones for the same table."""
-    rows = (
-        df.where(F.col(text).rlike(r"[^\x00-\x7f]") & ~F.col(text).rlike(r"[\u0080-\u009f�]|[ÂÃÐÑÄÅĂ√∂├┬Γ„‚â][^\x00-\x7fa-zéèêàùûîôçñãõáíóúäöüß]|[À-ÿ]{5}"))
-        .select(F.substring(text, 1, 4000).alias("t"), F.xxhash64(key).alias("h"))
-        .orderBy("h", "t")
-        .limit(most)
-        .collect()
-    )
+    intact = df.where(F.col(text).rlike(r"[^\x00-\x7f]") & ~F.col(text).rlike(LOOKS_GARBLED))
+    # keys first: every task sends its `most` best to the driver, which would be much text on many tasks
+    first = intact.select(F.xxhash64(key).alias("h"), F.col(key).alias("k")).orderBy("h", "k").limit(most).collect()
+    if not first:
+        return []
+    rows = intact.where(F.col(key).isin([r.k for r in first])).select(F.col(key).alias("k"), F.substring(text, 1, 4000).alias("t"))
+    rows = rows.groupBy("k").agg(F.min("t").alias("t")).orderBy(F.xxhash64("k"), "k").collect()
     return [r.t for r in rows]
 
 
