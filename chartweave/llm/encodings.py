@@ -193,7 +193,10 @@ def restore(text: str, classifier: Classifier, rounds: int = 4) -> str | None:
                     new = _undo_utf8(new, read)
             elif spoken[k] >= SURE_LEGACY:
                 sure = [span for span, s in runs if s[k] >= SURE and span[1] - span[0] > 1]
-                new = _undo_legacy(now, written, read, _legacy_spans(now, read, sure)) if sure else now
+                spans = _legacy_spans(now, read, sure) if sure else []
+                # words of wrong letters, not a single accent
+                if any(z - a >= 3 for a, z in spans) and sum(z - a for a, z in spans) >= 6:
+                    new = _undo_legacy(now, written, read, spans)
             if new != now:
                 break
         if new == now:
