@@ -49,5 +49,35 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return garbled_texts(spark, load(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p3_found, p4_found, p7_ids, p8_found, p9_found)}
+
+
+def _last(pattern: str, back: int) -> str:
+    """End of the last match in the window of a piece that starts at s, null if there is none."""
+    at = f"length(regexp_extract(substring(text, s + {1001 - back}, {1000 + back}), '(?s)^.*{pattern}'))"
+    return f"case when {at} > {back} then s + {1000 - back} + {at} end"
+
+
+_END = f"case when length(text) - s <= 2000 then length(text) else coalesce({_last(r'\n\r?\n', 2)}, {_last(r'\n', 0)}, {_last('[.!?] ', 1)}, {_last(r'[ \t]', 0)}, s + 2000) end"
+_WORDS = r"'[\p{L}\p{N}]+'"
+
+SQL: dict[str, str] = {
+    "p2_found": f"""
+with recursive p as (
+  select row_id, text, s, {_END} as e from (select row_id, text, cast(0 as bigint) as s from clinical_note where length(text) > 2000)
+  union all
+  select row_id, text, s, {_END} from (select row_id, text, e - 200 as s from p where e < length(text)))
+select row_id, s as char_start, cast(e as bigint) as char_end from p""",
+    "p3_found": f"""
+with w as (select row_id, regexp_extract_all(lower(case when title is null then text else title || ' ' || text end), {_WORDS}) as w from clinical_note where regexp_matches(text, '\\S')),
+s as (select distinct row_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g from w, unnest(range(1, len(w) - 1)) t(i)),
+n as (select row_id, count(*) as n from s group by 1),
+p as (select a.row_id as x, b.row_id as y, count(*) as k from s a join s b on a.g = b.g and a.row_id < b.row_id group by all)
+select x as row_id_a, y as row_id_b from p join n a on a.row_id = x join n b on b.row_id = y where k >= 0.7 * (a.n + b.n - k) - 1e-9""",
+    "p8_found": f"""
+with d as (select doc_id, regexp_extract_all(lower(text), {_WORDS}) as w from documents),
+g as (select distinct doc_id, array_to_string(w[i:i + 11], ' ') as g from d, unnest(range(1, len(w) - 10)) t(i)),
+e as (select item_id, regexp_extract_all(lower(passage), {_WORDS}) as w from eval_passage),
+h as (select distinct item_id, array_to_string(w[i:i + 11], ' ') as g from e, unnest(range(1, len(w) - 10)) t(i))
+select distinct doc_id, item_id from g join h on g.g = h.g""",
+}
