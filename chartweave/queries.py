@@ -62,7 +62,36 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return order_periods(load(spark, d, "med_orders"))
 
 
-@query()
+def _quantity_sql() -> str:
+    from chartweave.operators.units import ALIASES, AMOUNT_FACTORS, TIME_FACTORS
+
+    words = {(k, u): "|".join(sorted(w.split(), key=len, reverse=True)) for (k, u), w in ALIASES.items()}
+    every = lambda *kinds: "|".join(w for (k, _), w in words.items() if k in kinds)
+    amount, drop, time, ml = every("mass", "volume"), every("drop"), every("time"), words["volume", "mL"]
+    factor = " ".join(f"when regexp_full_match(a, '{words[k, u]}') then {n * 1.0 / d!r}::double" for k, u in words for v, _, n, d in AMOUNT_FACTORS if u == v and k in ("mass", "volume"))
+    hours = " ".join(f"when regexp_full_match(t, '{words['time', u]}') then {p * 1.0 / h!r}::double" for u, p, h in TIME_FACTORS)
+    mass = every("mass")
+    return rf"""
+with v as (
+  select 'med_admin' as source_table, row_id, 'dose' as field_name, sig as v, dose_unit as u, false as rate from med_admin
+  union all select 'med_admin', row_id, 'infusion_rate', infusion_rate, infusion_rate_unit, true from med_admin
+  union all select 'med_orders', row_id, 'disp', disp, unit, false from med_orders),
+n as (select *, regexp_extract(trim(v), '^([+]?(?:\d{{1,3}}(?:,\d{{3}})+(?:\.\d+)?|\d+,\d+|\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d{{1,3}})?)(?:[^\d,.].*)?$', 1) as num from v),
+r as (select *, trim(substr(trim(v), length(num) + 1)) as rest from n where num <> ''),
+x as (select *, trim(regexp_replace(replace(replace(lower(case when rest <> '' then rest else coalesce(u, '') end), 'µ', 'u'), 'μ', 'u'), '\.$', '')) as w,
+             cast(case when regexp_matches(num, '^[+]?\d{{1,3}}(,\d{{3}})+(\.\d+)?([eE].*)?$') then replace(num, ',', '') else replace(num, ',', '.') end as double) as x from r),
+y as (select *, regexp_extract(w, '^({amount})(?: *(?:/|per) *(\d*) *({time}))?$', 1) as a, regexp_extract(w, '^({amount}) *(?:/|per) *(\d*) *({time})$', 2) as c,
+             case when regexp_matches(w, '^({amount}) *(?:/|per) *\d* *({time})$') then regexp_extract(w, '({time})$', 1) else regexp_extract(w, '^(?:{drop}) *(?:/|per) *({time})[ ,(@]', 1) end as t,
+             regexp_extract(w, '^(?:{drop}) *(?:/|per) *(?:{time})[ ,(@]+(\d+) *(?:{drop}) *(?:/|per) *(?:{ml})\)?$', 1) as f from x),
+z as (select *, case {factor} when f <> '' then 1 / cast(f as double) end as amount_factor, case {hours} end / coalesce(nullif(try_cast(c as double), 0), 1) as hour_factor, regexp_full_match(a, '{mass}') as mass from y),
+o as (select source_table, row_id, field_name, v, u, case when mass then 'mg' else 'mL' end || case when rate then '/hr' else '' end as common_unit,
+             cast(round(x * amount_factor * 1000 * case when rate then hour_factor else 1 end) as bigint) as value_thousandths
+      from z where amount_factor is not null and (rate = (t <> '')))
+select source_table, row_id, field_name, common_unit, value_thousandths from o
+where not coalesce(regexp_full_match(v, '[0-9]+(\.[0-9]+)?') and u = common_unit, false)"""
+
+
+@query(_quantity_sql())
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     from chartweave.operators.units import common_units
 
