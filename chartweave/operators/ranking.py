@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -97,10 +100,6 @@ def rank_method(rank_by: str | None, has_cross_encoder: bool) -> str:
 def cross_scored(candidates: DataFrame, by: list[str], query: Column, text: str, scorer) -> DataFrame:
     """Rank by a scorer of (query, text) pairs: a function of two lists of texts to a list of numbers, run in Arrow batches;
     compared at 6 decimals, ties by prior rank, then id.  A number that isn't finite is an error."""
-    import math
-
-    import pandas as pd
-
     def run(q: pd.Series, t: pd.Series) -> pd.Series:
         s = [float(x) for x in scorer(q.tolist(), t.fillna("").tolist())]
         if len(s) != len(q) or not all(map(math.isfinite, s)):
