@@ -34,28 +34,10 @@ _N = 3 * len(_HEADS)
 PATTERN = "^(?:" + "|".join(_HEADS) + ")" + _TAIL + "$"
 
 
-def days_from_civil(y: Column, m: Column, d: Column) -> Column:
-    """Days since 1970-01-01 of a proleptic Gregorian date, by integer arithmetic (never raises)."""
-    yy = F.when(m <= 2, y - 1).otherwise(y)
-    era = F.floor(yy / 400)
-    yoe = yy - era * 400
-    doy = F.floor((153 * (m + F.when(m > 2, -3).otherwise(9)) + 2) / 5) + d - 1
-    doe = yoe * 365 + F.floor(yoe / 4) - F.floor(yoe / 100) + doy
-    return (era * 146097 + doe - 719468).cast("long")
-
-
-def _two(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 2, "0")
-
-
 def utc_text(second: Column) -> Column:
     """``YYYY-MM-DDTHH:MM:SSZ`` of UTC seconds, whatever the session's zone is."""
-    day = F.floor(second / 86400)
-    rest = second - day * 86400
-    return F.concat(
-        F.date_from_unix_date(day.cast("int")).cast("string"), F.lit("T"),
-        _two(F.floor(rest / 3600)), F.lit(":"), _two(F.floor(rest % 3600 / 60)), F.lit(":"), _two(rest % 60), F.lit("Z"),
-    )
+    at = F.timestamp_add("SECOND", second, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.concat(F.replace(at.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def parse(df: DataFrame, value: str, date_order: str) -> DataFrame:
@@ -90,26 +72,25 @@ def parse(df: DataFrame, value: str, date_order: str) -> DataFrame:
         )).alias("__f"),
     )
     f = lambda k: F.col(f"__f.{k}")
-    leap = ((f("y") % 4 == 0) & (f("y") % 100 != 0)) | (f("y") % 400 == 0)
-    length = F.when(f("m") == 2, F.when(leap, 29).otherwise(28)).when(f("m").isin(4, 6, 9, 11), 30).otherwise(31)
-    day_ok = f("m").between(1, 12) & f("d").between(1, length) & (f("y") >= 1)
     hour = (
         F.when(f("half").isNull(), F.when(f("h") <= 23, f("h")))
         .when(f("h").between(1, 12), f("h") % 12 + F.when(f("half") == "p", 12).otherwise(0))
     )
-    time_ok = hour.isNotNull() & (f("mi") <= 59) & (f("s") <= 59)
-    day = F.when(day_ok & (f("h").isNull() | time_ok), days_from_civil(f("y"), f("m"), f("d")))
-    df = df.withColumn("__daynr", day)
+    time_ok = F.col("__hour").isNotNull() & (f("mi") <= 59) & (f("s") <= 59)
+    # strict: a day that doesn't exist gives null
+    day = F.try_to_date(F.concat_ws("-", f("y").cast("string"), f("m").cast("string"), f("d").cast("string")), "y-M-d")
+    df = df.withColumn("__hour", hour).withColumn("__date", F.when(f("h").isNull() | time_ok, day))
     epoch = F.when(F.col("__t").rlike(r"^\d{10}$"), F.col("__t").try_cast("long")).when(
         F.col("__t").rlike(r"^\d{13}$"), F.floor(F.col("__t").try_cast("long") / 1000)
     )
+    at = F.col("__date")
     return df.select(
-        *[c for c in df.columns if c not in ("__t", "__f", "__daynr")],
-        F.when(F.col("__daynr").isNotNull(), F.date_from_unix_date(F.col("__daynr").cast("int")).cast("string")).alias("__day"),
-        F.when(F.col("__daynr").isNotNull() & f("h").isNotNull(), F.col("__daynr") * 86400 + hour * 3600 + f("mi") * 60 + f("s")).cast("long").alias("__local"),
+        *[c for c in df.columns if c not in ("__t", "__f", "__hour", "__date")],
+        at.cast("string").alias("__day"),
+        F.when(f("h").isNotNull(), F.unix_date(at).cast("long") * 86400 + F.col("__hour") * 3600 + f("mi") * 60 + f("s")).alias("__local"),
         epoch.alias("__epoch"),
-        F.when(F.col("__daynr").isNotNull(), f("zone")).alias("__zone"),
-        F.when(F.col("__daynr").isNotNull(), f("y")).alias("__year"),
+        F.when(at.isNotNull(), f("zone")).alias("__zone"),
+        F.when(at.isNotNull(), f("y")).alias("__year"),
     )
 
 
@@ -128,15 +109,10 @@ def normal_form(spark: SparkSession, df: DataFrame, value: str, zone: str, date_
     """
     p = parse(df, value, date_order)
     wanted = F.coalesce(F.regexp_extract("__zone", r"^\[(.+)\]$", 1), F.lit(""))
-    known = F.array(*map(F.lit, sorted(zones.known_zones())))
-    named = (
-        df.where(F.col(value).contains("["))
-        .select(F.regexp_extract(value, r"\[([A-Za-z0-9_+/-]+)\]", 1).alias("z"))
-        .unionByName(df.select(F.col(zone).alias("z")))
-        .where(F.array_contains(known, F.col("z")))
-        .distinct()
-    )
-    names = sorted(r.z for r in named.collect())
+    known = spark.createDataFrame([(z,) for z in sorted(zones.known_zones())], "z string")
+    written_name = F.when(F.col(value).contains("["), F.nullif(F.regexp_extract(value, r"\[([A-Za-z0-9_+/-]+)\]", 1), F.lit("")))
+    named = df.select(F.explode(F.array_compact(F.array(F.col(zone), written_name))).alias("z")).distinct()
+    names = sorted(r.z for r in named.join(F.broadcast(known), "z", "left_semi").collect())
     segments = spark.createDataFrame(zones.local_segments(names), "zone string, local_year int, local_lo long, local_hi long, offset_s int, matches int")
     abbrs = spark.createDataFrame(zones.abbreviations(names), "zone string, abbr string, offset_s int")
     z = F.col("__zone")
@@ -163,13 +139,9 @@ def normal_form(spark: SparkSession, df: DataFrame, value: str, zone: str, date_
         "left",
     )
     offset = F.coalesce(F.col("p.__written"), F.col("a.offset_s"), F.col("s.offset_s"))
-    form = (
-        F.when(F.col(f"p.{day_only}"), F.col("p.__day"))
-        .when(F.col("p.__epoch").isNotNull(), utc_text(F.col("p.__epoch")))
-        .when(F.col("p.__local").isNull(), F.col("p.__day"))
-        .otherwise(utc_text(F.col("p.__local") - offset))
-    )
-    return j.select(*[F.col(f"p.`{c}`") for c in df.columns], form.alias("normal_form"))
+    utc = F.when(~F.col(f"p.{day_only}"), F.coalesce("p.__epoch", F.col("p.__local") - offset))
+    out = j.select(*[F.col(f"p.`{c}`") for c in df.columns], utc.alias("__utc"), F.when(F.col(f"p.{day_only}") | F.col("p.__local").isNull(), F.col("p.__day")).alias("__as_day"))
+    return out.select(*df.columns, F.coalesce(utc_text(F.col("__utc")), F.col("__as_day")).alias("normal_form"))
 
 
 def chart_timestamps(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, bool]], sites: DataFrame) -> DataFrame:
