@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import logging
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -109,3 +111,16 @@ def fingerprint(settings: dict, allowed: list[str]) -> str:
 
     kept = {k: settings.get(k) for k in sorted(allowed)}
     return hashlib.sha256(json.dumps(kept, sort_keys=True, separators=(",", ":"), default=str).encode()).hexdigest()[:16]
+
+
+class Redacting(logging.Filter):
+    """Hides the arguments of log records, unless values may be shown: a message keeps its wording only."""
+
+    def __init__(self, show: bool = False):
+        super().__init__()
+        self.show = show
+
+    def filter(self, record: logging.LogRecord) -> bool:
+        if not self.show and record.args:
+            record.msg, record.args = re.sub(r"%[-+#0 ]*\d*(?:\.\d+)?[a-zA-Z]", "[hidden]", str(record.msg)), None
+        return True

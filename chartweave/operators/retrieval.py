@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chartweave.functions.text import ascii_tokens, non_overlapping_count
+from chartweave.session import cut_lineage
 
 #: So many query vectors are sent to the workers at once.
 QUERY_BLOCK = 8192
@@ -41,25 +42,50 @@ def bm25(docs: DataFrame, group: str, key: str, text: str, query: str, k: int |
     between engines beyond), then by id.  The shuffle carries (group, word) counts that are combined before it.
     """
     words = re.findall("[a-z0-9]+", query.lower())
-    spark = docs.sparkSession
-    wanted = spark.createDataFrame([(w, words.count(w)) for w in sorted(set(words))], "word string, times int")
-    tokens = docs.select(F.col(group), F.col(key).alias("chunk_id"), ascii_tokens(F.col(text)).alias("tokens"))
-    sizes = tokens.groupBy(group).agg(F.count("*").alias("n"), F.avg(F.coalesce(F.size("tokens"), F.lit(0))).alias("avgdl"))
-    df = tokens.select(group, F.explode(F.array_distinct("tokens")).alias("word")).groupBy(group, "word").agg(F.count("*").alias("df"))
-    idf = df.join(sizes, group)
-    idf = idf.withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
-    mean = idf.groupBy(group).agg(F.avg("raw").alias("mean_idf"))
-    terms = (
-        idf.join(F.broadcast(wanted), "word").join(mean, group)
-        .select(group, "word", "times", "avgdl", F.when(F.col("raw") < 0, 0.25 * F.col("mean_idf")).otherwise(F.col("raw")).alias("idf"))
-    )
-    only = F.array(*[F.lit(w) for w in sorted(set(words))]) if words else F.array().cast("array<string>")
-    tf = tokens.select(group, "chunk_id", F.size("tokens").alias("len"), F.explode(F.filter("tokens", lambda x: F.array_contains(only, x))).alias("word")).groupBy(group, "chunk_id", "len", "word").agg(F.count("*").alias("tf"))
-    part = F.col("times") * F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avgdl")))
-    scores = tf.join(terms, [group, "word"]).groupBy(group, "chunk_id").agg(F.sum(part).alias("score")).where("score > 0")
+    if not words:
+        empty = docs.select(F.col(group), F.col(key).alias("chunk_id"), F.lit(0).alias("rank"), F.lit(0.0).alias("score"), F.lit("bm25").alias("retriever"))
+        return empty.where(F.lit(False))
+    wanted = sorted(set(words))
+    stats = _group_statistics(docs, group, text, wanted)
+    tokens = docs.where(F.col(group).isNotNull()).select(F.col(group), F.col(key).alias("chunk_id"), ascii_tokens(F.col(text)).alias("__tokens"))
+    tf = F.transform(F.array(*map(F.lit, wanted)), lambda w: F.size(F.filter("__tokens", lambda x: x == w)))
+    counted = tokens.select(group, "chunk_id", F.size("__tokens").alias("__len"), tf.alias("__tf")).where(F.exists("__tf", lambda x: x > 0))
+    part = None
+    for i, w in enumerate(wanted):
+        df, t = F.col("__df")[i], F.col("__tf")[i]
+        raw = F.log(F.col("__n") - df + 0.5) - F.log(df + 0.5)
+        idf = F.when(raw < 0, 0.25 * F.col("__mean")).otherwise(raw)
+        one = F.when(t > 0, words.count(w) * idf * t * (k1 + 1) / (t + k1 * (1 - b + b * F.col("__len") / F.col("__avgdl")))).otherwise(0.0)
+        part = one if part is None else part + one
+    scores = counted.join(stats, group).select(group, "chunk_id", part.alias("score")).where("score > 0")
     return ranked(scores, [group], [F.round("score", 9).desc(), F.asc("chunk_id")], k).withColumn("retriever", F.lit("bm25"))
 
 
+def _group_statistics(docs: DataFrame, group: str, text: str, wanted: list[str]) -> DataFrame:
+    """``(group, __n, __avgdl, __mean, __df)``: texts, mean length, mean idf over the group's vocabulary and the document
+    counts of the wanted words, in their order.
+
+    One pass over the texts: each sends its distinct words and one empty word with its length; these are combined per
+    (group, word), then per (group, document count), so a group's last row holds a histogram and not a vocabulary.
+    """
+    tokens = docs.where(F.col(group).isNotNull()).select(F.col(group), ascii_tokens(F.col(text)).alias("__t"))
+    sent = tokens.select(group, F.greatest(F.coalesce(F.size("__t"), F.lit(0)), F.lit(0)).alias("__len"), F.explode(F.concat(F.array(F.lit("")), F.coalesce(F.array_distinct("__t"), F.array().cast("array<string>")))).alias("__word"))
+    vocabulary = sent.groupBy(group, "__word").agg(F.count("*").alias("__df"), F.sum(F.when(F.col("__word") == "", F.col("__len"))).alias("__sum"))
+    real = F.col("__word") != ""
+    mine = F.when(F.col("__word").isin(wanted), F.col("__word"))
+    histogram = vocabulary.groupBy(group, "__df").agg(F.count_if(real).alias("__words"), F.max(F.when(~real, F.col("__df"))).alias("__n"), F.max("__sum").alias("__sum"), F.collect_list(mine).alias("__mine"))
+    g = histogram.groupBy(group).agg(
+        F.max("__n").alias("__n"), F.max("__sum").alias("__sum"),
+        F.collect_list(F.when(F.col("__words") > 0, F.struct("__df", "__words"))).alias("__h"),
+        F.collect_list(F.when(F.size("__mine") > 0, F.struct("__df", "__mine"))).alias("__m"),
+    )
+    n = F.col("__n")
+    total = F.aggregate("__h", F.lit(0.0), lambda a, x: a + x["__words"] * (F.log(n - x["__df"] + 0.5) - F.log(x["__df"] + 0.5)))
+    size = F.aggregate("__h", F.lit(0).cast("long"), lambda a, x: a + x["__words"])
+    df = F.transform(F.array(*map(F.lit, wanted)), lambda w: F.coalesce(F.get(F.filter("__m", lambda x: F.array_contains(x["__mine"], w)), F.lit(0))["__df"], F.lit(0)))
+    return g.select(group, "__n", (F.col("__sum") / n).alias("__avgdl"), F.try_divide(total, size).alias("__mean"), df.alias("__df"))
+
+
 def knn(spark: SparkSession, vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str, k: int, exclude_self: bool = True) -> DataFrame:
     """``(query_id, chunk_id, rank, score)``: the k vectors of the largest inner product with each query, exactly.
 
@@ -201,6 +227,7 @@ def table_rows(df: DataFrame, group: str | None, row_id: str, expression: str |
 def with_recent(candidates: DataFrame, docs: DataFrame, group: str, key: str, day: str, n: int) -> DataFrame:
     """Candidates followed by the n newest dated texts that aren't among them (day, then id, falling; undated ones by id rising
     after all dated ones); the rank goes on, their score is 0."""
+    candidates = cut_lineage(candidates)  # small, and used three times
     rest = docs.select(F.col(group), F.col(key).alias("chunk_id"), F.col(day).alias("__day")).join(candidates.select(group, "chunk_id"), [group, "chunk_id"], "left_anti")
     order = [F.desc_nulls_last("__day"), F.when(F.col("__day").isNotNull(), F.col("chunk_id")).desc_nulls_last(), F.asc("chunk_id")]
     new = ranked(rest, [group], order, n).withColumnRenamed("rank", "__r")

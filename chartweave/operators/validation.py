@@ -162,3 +162,41 @@ def canonical_hash(data: object, skip: tuple[str, ...] = ()) -> str:
     if isinstance(data, dict):
         data = {k: v for k, v in data.items() if k not in skip}
     return "sha256:" + hashlib.sha256(json.dumps(data, sort_keys=True, separators=(",", ":"), default=str, ensure_ascii=False).encode()).hexdigest()
+
+
+def found_count(data: object) -> int:
+    """How much an answer holds: its records, if it has exactly one list of records, else its value-bearing leaves."""
+    lists, leaves = [], 0
+
+    def walk(d: object) -> None:
+        nonlocal leaves
+        if isinstance(d, dict):
+            for k, v in d.items():
+                if isinstance(v, list) and v and all(isinstance(x, dict) for x in v):
+                    lists.append(len(v))
+                if isinstance(v, (dict, list)):
+                    walk(v)
+                leaves += _bears_value(k, v)
+        elif isinstance(d, list):
+            for x in d:
+                walk(x)
+
+    walk(data)
+    return lists[0] if len(lists) == 1 else leaves
+
+
+def artifact_report(artifacts: DataFrame, kind: str, payload: str, schemas: dict[str, dict]) -> DataFrame:
+    """``(artifact_type, rows, invalid, example)`` of JSON payloads against the schema of their type; a type without one is
+    invalid, as is text that is no JSON."""
+
+    def errors(t: str | None, text: str | None) -> str | None:
+        if t not in schemas:
+            return "unknown type"
+        try:
+            found = schema_errors(json.loads(text), schemas[t]) if text else ["empty"]
+        except ValueError:
+            return "no JSON"
+        return found[0] if found else None
+
+    marked = artifacts.select(F.col(kind).alias("artifact_type"), F.udf(errors, "string")(kind, payload).alias("e"))
+    return marked.groupBy("artifact_type").agg(F.count("*").alias("rows"), F.count("e").alias("invalid"), F.min("e").alias("example"))

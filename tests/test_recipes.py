@@ -105,3 +105,18 @@ def test_headers_and_matching():
     assert evaluation.values_match("2020-03-15", "2020-03-XX") and not evaluation.values_match("2020-03-XX", "2020-03-15")
     assert evaluation.values_match([{"a": "X"}, {"a": "y"}], [{"a": "y"}, {"a": "x"}]) and not evaluation.values_match([1, 1], [1, 2])
     assert evaluation.values_match({"a": 1, "b": 2}, {"a": 1}) and not evaluation.values_match(True, 1)
+
+
+def test_counts_reports_and_hidden_values(spark, caplog):
+    import logging
+
+    from chartweave.operators.deid import Redacting
+
+    assert validation.found_count({"rows": [{"a": 1}, {"a": None}], "note": "x"}) == 2
+    assert validation.found_count({"a": 1, "b": {"c": "unknown", "d": "y"}, "e": None}) == 2
+    df = spark.createDataFrame([("t", '{"a": 1}'), ("t", "{}"), ("t", "x"), ("u", "{}"), ("t", None)], "k string, p string")
+    got = {tuple(r) for r in validation.artifact_report(df, "k", "p", {"t": {"type": "object", "required": ["a"]}}).collect()}
+    assert got == {("t", 4, 3, "$.a: missing"), ("u", 1, 1, "unknown type")}
+    record = logging.LogRecord("n", logging.INFO, "f", 1, "patient %s at %d", ("x", 3), None)
+    Redacting().filter(record)
+    assert record.getMessage() == "patient [hidden] at [hidden]"
