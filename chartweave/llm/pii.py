@@ -237,7 +237,7 @@ def checked(text: str, a: int, z: int, kind: str) -> tuple[int, int, str] | None
     return (a, z, kind) if a < z else None
 
 
-def train(given: list[str] = (), family: list[str] = (), rows: int = 1800, rounds: int = 14, seed: int = 5) -> Model:
+def train(given: list[str] = (), family: list[str] = (), rows: int = 2600, rounds: int = 14, seed: int = 5) -> Model:
     """Maximum likelihood by Adam over batches; ``given`` and ``family``: name lists that serve as word features."""
     table = labelled_rows(rows, given=list(given), family=list(family))
     texts = [t for _, t, _ in table]
