@@ -128,16 +128,19 @@ def _tri(shape: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, features: Features, weights: np.ndarray, tri: np.ndarray, steps: np.ndarray):
-        self.features, self.weights, self.tri, self.steps = features, weights, tri, steps
+    """``most``: beyond so many distinct tokens, all are forgotten before the next batch is read."""
+
+    def __init__(self, features: Features, weights: np.ndarray, tri: np.ndarray, steps: np.ndarray, most: int = 400_000):
+        self.features, self.weights, self.tri, self.steps, self.most = features, weights, tri, steps, most
+        self._forget()
+
+    def _forget(self) -> None:
         self.tokens = Tokens()
         self.rows = np.zeros((0, len(AROUND), L), np.float32)
         self.shapes = np.zeros(0, np.int64)
 
     def _grow(self) -> None:
-        if len(self.tokens.list) > 400_000:
-            self.tokens = Tokens()
-            self.rows, self.shapes = self.rows[:0], self.shapes[:0]
+        """Adds the rows of new tokens; the numbers given out before stay good."""
         new = self.tokens.list[len(self.rows) :]
         if new:
             rows = np.zeros((len(new), len(AROUND), L), np.float32)
@@ -150,8 +153,8 @@ class Model:
 
     def find(self, texts: list[str]) -> list[list[tuple[int, int, str]]]:
         """``(start, end, kind)`` of every item of each text, in order."""
-        if len(self.tokens.list) > 400_000:
-            self._grow()
+        if len(self.tokens.list) > self.most:
+            self._forget()
         ids, starts, ends, owner = self.tokens.read(texts)
         self._grow()
         n = len(ids)

@@ -53,3 +53,12 @@ def test_placeholders():
 def test_the_checks_of_a_span():
     assert pii.checked("(030 555 0101).", 0, 15, "phone") == (1, 13, "phone") or pii.checked("(030 555 0101).", 0, 15, "phone")[2] == "phone"
     assert pii.checked("Dr. MD", 0, 6, "name") is None and pii.checked("12345", 0, 5, "id") is None
+
+
+def test_forgetting_tokens_changes_nothing(roster):
+    whole = model_for(roster)
+    texts = [t for _, t, _ in labelled_rows(60, seed=31, given=GIVEN, family=COMMON_FAMILIES)]
+    want, f = whole.find(texts), whole.features
+    for most in (0, 50, 10_000):
+        small = pii.Model(f, whole.weights, whole.tri, whole.steps, most)
+        assert [s for k in range(0, 60, 7) for s in small.find(texts[k : k + 7])] == want
