@@ -1,8 +1,8 @@
 """Encoding of a corpus with a public byte-level BPE tokenizer, and back.
 
 Method: the tokenizers library over Arrow batches.  Its word splitter never lets a token cross from a non-blank
-to a blank, so a text falls into pieces that start at single blanks, and the ids of a text are those of its
-pieces in a row; the pieces of a batch that a worker hasn't met yet are encoded in one call.  The byte table maps
+to a blank, so a text falls into pieces that start at blanks with no white space on either side, and the ids of a text
+are those of its pieces in a row; the pieces of a batch that a worker hasn't met yet are encoded in one call.  The byte table maps
 the printable characters of the vocabulary to bytes: with it ids give byte lengths, those give character offsets,
 and decoding joins characters that are split over tokens.
 """
@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 #: At most so many pieces are remembered by a worker (about 200 bytes each).
 MEMORY = 400_000
 _GAP = re.compile(r"(?<=\S) (?=\S)")
+#: A blank beside white space of any kind: a vocabulary may have a token for such a run, so it isn't cut.
+_RUN = re.compile(r"\s(?:(?<= )\s|(?<! ) )")
 
 
 def default_path() -> str:
@@ -77,7 +79,7 @@ class Encoder:
         self.t, self.seen = tokenizer(path), {}
 
     def words(self, text: str) -> list[str]:
-        return text.split(" ") if "  " not in text and text[-1] != " " else _GAP.split(text)
+        return text.split(" ") if text[-1] != " " and "  " not in text and not _RUN.search(text) else _GAP.split(text)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's ids end; null and empty texts have none."""

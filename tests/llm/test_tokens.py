@@ -33,3 +33,10 @@ def test_table(spark):
     want = sorted((i, tokenizer(default_path()).encode(t, add_special_tokens=False).ids if t else []) for i, t, _ in rows)
     assert got == want and dict(got)[2] == [] == dict(got)[3] and 50256 not in dict(got)[5]
     assert encode_corpus(df.limit(0), "doc_id", "text").collect() == []
+
+
+def test_runs_of_mixed_white_space_stay_whole():
+    for space in "\xa0\u2002\u2003\u202f\u3000\t\n\r\x1c\x85":
+        for run in (f" {space}", f"{space} ", f" {space} {space} ", f"{space} {space} {space}", f" {space} {space} {space} {space}"):
+            for text in (f"a{run}b c", f"{run}a b", f"a b{run}"):
+                assert ENC.encode([text])[0].tolist() == tokenizer(default_path()).encode(text, add_special_tokens=False).ids, repr(text)
