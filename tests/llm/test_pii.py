@@ -62,3 +62,23 @@ def test_forgetting_tokens_changes_nothing(roster):
     for most in (0, 50, 10_000):
         small = pii.Model(f, whole.weights, whole.tri, whole.steps, most)
         assert [s for k in range(0, 60, 7) for s in small.find(texts[k : k + 7])] == want
+
+
+def test_decoding_is_that_of_whole_texts():
+    rng, words = np.random.default_rng(3), ["ann", "lee", "saw", "ida", "ray"]
+    known = {"w" + w: i for i, w in enumerate(words)}
+    weights, steps = np.zeros((7, 5, len(LABELS)), np.float32), np.zeros((len(LABELS),) * 2, np.float32)
+    b, i = LABELS.index("B-name"), LABELS.index("I-name")
+    weights[3, :, 1:] = -9
+    weights[3, 0, b] = weights[3, 1, i] = -4
+    steps[b, i] = 10
+    plain_tri = np.zeros((pii.TRI, len(LABELS)), np.float32)
+    assert pii.Model(pii.Features(known, set(words), set(), set()), weights, plain_tri, steps).find(["saw ann lee"]) == [[(4, 11, "name")]]
+    for k in range(20):
+        weights, steps = rng.normal(0, 4, (7, 5, len(LABELS))).astype(np.float32), rng.normal(0, 2, steps.shape).astype(np.float32)
+        weights[:, :, 0] += k / 4
+        texts = [" ".join(rng.choice(words, 30)) for _ in range(10)]
+        model = pii.Model(pii.Features(known, set(words), set(), set()), weights, plain_tri, steps)
+        got = model.find(texts)
+        model.gain = np.full(len(LABELS), np.inf, np.float32)
+        assert got == model.find(texts)
