@@ -999,6 +999,25 @@ def recipe_retrieve_and_prompt(spark: SparkSession, d: str) -> DataFrame:
     return HANDLERS["retrieve_and_prompt"](packed, ["source"], {"prompt": "Answer from the passages."}, EchoProvider(200_000))
 
 
+@query()
+def recipe_run(spark: SparkSession, d: str) -> DataFrame:
+    """Two recipes with all kinds of step but python, one over the other's answer; a row per patient, recipe and step."""
+    from chartweave.plans.recipes import EchoProvider, parse_recipe
+    from chartweave.plans.runner import Corpus, run_recipes
+
+    docs = _docs(spark, d).select("patient_id", F.col("doc_id").alias("chunk_id"), "text", "title", "doc_type", "document_date", F.lit(None).cast("string").alias("author"), "source").where("patient_id is not null")
+    orders = load(spark, d, "med_orders").where("patient_id is not null")
+    found = {"id": "find", "kind": "retrieve_and_prompt", "prompt": "Answer from the passages.", "retrieval": {"kind": "hybrid", "query": QUESTION, "k": 10}, "filters": [{"field": "document_date", "op": ">=", "value": "2000-01-01", "keep_if_missing": True}], "reranking": {"top_n": 5, "chronological_order": True}, "also_include_tables": [{"name": "med_orders", "filter": "medication contains 'TABLET'", "columns": ["medication", "route"], "max_rows": 3}], "stop_if": "data is not null"}
+    rows = {"table": "med_orders", "columns": ["medication", "route"], "max_rows": 2}
+    made = [
+        {"name": "evidence", "version": 1, "steps": [found, {"id": "rows", "kind": "direct_parquet", **rows}]},
+        {"name": "summary", "version": 1, "depends_on": ["evidence"], "steps": [{"id": "each", "kind": "map_table_rows_and_prompt", "prompt": "One answer per row.", **rows}, {"id": "sum", "kind": "llm_only", "prompt": "{{ evidence }} {{ each }}"}]},
+    ]
+    groups = docs.select("patient_id").union(orders.select("patient_id")).distinct()
+    steps, _ = run_recipes({r["name"]: parse_recipe(r) for r in made}, ["summary"], Corpus("patient_id", groups, docs, {"med_orders": (orders, "row_id")}), EchoProvider(200_000))
+    return steps
+
+
 @query()
 def recipe_map_rows(spark: SparkSession, d: str) -> DataFrame:
     from chartweave.plans.recipes import HANDLERS, EchoProvider

@@ -120,3 +120,39 @@ def test_counts_reports_and_hidden_values(spark, caplog):
     record = logging.LogRecord("n", logging.INFO, "f", 1, "patient %s at %d", ("x", 3), None)
     Redacting().filter(record)
     assert record.getMessage() == "patient [hidden] at [hidden]"
+
+
+def test_a_recipe_runs_and_every_setting_counts(spark):
+    from chartweave.plans.runner import Corpus, run_recipes
+
+    class Shows:
+        def chat(self, request):
+            if "boom" in request.user:
+                raise RuntimeError("x")
+            return R.Response(json.dumps({"saw": request.user}))
+
+    docs = spark.createDataFrame([("a", 1, "fever old", "2001-01-01"), ("a", 2, "fever fever new", "2021-01-01"), ("a", 3, "fever late fever fever", "2022-05-01"), ("a", 4, "fever ancient", "1950-01-01"), ("b", 5, "nothing", None), ("c", 6, "fever boom", "2020-01-01")], "p string, chunk_id long, text string, document_date string")
+    docs = docs.select("*", *(F.lit(None).cast("string").alias(c) for c in ("title", "doc_type", "author", "source")))
+    orders = spark.createDataFrame([("a", 1, "x pill", "u"), ("a", 2, None, "u"), ("a", 3, "y pill", "v"), ("a", 4, "z pill", "u"), ("b", 5, "drop", "u"), ("b", 6, "w pill", "u")], "p string, row_id long, drug string, unit string")
+    find = {"id": "find", "kind": "retrieve_and_prompt", "prompt": "?", "retrieval": {"kind": "exact", "query": "fever", "k": 4}, "filters": [{"field": "document_date", "op": ">=", "value": "2000-01-01"}], "reranking": {"top_n": 2, "chronological_order": True}, "stop_if": "data like '%late%'"}
+    find["also_include_tables"] = [{"name": "orders", "filter": "drug contains 'pill'", "columns": ["drug"], "max_rows": 2}, {"name": "gone"}]
+    rows = {"id": "rows", "kind": "direct_parquet", "table": "orders", "columns": ["drug"], "max_rows": 2}
+    made = [{"name": "one", "version": 1, "steps": [find, rows]}, {"name": "two", "version": 1, "depends_on": ["one"], "steps": [{"id": "each", "kind": "map_table_rows_and_prompt", "prompt": "?", "table": "orders", "filter": "unit == 'u'"}, {"id": "sum", "kind": "llm_only", "prompt": "{{ one }}|{{ each }}"}]}]
+    corpus = Corpus("p", spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "p string"), docs, {"orders": (orders, "row_id")})
+    steps, answers = run_recipes({r["name"]: R.parse_recipe(r) for r in made}, ["two"], corpus, Shows())
+    got = {(r.p, r.recipe, r.step): r for r in steps.collect()}
+    assert len(got) == 16
+    assert {p: (got[p, "one", "find"].status, got[p, "one", "rows"].status) for p in "abcd"} == {"a": ("stopped", "skipped"), "b": ("complete", "complete"), "c": ("failed", "complete"), "d": ("complete", "complete")}
+    saw = json.loads(got["a", "one", "find"].data)["saw"]
+    assert [line.split(" | ")[0].split("] ")[1] for line in saw.split("\n") if " | " in line] == ["a:orders:1:TABLE", "a:orders:3:TABLE", "2", "3"]
+    assert json.loads(got["b", "one", "rows"].data) == [{"row_id": 5, "drug": "drop"}, {"row_id": 6, "drug": "w pill"}] and got["d", "one", "find"].error == "empty_evidence"
+    assert [x["row_id"] for x in json.loads(got["a", "two", "each"].data)] == [1, 2, 4]
+    last = {(r.p, r.recipe): r for r in answers.collect()}
+    assert last["a", "one"].answered_by == "find" and last["b", "one"].answered_by == "rows" and last["c", "one"].data is None
+    assert last["a", "two"].answered_by == "sum" and "late" in last["a", "two"].data
+
+
+def test_keys_that_a_kind_does_not_read_are_refused():
+    for step in ({"kind": "llm_only", "max_rows": 3}, {"kind": "direct_parquet", "table": "t", "retrieval": {"kind": "exact", "query": "x"}}, {"kind": "retrieve_and_prompt", "retrieval": {"kind": "embedding", "query": "x"}}, {"kind": "retrieve_and_prompt", "retrieval": {"kind": "exact", "query": "x"}, "also_include_tables": [{"name": "t", "rows": 1}]}):
+        with pytest.raises(ValueError):
+            R.parse_recipe(_raw(steps=[{"id": "a"} | step]))
