@@ -49,3 +49,9 @@ def test_the_core_doesnt_import_the_subpackage():
     for f in glob.glob(f"{root}/chartweave/**/*.py", recursive=True):
         if f"{os.sep}llm{os.sep}" not in f:
             assert "chartweave.llm" not in open(f).read(), f
+
+
+def test_recall_of_the_registered_index(spark):
+    pairs = lambda name: {(r.query_id, r.chunk_id) for r in entry.queries()[name](spark, HERE).collect()}
+    exact, near = pairs("retrieve_knn"), pairs("retrieve_knn_index")
+    assert len(exact & near) >= 0.9 * len(exact) > 0 and len(near) <= len(exact)
