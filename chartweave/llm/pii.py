@@ -344,10 +344,11 @@ def _trained(given: tuple[str, ...], family: tuple[str, ...]) -> Model:
     return train(list(given), list(family))
 
 
-def model_for(roster: DataFrame, most: int = 5000) -> Model:
-    """Trained with the names of a roster (at most ``most`` rows of it, in name order, as word features)."""
-    rows = roster.select("given_name", "family_name").distinct().orderBy("family_name", "given_name").limit(most).collect()
-    return _trained(tuple(sorted({r[0] for r in rows if r[0]})), tuple(sorted({r[1] for r in rows if r[1]})))
+def model_for(roster: DataFrame) -> Model:
+    """Trained with all distinct given and family names of a roster as word features.  They are held by the driver and in the
+    broadcast model, so these grow with the number of distinct names (not with the texts)."""
+    given, family = (tuple(sorted(r[0] for r in roster.select(c).distinct().collect() if r[0])) for c in ("given_name", "family_name"))
+    return _trained(given, family)
 
 
 def _share(spark: SparkSession, model: Model):
@@ -363,7 +364,7 @@ def find_items(spark: SparkSession, df: DataFrame, key: str, fields: list[str],
     """``(key, field_name, kind, char_start, char_end)`` of every item in the named text fields.
 
     Null, empty and blank fields give no row.  Whole texts are read, whatever their length; repeated field values of a
-    batch are read once.  The model (about 2 MB, its size is that of the labelled table) is broadcast.
+    batch are read once.  The model (about 2 MB by the labelled table, and the roster's distinct names) is broadcast.
     """
     shared = _share(spark, model_for(roster))
 

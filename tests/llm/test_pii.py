@@ -82,3 +82,10 @@ def test_decoding_is_that_of_whole_texts():
         got = model.find(texts)
         model.gain = np.full(len(LABELS), np.inf, np.float32)
         assert got == model.find(texts)
+
+
+def test_every_name_of_a_long_roster_counts(spark, monkeypatch):
+    monkeypatch.setattr(pii, "_trained", lambda given, family: (given, family))
+    long = spark.createDataFrame([(f"G{i % 7}", f"Name{i:05}") for i in range(6000)] + [("Zoe", "Zysk"), ("Zoe", None), (None, "")], "given_name string, family_name string")
+    given, family = model_for(long)
+    assert given == tuple(f"G{i}" for i in range(7)) + ("Zoe",) and len(family) == 6001 and family[-1] == "Zysk"
