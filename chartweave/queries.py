@@ -919,12 +919,30 @@ def validate_provenance_json(spark: SparkSession, d: str) -> DataFrame:
 
 # --- de-identification ---
 
-_TYPES = " ".join(f"when contains(t, '{k}') then '{k}'" for k in deid.DOC_TYPES[:-1])
+# Written out by hand, so that a slip in the operator's own tables shows.
+_DOC_TYPE = """case
+  when t in ('pathology','radiology','progress_note','clinical_note','discharge_summary','operative_note','consult','laboratory','medication','diagnosis','demographics','encounter','procedure','order','flowsheet','immunization','unknown') then t
+  when t like '%patholog%' then 'pathology' when t like '%radiolog%' or t like '%imaging%' then 'radiology'
+  when t like '%discharge%' then 'discharge_summary' when t like '%operative%' or t like '%op note%' then 'operative_note'
+  when t like '%consult%' then 'consult' when t like '%immuniz%' then 'immunization' when t like '%flowsheet%' then 'flowsheet'
+  when t like '%med\\_admin%' escape '\\' or t like '%med\\_order%' escape '\\' or t like '%medication%' then 'medication' when t like '%laborator%' then 'laboratory'
+  when t like '%diagnos%' then 'diagnosis' when t like '%demographic%' then 'demographics' when t like '%encounter%' then 'encounter'
+  when t like '%procedure%' then 'procedure' when t like '%progress%' then 'progress_note' when t like '%order%' then 'order'
+  when t like '%clinical%' or t like '%note%' then 'clinical_note' when t like '%lab%' then 'laboratory' else 'unknown' end"""
+
+
+@query(f"with d as (select doc_id, doc_type as raw, lower(trim(doc_type)) as t from documents), c as (select *, {_DOC_TYPE} as k from d) select doc_id, k as doc_type, coalesce(trim(raw) <> '', false) and k = 'unknown' as unmapped from c")
+def deid_doc_type(spark: SparkSession, d: str) -> DataFrame:
+    return _docs(spark, d).select("doc_id", deid.canonical_doc_type(F.col("doc_type")).alias("doc_type"), deid.is_unmapped(F.col("doc_type")).alias("unmapped"))
 
 
-@query(f"with d as (select doc_id, lower(trim(doc_type)) as t from documents) select doc_id, case {_TYPES} else 'unknown' end as doc_type from d")
-def deid_doc_type(spark: SparkSession, d: str) -> DataFrame:
-    return _docs(spark, d).select("doc_id", deid.canonical_doc_type(F.col("doc_type")).alias("doc_type"))
+@query(f"""with c as (select title as raw, lower(trim(title)) as t from clinical_note union all select type, lower(trim(type)) from clinical_note),
+k as (select {_DOC_TYPE} as doc_type, raw from c) select doc_type, count(*) as n, count(*) filter (trim(raw) <> '' and doc_type = 'unknown') as unmapped from k group by 1""")
+def deid_doc_types_of_notes(spark: SparkSession, d: str) -> DataFrame:
+    n = load(spark, d, "clinical_note")
+    every = n.select(F.col("title").alias("raw")).unionByName(n.select(F.col("type").alias("raw")))
+    marked = every.select(deid.canonical_doc_type(F.col("raw")).alias("doc_type"), deid.is_unmapped(F.col("raw")).alias("u"))
+    return marked.groupBy("doc_type").agg(F.count("*").alias("n"), F.count_if("u").alias("unmapped"))
 
 
 @query("""
@@ -939,25 +957,92 @@ def deid_small_cells_dropped(spark: SparkSession, d: str) -> DataFrame:
     return deid.small_cells(load(spark, d, "demographics").groupBy("site_code", "language").agg(F.count("*").alias("n")), "n")
 
 
-def _forbidden(c: str) -> str:
-    safe = " or ".join(f"regexp_matches({c}, '{p}')" for p in deid.SAFE)
-    return f"coalesce(not ({safe}) and (" + " or ".join(f"regexp_matches({c}, '{p}')" for p in deid.FORBIDDEN) + "), false)"
+def _forbidden(c: str, field: str = "") -> str:
+    """The rule in SQL, written out by hand: no safe shape, or a file's name or forbidden content in one."""
+    m = lambda p: f"regexp_matches({c}, '{p}')"
+    capitals = "" if field in ("site_id", "study_id") else f"and not ({m('^[A-Za-z]+$')} and {m('[A-Z]')})"
+    safe = f"""{c} = '' or {m('^surr:v1:(run|study|site):[a-z][a-z0-9_]*:[0-9a-f]{24}$')} or {m('^sha256:[0-9a-f]{3,64}$')}
+  or ({m('^([0-9a-f]{16}|[0-9a-f]{64})$')} and {m('[a-f]')}) or {m('^([0-9]{4}-[0-9]{2}|unknown)$')}
+  or {m('^(v[0-9]+([.][0-9]+)*|[0-9]+[.][0-9]+([.][0-9]+)*|[A-Za-z0-9_]+/v[0-9]+)$')} {"or " + m('^[0-9]{8}_[A-Za-z0-9_]+$') if field == "run_id" else ""}
+  or (length({c}) <= 80 and {m('^[A-Za-z0-9_./-]+$')} and not {m('[0-9]{1,4}[-/][0-9]{1,2}[-/][0-9]{1,4}')} and not {m('[0-9]{5}')} {capitals})"""
+    bad = "|".join([
+        r"\.(csv|tsv|xls|xlsx|xlsm|json|jsonl|parquet|txt|pdf|doc|docx|htm|html|xml|rtf|dat|dcm|out|log)\b", r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", r"\bmrn\s*[:=]?\s*[0-9]", r"\bdob\s*[:=]?\s*[0-9]",
+        r"date\s+of\s+birth\s*:", r"patient_name\s*[:=]", r"chief\s+complaint", r"history\s+of\s+present\s+illness", r"assessment\s+and\s+plan", r"patient\s+present", r"physical\s+exam",
+        r"/ehr/", r"/mrn/", r"/mrns/", r"clarity[_/-]", r"ssn[:=]", r"\b(gs|id|mrn)[0-9]+\b", r"\bpt[_-]?[0-9]+\b",
+    ])
+    return f"coalesce(not ({safe}) or regexp_matches({c}, '(?i){bad}'), false)"
+
 
+# Ids and months are there to show what passes; names, prose and bare numbers don't.
+_SCANNED = """(select cast(row_id as varchar) as row_id, author, title, text, site_code, 'surr:v1:study:patient_id:' || substr(sha256(patient_id), 1, 24) as surrogate, substr(sha256(text), 1, 16) as fingerprint, patient_id from clinical_note)"""
 
-@query(f"select row_id, {_forbidden('text')} as text_forbidden, {_forbidden('author')} as author_forbidden, {_forbidden('title')} as title_forbidden from clinical_note")
+
+@query(f"select row_id, {', '.join(f'{_forbidden(c)} as {c}_forbidden' for c in ('text', 'author', 'title', 'surrogate', 'fingerprint', 'patient_id'))}, {_forbidden('site_code', 'site_id')} as site_id_forbidden, {_forbidden('site_code')} as site_code_forbidden from {_SCANNED}")
 def deid_forbidden_scan(spark: SparkSession, d: str) -> DataFrame:
-    n = load(spark, d, "clinical_note")
-    return n.select("row_id", *[deid.is_forbidden(F.col(c)).alias(f"{c}_forbidden") for c in ("text", "author", "title")])
+    n = load(spark, d, "clinical_note").select(
+        F.col("row_id").cast("string").alias("row_id"), "author", "title", "text", "patient_id", "site_code", F.col("site_code").alias("site_id"),
+        F.concat(F.lit("surr:v1:study:patient_id:"), F.substring(F.sha2("patient_id", 256), 1, 24)).alias("surrogate"), F.substring(F.sha2("text", 256), 1, 16).alias("fingerprint"),
+    )
+    return n.select("row_id", *[deid.is_forbidden(F.col(c), c).alias(f"{c}_forbidden") for c in ("text", "author", "title", "surrogate", "fingerprint", "patient_id", "site_id", "site_code")])
+
+
+@query(f"""with w as (select case row_id % 6 when 0 then author when 1 then 'row_' || row_id % 100 when 2 then '2024-05' when 3 then 'note_' || substr(date, 1, 10) when 4 then 'report.csv' else 'MRN ' || row_id end as value from clinical_note),
+l as (select unnest(['no safe shape', 'file name', 'absolute date', 'record number']) as label)
+select label, count(*) as n from w, l where value is not null and case label when 'no safe shape' then not regexp_matches(value, '^([A-Za-z0-9_./-]+)$') or regexp_matches(value, '[0-9]{{1,4}}[-/][0-9]{{1,2}}[-/][0-9]{{1,4}}|[0-9]{{5}}') or regexp_matches(value, '^[A-Za-z]+$') and regexp_matches(value, '[A-Z]')
+  when 'file name' then value = 'report.csv' when 'absolute date' then regexp_matches(value, '\\b[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\\b') else regexp_matches(value, '(?i)\\bMRN [0-9]') end
+  and value <> '' and not value = '2024-05' group by 1""")
+def deid_violation_labels(spark: SparkSession, d: str) -> DataFrame:
+    r = F.col("row_id")
+    value = (
+        F.when(r % 6 == 0, F.col("author")).when(r % 6 == 1, F.concat(F.lit("row_"), r % 100)).when(r % 6 == 2, "2024-05")
+        .when(r % 6 == 3, F.concat(F.lit("note_"), F.substring("date", 1, 10))).when(r % 6 == 4, "report.csv").otherwise(F.concat(F.lit("MRN "), r))
+    )
+    return load(spark, d, "clinical_note").select(F.explode(deid.violations(value)).alias("label")).groupBy("label").agg(F.count("*").alias("n"))
 
 
-@query(f"""with g as (select *, {_forbidden('author')} as a, {_forbidden('title')} as t from clinical_note)
-select count(*) filter (not a and not t) as written, count(*) filter (a or t) as rejected, count(*) filter (a) as for_author from g""")
+@query(f"""with g as (select *, {_forbidden('author')} as a, {_forbidden('title')} as t, {_forbidden('site_code', 'site_id')} as s from clinical_note)
+select count(*) filter (not a and not t and not s) as written, count(*) filter (a or t or s) as rejected, count(*) filter (a) as for_author from g""")
 def deid_write_gate(spark: SparkSession, d: str) -> DataFrame:
-    good, bad = deid.gated(load(spark, d, "clinical_note"), ["author", "title"])
+    good, bad = deid.gated(load(spark, d, "clinical_note").select("author", "title", F.col("site_code").alias("site_id")), ["author", "title", "site_id"])
     sides = good.select(F.lit(True).alias("ok"), F.lit(False).alias("a")).unionByName(bad.select(F.lit(False).alias("ok"), F.array_contains("rejected_for", "author").alias("a")))
     return sides.agg(F.count_if("ok").alias("written"), F.count_if(~F.col("ok")).alias("rejected"), F.count_if("a").alias("for_author"))
 
 
+@query(f"""with p as (select distinct patient_id from demographics where trim(patient_id) <> ''),
+c as (select 'pointer' as k, patient_id || ':note:' || row_id as v from clinical_note union all select 'title', title from clinical_note
+  union all select 'site_id', site_code from clinical_note),
+m as (select k, {_forbidden('v')} and not (k = 'site_id' and not {_forbidden('v', 'site_id')}) as bad, exists (select 1 from p where contains(v, p.patient_id)) as hit from c where v is not null)
+select k as "column", count(*) filter (bad) as forbidden, count(*) filter (hit) as with_id from m group by 1 having count(*) filter (bad or hit) > 0""")
+def deid_egress(spark: SparkSession, d: str) -> DataFrame:
+    n = load(spark, d, "clinical_note").select(F.concat_ws(":", F.when(F.col("patient_id").isNotNull(), F.col("patient_id")), F.lit("note"), "row_id").alias("pointer"), "title", F.col("site_code").alias("site_id"), "patient_id")
+    n = n.withColumn("pointer", F.when(F.col("patient_id").isNotNull(), F.col("pointer")))
+    return deid.verified_export(n, ["pointer", "title", "site_id"], load(spark, d, "demographics"), "patient_id")
+
+
+@query("""select row_id, site_code is not null and (case row_id % 4 when 0 then 'bm25' when 1 then 'embedding' when 2 then 'hybrid' else 'vector' end) in ('bm25', 'embedding', 'hybrid', 'exact', 'direct_parquet', 'unknown')
+  and (row_id % 5 = 0 or row_id % 5 = 1) as valid from clinical_note""")
+def deid_vocabulary(spark: SparkSession, d: str) -> DataFrame:
+    r = F.col("row_id")
+    rows = load(spark, d, "clinical_note").select(
+        "row_id", "site_code", F.when(r % 4 == 0, "bm25").when(r % 4 == 1, "embedding").when(r % 4 == 2, "hybrid").otherwise("vector").alias("retriever"),
+        F.when(r % 5 == 0, "stop").when(r % 5 == 1, "length").otherwise("Stop").alias("finish_reason"),
+    )
+    return deid.constrained(rows, {c: deid.VOCABULARIES[c] for c in ("retriever", "finish_reason")}, ["site_code", "retriever"]).select("row_id", "valid")
+
+
+@query("""select row_id, (row_id % 7 <> 0) and row_id % 3 in (0, 1) and patient_id is not null and regexp_matches(case when row_id % 11 = 0 then date else '2024-05' end, '^([0-9]{4}-[0-9]{2}|unknown)$') as valid from clinical_note
+where row_id is not null""")
+def deid_records(spark: SparkSession, d: str) -> DataFrame:
+    r, lit = F.col("row_id"), F.lit
+    fixed = {c: lit("x") for c in deid.REVIEW_HEADER.split()} | {"record_type": lit("relevance_label"), "reviewer_surrogate": lit("x"), "chunk_surrogate": lit("x")}
+    fixed |= {
+        "emitted_month": F.when(r % 11 == 0, F.col("date")).otherwise("2024-05"), "patient_surrogate": F.sha2("patient_id", 256),
+        "reviewer_tier": F.when(r % 7 == 0, None).otherwise("expert"), "label": F.when(r % 3 == 0, "relevant").when(r % 3 == 1, "unsure").otherwise("maybe"), "step_id": r.cast("string"),
+    }
+    n = load(spark, d, "clinical_note").select(*[v.alias(k) for k, v in fixed.items()])
+    return deid.valid_record(n, "relevance_label").select(F.col("step_id").cast("long").alias("row_id"), F.coalesce("valid", lit(False)).alias("valid"))
+
+
 @query(f"with {_bm25()} select source, count(*) as n, count(*) filter (rank <= 5) as n_selected, md5(string_agg(sha256(chunk_id::varchar), ',' order by rank)) as hashes from rk where rank <= 20 group by 1")
 def deid_selection_rows(spark: SparkSession, d: str) -> DataFrame:
     found = retrieval.bm25(_docs(spark, d), "source", "doc_id", "text", QUESTION, 20).withColumn("selected", F.col("rank") <= 5)
@@ -966,19 +1051,22 @@ def deid_selection_rows(spark: SparkSession, d: str) -> DataFrame:
     return out.select("source", F.size("candidates").cast("long").alias("n"), "n_selected", hashes.alias("hashes"))
 
 
-_BUCKETS = " ".join("when " + " or ".join(f"contains(t, '{w}')" for w in words) + f" then '{name}'" for name, words in deid.ERROR_WORDS)
-
-
-@query(f"with t as (select row_id, lower(coalesce(order_status, '') || ' ' || coalesce(sig, '')) as t from med_orders) select row_id, case {_BUCKETS} else 'other' end as bucket from t")
+@query("""with t as (select row_id, row_id % 6 = 5 as passed, case row_id % 6 when 0 then 'JSONDecodeError: line ' || row_id when 1 then 'Empty content in ' || sig when 2 then 'answer was not a JSON object' when 3 then 'EMPTY_EVIDENCE' else coalesce(order_status, 'crashed') end as m from med_orders)
+select row_id, case when m like 'JSONDecode%' then 'parse_failure' when m like 'Empty content%' then 'parse_failure' when m like '%not a JSON%' then 'parse_failure' when m = 'EMPTY_EVIDENCE' then 'empty_evidence' when passed or m is null then 'unknown' else 'validation_failure' end as error_kind,
+  case when m like 'JSONDecode%' then 'json_decode_error' when m like 'Empty content%' then 'empty_content' when m like '%not a JSON%' then 'not_a_json_object' else 'none' end as parse_failure_kind from t""")
 def deid_error_buckets(spark: SparkSession, d: str) -> DataFrame:
-    m = F.concat(F.coalesce("order_status", F.lit("")), F.lit(" "), F.coalesce("sig", F.lit("")))
-    return load(spark, d, "med_orders").select("row_id", deid.error_bucket(m).alias("bucket"))
+    r = F.col("row_id")
+    message = (
+        F.when(r % 6 == 0, F.concat(F.lit("JSONDecodeError: line "), r)).when(r % 6 == 1, F.concat(F.lit("Empty content in "), "sig")).when(r % 6 == 2, "answer was not a JSON object")
+        .when(r % 6 == 3, "EMPTY_EVIDENCE").otherwise(F.coalesce("order_status", F.lit("crashed")))
+    )
+    return load(spark, d, "med_orders").select("row_id", deid.error_bucket(message, r % 6 == 5).alias("b")).select("row_id", "b.*")
 
 
 @query()
 def deid_surrogate(spark: SparkSession, d: str) -> DataFrame:
     c = load(spark, d, "chunk_index")
-    return c.select("chunk_id", deid.surrogate(F.col("chunk_id"), b"test key", "study1", "chunk", "chunk_id").alias("surrogate"))
+    return c.select("chunk_id", deid.surrogate(F.col("chunk_id"), b"test key", "study", "evidence_chunk", "chunk_id").alias("surrogate"))
 
 
 @query("select chunk_id, regexp_extract(document_date, '(\\d{4})-?(\\d{2})', 1) || '-' || regexp_extract(document_date, '(\\d{4})-?(\\d{2})', 2) as month from chunk_index where regexp_matches(document_date, '\\d{4}-?\\d{2}')")

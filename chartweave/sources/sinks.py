@@ -95,7 +95,7 @@ def export_zip(df: DataFrame, columns: list[str], path: str) -> None:
     """A zip of the table's CSV, made only after a clean scan of the named columns."""
     dirty = F.lit(False)
     for c in columns:
-        dirty = dirty | is_forbidden(F.col(c).cast("string"))
+        dirty = dirty | is_forbidden(F.col(c).cast("string"), c)
     if df.where(dirty).limit(1).count():
         raise ValueError("the export holds content that may not leave")
     with zipfile.ZipFile(path + ".tmp", "w", zipfile.ZIP_DEFLATED) as z, z.open("metadata.csv", "w") as f:

@@ -93,17 +93,46 @@ def test_deidentification(spark):
     assert s[0] == s[1] and s[0].startswith("surr:v1:study:f:") and len(s[0].rsplit(":", 1)[1]) == 24 and s[2] is None
     assert df.select(deid.surrogate(F.col("v"), b"k", "study", "other", "f")).first()[0] != s[0]
     t = spark.createDataFrame([("2020-01-01",), ("2020-01",), ("mail a@b.org",), ("plain words",), (None,), (s[0],)], "v string")
-    assert [r[0] for r in t.select(deid.is_forbidden(F.col("v"))).collect()] == [True, False, True, False, False, False]
+    assert [r[0] for r in t.select(deid.is_forbidden(F.col("v"))).collect()] == [True, False, True, True, False, False]
     good, bad = deid.gated(t, ["v"])
-    assert good.count() == 4 and bad.count() == 2
+    assert good.count() == 3 and bad.count() == 3
     c = deid.constrained(spark.createDataFrame([("a", 1), ("z", 1), (None, 1), ("a", None)], "k string, n int"), {"k": ["a", "b"]}, ["k", "n"])
     assert [r.valid for r in c.collect()] == [True, False, False, False]
     leaks = deid.verified_export(spark.createDataFrame([("00012", "x")], "a string, b string"), ["a", "b"], spark.createDataFrame([("00012",)], "p string"), "p")
-    assert [tuple(r) for r in leaks.collect()] == [("a", 1)]
+    assert [tuple(r) for r in leaks.collect()] == [("a", 1, 1)]
     assert deid.fingerprint({"a": 1, "secret": 2}, ["a"]) == deid.fingerprint({"a": 1}, ["a"])
     assert spark.createDataFrame([("20240611-x",)], "r string").select(deid.month_stamp(F.col("r"))).first()[0] == "2024-06"
 
 
+def test_only_safe_shapes_leave(spark):
+    cases = {
+        "BASSETT, KITTY": True, "Bassett": True, "bassett": False, "reports chest pain since Tuesday": True, "123456789": True, "1234": False, "01/15/2026": True, "20260115": True, "20260115_x": True,
+        "report.csv": True, "a.PDF": True, "v1.2": False, "exhaust/v1": False, "sha256:abc123": False, "0123456789012345": True, "0123456789abcdef": False, "2024-05": False, "unknown": False, "": False, "pt_7": True, "id7": True, "note_type/x.y-z": False,
+        "surr:v1:study:chunk_id:" + "a" * 24: False, "surr:v1:other:chunk_id:" + "a" * 24: True, "x" * 80: False, "x" * 81: True, "/ehr/x": True, "7" * 64: True, "é": True,
+    }
+    df = spark.createDataFrame([(k, w) for k, w in cases.items()] + [(None, False)], "v string, want boolean")
+    assert [tuple(r) for r in df.select("v", deid.is_forbidden(F.col("v")).alias("got"), "want").where("got <> want").collect()] == []
+    assert df.where(F.size(deid.violations(F.col("v"))) > 0).where("not want").count() == 0 == df.where(F.size(deid.violations(F.col("v"))) == 0).where("want").count()
+    one = spark.createDataFrame([("NORTH", "20260115_x", "NORTH")], "site_id string, run_id string, other string")
+    assert [r for r in one.select(*[deid.is_forbidden(F.col(c), c) for c in one.columns]).first()] == [False, False, True]
+
+
+def test_egress(spark, tmp_path):
+    ids = spark.createDataFrame([("00012",), ("",), (None,), ("7",)], "p string")
+    path = f"{tmp_path}/exhaust/relevance_label.parquet"
+    df = spark.createDataFrame([("ok_token", ["fine"], 1), ("x_00012", ["Jane Doe"], 2), (None, None, 3)], "a string, b array<string>, n int")
+    df.write.parquet(path)
+    good = {"record_types": {"relevance_label": {"sha256": deid.export_hash(spark, path)}}}
+    check = lambda p, m: deid.egress_findings(spark, p, m, set(deid.RECORDS), ids, "p")
+    assert check(path, good) == ["a: 1 forbidden, 1 with a patient id", "b: 1 forbidden, 0 with a patient id"]
+    assert check(path, {"record_types": {"relevance_label": {"sha256": "sha256:0"}}}) == ["another hash than the manifest's"] and check(path, {}) == ["not in the manifest"]
+    assert check(f"{tmp_path}/relevance_label.parquet", good) == ["outside the exhaust folder"] and check(f"{tmp_path}/exhaust/other.parquet", good) == ["unknown record type"]
+    with pytest.raises(ValueError, match="lacks"):
+        deid.valid_record(df.select(F.lit("x").alias("site_id")), "method_provenance")
+    with pytest.raises(ValueError, match="has no"):
+        deid.valid_record(df, "method_provenance")
+
+
 def test_packets(spark):
     rows = [("q", 1, "c1", "text one", "note", "t", "2020-01-01", None, "s", 1.23456), ("q", 2, "c2", " ", None, None, None, None, "s", 1.0), ("q", 3, "c3", "x" * 400, None, None, None, "a", "s", None)]
     df = spark.createDataFrame(rows, "q string, final_rank int, chunk_id string, text string, doc_type string, title string, document_date string, author string, source string, score double")
