@@ -8,6 +8,9 @@ nonexistent one (the offset before the change is taken).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +52,7 @@ def parse(df: DataFrame, value: str, date_order: str) -> DataFrame:
     df = df.withColumn("__t", t).withColumn(
         "__p",
         F.when(
-            F.col("__t").rlike(r"^.{8,48}$") & ~F.col("__t").rlike(r"^(?:\d{10}|\d{13})$"),
+            (F.length("__t") >= 8) & ~F.col("__t").rlike(r"^(?:\d{10}|\d{13})$"),
             F.split(F.regexp_replace("__t", PATTERN, groups), _SEP),
         ),
     )
@@ -94,7 +97,17 @@ def parse(df: DataFrame, value: str, date_order: str) -> DataFrame:
     )
 
 
-def normal_form(spark: SparkSession, df: DataFrame, value: str, zone: str, date_order: str, day_only: str) -> DataFrame:
+def _later(year: Column, what: Callable[[int], int]) -> Column:
+    """A number of the year of the table that a later year is like, by its kind."""
+    kinds = range(zones.LAST_YEAR - zones.CYCLE + 1, zones.LAST_YEAR + 1)
+    leap = F.dayofyear(F.make_date(year, F.lit(12), F.lit(31))) == 366
+    weekday = F.weekday(F.make_date(year, F.lit(1), F.lit(1)))
+    first = {(datetime(y, 12, 31).timetuple().tm_yday == 366, datetime(y, 1, 1).weekday()): y for y in kinds}
+    table = F.array(*[F.lit(what(first[k, w])) for k in (False, True) for w in range(7)])
+    return F.get(table, weekday + F.when(leap, 7).otherwise(0))
+
+
+def normal_form(spark: SparkSession, df: DataFrame, value: str, zone: str, date_order: str, day_only: str, row_zones: list[str] | None = None) -> DataFrame:
     """Adds ``normal_form``: UTC ``YYYY-MM-DDTHH:MM:SSZ`` where the text has a time of day (or is an epoch number of
     10 or 13 digits), else ``YYYY-MM-DD``; null where it can't be read.
 
@@ -102,18 +115,20 @@ def normal_form(spark: SparkSession, df: DataFrame, value: str, zone: str, date_
     boolean column: true gives the day as written, whatever time follows.  A zone name, an abbreviation used in
     the row's zone or an offset in the text counts before the row's zone.  Can't be read: null, blank, impossible
     dates or times, two-digit years, numeric dates with ``/`` or local times where the row's order or zone is
-    missing, abbreviations that the row's zone doesn't use.
+    missing, abbreviations that the row's zone doesn't use.  Adds ``zone_matches``, too: how many zone-offset intervals
+    a local time without an offset of its own matches (2: ambiguous, 0: nonexistent), null for all other values.
 
-    The names of zones are few (the IANA list bounds them), so their distinct values are gathered on the driver
-    to build the interval table, and that table is broadcast.
+    The names of zones are few (the IANA list bounds them), so the distinct ones in use are gathered on the driver
+    to build the interval table, and that table is broadcast.  ``row_zones`` spares a scan for those of ``zone``.
     """
     p = parse(df, value, date_order)
     wanted = F.coalesce(F.regexp_extract("__zone", r"^\[(.+)\]$", 1), F.lit(""))
     known = spark.createDataFrame([(z,) for z in sorted(zones.known_zones())], "z string")
-    written_name = F.when(F.col(value).contains("["), F.nullif(F.regexp_extract(value, r"\[([A-Za-z0-9_+/-]+)\]", 1), F.lit("")))
-    named = df.select(F.explode(F.array_compact(F.array(F.col(zone), written_name))).alias("z")).distinct()
-    names = sorted(r.z for r in named.join(F.broadcast(known), "z", "left_semi").collect())
-    segments = spark.createDataFrame(zones.local_segments(names), "zone string, local_year int, local_lo long, local_hi long, offset_s int, matches int")
+    bracketed = df.where(F.col(value).contains("[")).select(F.regexp_extract(value, r"\[([A-Za-z0-9_+/-]+)\]", 1).alias("z"))
+    named = bracketed if row_zones is not None else bracketed.unionByName(df.select(F.col(zone).alias("z")))
+    found = {r.z for r in named.distinct().join(F.broadcast(known), "z", "left_semi").collect()}
+    names = sorted(found | set(row_zones or ()) & zones.known_zones())
+    segments = spark.createDataFrame(zones.local_segments(names).astype(object).where(lambda t: t.notna(), None), "zone string, local_year int, local_lo long, local_hi long, matches int, first_s int, before_s int")
     abbrs = spark.createDataFrame(zones.abbreviations(names), "zone string, abbr string, offset_s int")
     z = F.col("__zone")
     sign = F.when(z.startswith("-"), -1).otherwise(1)
@@ -127,21 +142,29 @@ def normal_form(spark: SparkSession, df: DataFrame, value: str, zone: str, date_
     ).withColumn("__abbr", F.upper(z)).withColumn(
         "__lz", F.when(z.isNull(), F.col(zone)).when(z.startswith("["), wanted)
     )
+    # years beyond the table are read as the one of it that is like them
+    year, local = F.col("__year"), F.when(~F.col(day_only), F.col("__local"))
+    like = _later(year, lambda y: y)
+    back = F.unix_date(F.make_date(year, F.lit(1), F.lit(1))).cast("long") - _later(year, lambda y: (datetime(y, 1, 1) - datetime(1970, 1, 1)).days)
+    late = year > zones.LAST_YEAR
+    p = p.withColumn("__at_year", F.when(late, like).otherwise(F.greatest(year, F.lit(zones.FIRST_YEAR - 1)))).withColumn("__at", F.when(late, local - back * 86400).otherwise(local))
     a, s = abbrs.alias("a"), segments.alias("s")
     j = p.alias("p").join(
         F.broadcast(a), (F.col("p.__az") == F.col("a.zone")) & (F.col("p.__abbr") == F.col("a.abbr")), "left"
     ).join(
         F.broadcast(s),
-        (F.when(F.col("p.__local").isNotNull() & ~F.col(f"p.{day_only}"), F.col("p.__lz")) == F.col("s.zone"))
-        & (F.col("p.__year") == F.col("s.local_year"))
-        & (F.col("p.__local") >= F.col("s.local_lo"))
-        & (F.col("p.__local") < F.col("s.local_hi")),
+        (F.when(F.col("p.__at").isNotNull(), F.col("p.__lz")) == F.col("s.zone"))
+        & (F.col("p.__at_year") == F.col("s.local_year"))
+        & (F.col("p.__at") >= F.col("s.local_lo"))
+        & (F.col("p.__at") < F.col("s.local_hi")),
         "left",
     )
-    offset = F.coalesce(F.col("p.__written"), F.col("a.offset_s"), F.col("s.offset_s"))
+    matched = F.col("s.matches")
+    local_offset = F.when(matched == 0, F.col("s.before_s")).when(matched >= 1, F.col("s.first_s"))
+    offset = F.coalesce(F.col("p.__written"), F.col("a.offset_s"), local_offset)
     utc = F.when(~F.col(f"p.{day_only}"), F.coalesce("p.__epoch", F.col("p.__local") - offset))
-    out = j.select(*[F.col(f"p.`{c}`") for c in df.columns], utc.alias("__utc"), F.when(F.col(f"p.{day_only}") | F.col("p.__local").isNull(), F.col("p.__day")).alias("__as_day"))
-    return out.select(*df.columns, F.coalesce(utc_text(F.col("__utc")), F.col("__as_day")).alias("normal_form"))
+    out = j.select(*[F.col(f"p.`{c}`") for c in df.columns], utc.alias("__utc"), F.when(F.col(f"p.{day_only}") | F.col("p.__local").isNull(), F.col("p.__day")).alias("__as_day"), matched.alias("zone_matches"))
+    return out.select(*df.columns, F.coalesce(utc_text(F.col("__utc")), F.col("__as_day")).alias("normal_form"), "zone_matches")
 
 
 def chart_timestamps(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, bool]], sites: DataFrame) -> DataFrame:
@@ -155,5 +178,6 @@ def chart_timestamps(spark: SparkSession, tables: dict[str, tuple[DataFrame, str
         every = one if every is None else every.unionByName(one)
     site = sites.select("site_code", "tz_name", "date_order").dropDuplicates(["site_code"])
     rows = every.join(site, "site_code", "left")
-    out = normal_form(spark, rows, "__value", "tz_name", "date_order", "__day_only")
+    names = [r.tz_name for r in site.select("tz_name").distinct().collect()]
+    out = normal_form(spark, rows, "__value", "tz_name", "date_order", "__day_only", names)
     return out.where(F.col("normal_form").isNotNull() & (F.col("normal_form") != F.col("__value"))).select("source_table", "row_id", "normal_form")

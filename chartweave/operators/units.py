@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterator
+from fractions import Fraction
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -138,19 +139,35 @@ def read_quantity(value: str | None, unit: str | None, rate: bool) -> tuple[str,
     return (number, *u) if u else None
 
 
+def exact_thousandths(number: str, unit: str, time_unit: str | None, count: str, drops: str) -> int | None:
+    """The value in thousandths of the common unit by whole-number arithmetic of any length, rounded half up; None beyond 64 bits."""
+    num, den = next((n, d) for u, _, n, d in AMOUNT_FACTORS if u == unit)
+    per_hour, hours = next(((a, b) for u, a, b in TIME_FACTORS if u == time_unit), (1, 1))
+    top, bottom = Fraction(number) * num * per_hour * 1000, Fraction(count) * Fraction(drops) * den * hours
+    got = (2 * top + bottom) // (2 * bottom)
+    return got if got < 1 << 63 else None
+
+
+def _fits(number: str, *small: str) -> bool:
+    """Whether decimals of the widths used in the JVM hold these texts exactly."""
+    whole, _, part = number.partition(".")
+    return len(whole) <= 15 and len(part) <= 9 and all(len(x.partition(".")[0]) <= 6 and len(x.partition(".")[2]) <= 3 for x in small)
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         d = b.to_pydict()
-        keep, cols = [], ([], [], [], [], [])
+        keep, beyond, cols = [], [], ([], [], [], [], [])
         for i, (v, u, r) in enumerate(zip(d["value"], d["unit"], d["is_rate"])):
             q = read_quantity(v, u, r)
             if q:
                 keep.append(i)
                 for c, x in zip(cols, q):
                     c.append(x)
+                beyond.append(None if _fits(q[0], q[3], q[4]) else -1 if (x := exact_thousandths(*q)) is None else x)
         rows = b.select(["source_table", "row_id", "field_name", "plain"]).take(pa.array(keep, pa.int32()))
-        extra = [pa.array(c, pa.string()) for c in cols]
-        yield pa.RecordBatch.from_arrays([*rows.columns, *extra], names=[*rows.schema.names, "number", "amount_unit", "time_unit", "time_count", "drops"])
+        extra = [*(pa.array(c, pa.string()) for c in cols), pa.array(beyond, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*rows.columns, *extra], names=[*rows.schema.names, "number", "amount_unit", "time_unit", "time_count", "drops", "beyond"])
 
 
 def common_units(spark: SparkSession, parts: list[tuple[DataFrame, str, str, str, str, bool]]) -> DataFrame:
@@ -158,7 +175,8 @@ def common_units(spark: SparkSession, parts: list[tuple[DataFrame, str, str, str
 
     ``parts``: (table, its name, field name, value column, unit column, is it a rate).  A drop rate with its drop
     factor is a volume rate.  Per-weight, per-area and count units, values without any unit, ranges and words
-    give no row, nor do nulls and blanks.  A value that isn't a whole number of thousandths is rounded half up.
+    give no row, nor do nulls and blanks.  A value that isn't a whole number of thousandths is rounded half up; one that
+    64 bits can't hold in thousandths is no value.  Numbers too long for the JVM's decimals are reckoned when they are read.
     """
     every = None
     for df, name, field, value, unit, rate in parts:
@@ -168,7 +186,7 @@ def common_units(spark: SparkSession, parts: list[tuple[DataFrame, str, str, str
             F.lit(rate).alias("is_rate"), F.when(plain, F.col(unit)).alias("plain"),
         ).where(F.col("value").rlike("[0-9]"))
         every = one if every is None else every.unionByName(one)
-    found = every.mapInArrow(_read, "source_table string, row_id long, field_name string, plain string, number string, amount_unit string, time_unit string, time_count string, drops string")
+    found = every.mapInArrow(_read, "source_table string, row_id long, field_name string, plain string, number string, amount_unit string, time_unit string, time_count string, drops string, beyond long")
     amounts = spark.createDataFrame(AMOUNT_FACTORS, "amount_unit string, common string, num long, den long")
     times = spark.createDataFrame(TIME_FACTORS, "time_unit string, per_hour long, hours long")
     j = found.join(F.broadcast(amounts), "amount_unit").join(F.broadcast(times), "time_unit", "left")
@@ -176,7 +194,8 @@ def common_units(spark: SparkSession, parts: list[tuple[DataFrame, str, str, str
     top = (dec("number") * (F.col("num") * F.coalesce("per_hour", F.lit(1)) * 1000).cast("decimal(12,0)")).cast("decimal(38,9)")
     bottom = (F.col("den") * F.coalesce("hours", F.lit(1))).cast("decimal(10,0)") * F.col("time_count").try_cast("decimal(9,3)") * F.col("drops").try_cast("decimal(9,3)")
     out = j.withColumn("common_unit", F.when(F.col("time_unit").isNull(), F.col("common")).otherwise(F.concat("common", F.lit("/hr"))))
-    out = out.withColumn("value_thousandths", F.round(F.try_divide(top, bottom), 0).try_cast("long"))
+    plain = F.when(F.col("beyond").isNull(), F.round(F.try_divide(top, bottom), 0).try_cast("long"))
+    out = out.withColumn("value_thousandths", F.coalesce(plain, F.when(F.col("beyond") >= 0, F.col("beyond"))))
     return out.where(F.col("value_thousandths").isNotNull() & ~F.col("plain").eqNullSafe(F.col("common_unit"))).select(
         "source_table", "row_id", "field_name", "common_unit", "value_thousandths"
     )

@@ -53,6 +53,23 @@ def test_day_only_gives_the_day_as_written(spark):
     assert read(spark, [("1949-06-04T00:00:00+01:00", "NY"), ("1966-01-18 23:59:00", "AD"), ("7/9/63", "NY"), ("19600821", "NO")], True) == ["1949-06-04", "1966-01-18", None, "1960-08-21"]
 
 
+def test_years_beyond_the_table(spark):
+    times = [datetime(y, m, d, h, 30) for y in (1500, 1799, 1800, 1850, 1899, 1950, 2100, 2101, 2128, 2129, 2150, 2300, 2400, 2999, 9000) for m, d, h in ((1, 1, 0), (3, 10, 2), (3, 28, 2), (5, 1, 10), (10, 27, 2), (11, 3, 1), (12, 31, 23))]
+    for site in ("NY", "BE", "AD"):
+        got = read(spark, [(t.strftime("%4Y-%m-%d %H:%M"), site) for t in times])
+        assert got == [brute(t, ZONES[site]) for t in times]
+
+
+def test_how_many_intervals_match(spark):
+    df = spark.createDataFrame([(1, "2023-03-12 02:30"), (2, "2023-11-05 01:30"), (3, "2023-06-01 01:30"), (4, "2023-06-01"), (5, "2023-06-01 01:30 UTC"), (6, None)], "i int, v string").selectExpr("*", "'America/New_York' as tz", "'MDY' as ord", "false as d")
+    assert [(r.zone_matches, r.normal_form) for r in normal_form(spark, df, "v", "tz", "ord", "d").orderBy("i").collect()] == [(0, "2023-03-12T07:30:00Z"), (2, "2023-11-05T05:30:00Z"), (1, "2023-06-01T05:30:00Z"), (None, "2023-06-01"), (None, "2023-06-01T01:30:00Z"), (None, None)]
+
+
+def test_long_texts(spark):
+    assert read(spark, [("Wednesday, 05 October 2022 00:51:00.123456789123456789 PM [America/Argentina/Buenos_Aires]", "NO"), ("2022-10-05" + " " * 3000 + "10:00", "BE")]) == [None, "2022-10-05T08:00:00Z"]
+    assert read(spark, [("Wednesday, 05 October 2022 00:51:00.123456789123456789 [America/Argentina/Buenos_Aires]", "NO")]) == ["2022-10-05T03:51:00Z"]
+
+
 def test_segments_of_a_zone_leave_no_hole_and_dont_overlap():
     s = local_segments(["Europe/Berlin", "America/Phoenix", "Australia/Lord_Howe"])
     for _, g in s.sort_values("local_lo").groupby("zone"):
