@@ -47,6 +47,8 @@ TIME_FACTORS = [("hr", 1, 1), ("min", 60, 1), ("day", 1, 24), ("s", 3600, 1)]
 COMMON = ["mg", "mL", "mg/hr", "mL/hr"]
 
 _NUMBER = re.compile(r"[+]?(?:\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d+,\d+|\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d{1,3})?(?![\d,.])|[+]?\d+\.(?!\d)")
+# Words that may stand before the one number of a value.
+_BEFORE = re.compile(r"(?i)(?:(?:about|approx|approximately|ca|circa|dose|total|amount|volume|rate|give|given|at|of)\b[\s.:=]*|[~≈=:]\s*)+")
 _GLUE = re.compile(r"[\s.,()\[\]]*")
 
 
@@ -131,6 +133,8 @@ def read_quantity(value: str | None, unit: str | None, rate: bool) -> tuple[str,
     """
     if value is None or not (v := value.strip()):
         return None
+    if before := _BEFORE.match(v):
+        v = v[before.end() :]
     m = _NUMBER.match(v)
     if not m or (number := number_of(m[0])) is None:
         return None

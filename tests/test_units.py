@@ -10,6 +10,7 @@ CASES = [
     (" 4", "mg", False, ("mg", 4000)), ("4", "MG", False, ("mg", 4000)), ("4e1", "mg", False, ("mg", 40_000)), ("4 mg", None, False, ("mg", 4000)), ("57", "mcg/kg/min", True, None), ("17", "mg/m2", False, None), ("27", "mEq/hr", True, None),
     ("5", "tablet", False, None), ("5", None, False, None), ("see order", "mg", False, None), ("5-10", "mg", False, None), ("5 10", "mg", False, None), ("", "mg", False, None), (None, "mg", False, None), ("5", "mg", True, None), ("5", "mg/hr", False, None),
     ("1,234.5", "mg", False, ("mg", 1_234_500)), ("9" * 400, "mg", False, None), ("5", "mg" * 3000, False, None), ("5", "min", False, None), ("5", "mgx", False, None), ("8 gtt/min", None, True, None), ("5.", "mg", False, ("mg", 5000)),
+    ("about 5 g", "", False, ("mg", 5_000_000)), ("Dose: 5", "g", False, ("mg", 5_000_000)), ("~ 2 L/day", None, True, ("mL/hr", 83_333)), ("dose 5 to 6 g", None, False, None), ("of 5", "tablet", False, None),
     ("30 gtt/min (15.1234 gtt/mL)", "", True, ("mL/hr", 119_021)), ("9000000000000000", "mgs", False, ("mg", 9_000_000_000_000_000_000)), ("9300000000000000", "mg", False, None), ("12345678901234567890", "ng", False, ("mg", 12_345_678_901_234_568)),
     ("0.00000000049", "g", False, ("mg", 0)), ("1.0000000005", "g", False, ("mg", 1_000_000)), ("1.0000004999999999999", "g", False, ("mg", 1_000_000)), ("1.0000005", "g", False, ("mg", 1_000_001)), ("1e15", "mcg", False, ("mg", 10**15)), ("48 mL/1234567.5 min", None, True, ("mL/hr", 2)),
 ]
