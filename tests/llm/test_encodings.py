@@ -41,3 +41,40 @@ def test_table(spark):
     md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
     assert got == sorted([*((k, md5(t)) for k, t in enumerate(CLEAN)), (0, md5(CLEAN[0])), (903, "lost"), (904, md5(CLEAN[0] * 300))])
     assert garbled_texts(spark, df.limit(0), "doc_id", "text").collect() == []
+
+
+def test_short_stretches_and_deep_garbling():
+    russian = CLEAN[5]
+    for chain in ("cp1251_latin1", "koi8_cp1251", "koi8_cp1252", "utf8_cp1251"):
+        for word in ("через", "крови", "на"):
+            made = f"{russian} Lab value 5.1 " + garble(word, chain) + " and plain words."
+            want = made.replace(garble(word, chain), word)
+            got = restore(made, MODEL)
+            assert got == want or len(word) == 2 and got is None, (chain, word, got)
+    deep = CLEAN[0]
+    for _ in range(6):
+        deep = garble(deep, "utf8_cp1252")
+    assert restore(deep, MODEL) == CLEAN[0]
+
+
+def test_neighbouring_code_pages_are_told_apart():
+    polish = "Ciśnienie stężenie odstawić płucu nudności zgłasza"
+    for chain in ("utf8_cp437", "utf8_cp850", "utf8_cp1250"):
+        assert restore(garble(polish, chain), MODEL) == polish, chain
+
+
+def test_a_stretch_beside_wide_characters():
+    text = CLEAN[6] + garble("血圧は安定", "utf8_cp1252")
+    assert restore(text, MODEL) == CLEAN[6] + "血圧は安定"
+
+
+def test_counts_are_summed_where_the_records_lie(spark):
+    import numpy as np
+
+    from chartweave.llm.encodings import bigram_counts, training_counts
+
+    df = spark.createDataFrame([(k, t * 40) for k, t in enumerate(CLEAN)] + [(50, "ascii"), (51, None), (52, garble(CLEAN[0], "utf8_latin1"))], "k long, t string").repartition(3)
+    assert np.allclose(training_counts(df, "k", "t", 600), bigram_counts([t * 40 for t in CLEAN]))
+    assert training_counts(df.limit(0), "k", "t", 600).sum() == 0
+    many = df.select("t").crossJoin(spark.range(400)).selectExpr("id * 11 + hash(t) % 7 as k", "t").where("t is not null")
+    assert 0 < training_counts(many, "k", "t", 20).sum() < 0.2 * training_counts(many, "k", "t", 10**6).sum()
