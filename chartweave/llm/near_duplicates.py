@@ -1,11 +1,13 @@
 """Near-duplicate records by anchor points.
 
-Method: a record's fingerprint is a word of n min-hash symbols.  The anchors are the code words of a covering code
-over that alphabet, the maximum-distance-separable [n, k] code (any k symbols belong to exactly one code word), whose
-covering radius is n - k.  A fingerprint is replicated to every anchor within that radius, which are those fixed by k
-of its n symbols, so two fingerprints that differ in at most n - k symbols always meet at an anchor.  Several
-independent fingerprints make the chance that a similar pair meets nowhere as small as wanted.  At an anchor, a
-64-bit sketch is compared, and the pairs that pass are checked exactly on their shingle sets.
+Method: a record's fingerprint is a word of 5 min-hash symbols of 64 bits.  The anchors are the code words of the [5, 4]
+parity code over these symbols, that is the words whose symbols xor to 0.  It is a covering code of radius 1: with the
+syndrome (the xor of all symbols) added to any one symbol, a word becomes a code word, and these 5 are all within the
+radius.  A fingerprint is replicated to every one of them.  Two fingerprints within the threshold of one differing symbol
+share the code word that the other four symbols fix; as it lies within the radius of both, replication beyond the radius
+would bring no further pair within the threshold together (over such an alphabet there'd be no end of code words, either).
+Several independent fingerprints make the chance that a similar pair meets nowhere as small as wanted.  At an anchor, a
+128-bit sketch of the symbols is compared, and the pairs that pass are checked exactly on their shingle sets.
 
 Copies (equal shingle sets) form a class; only one representative of a class goes to the anchors, so a group of
 copies of any size costs one record per anchor.
@@ -13,8 +15,8 @@ copies of any size costs one record per anchor.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -25,39 +27,54 @@ from pyspark.sql import functions as F
 from chartweave.llm.words import Hasher, mix, shingles, words_of
 from chartweave.session import cut_lineage
 
-SKETCH_BITS = 64
+N, K = 5, 4
+
+
+def groups_for(threshold: float, miss: float) -> int:
+    """How many fingerprints it takes that a pair of this similarity meets nowhere with a chance of at most ``miss``."""
+    meet = threshold**N + N * threshold**K * (1 - threshold)
+    return max(1, math.ceil(math.log(miss) / math.log(1 - meet))) if threshold < 1 else 1
+
+
+def sketch_limit(threshold: float, symbols: int, deviations: float = 4.2) -> int:
+    """Bits of the sketch that may differ: two of each symbol, so a pair at the threshold differs in 1 - threshold bits a symbol on
+    average; so many standard deviations more are let pass."""
+    differ = 1 - threshold
+    return math.floor(symbols * differ + deviations * math.sqrt(symbols * (1.5 * differ - differ * differ)))
 
 
 class Anchors:
-    """``groups`` fingerprints of ``n`` symbols, anchors fixed by ``k`` of them, and a sketch of single bits."""
+    """``groups`` fingerprints of 5 symbols each, and a sketch of two bits of each of 64 symbols or more."""
 
-    def __init__(self, groups: int, n: int, k: int, seed: int = 7):
+    def __init__(self, groups: int, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.groups, self.n = groups, n
-        self.salts = rng.integers(1, 2**63, groups * n + SKETCH_BITS, dtype=np.int64).astype(np.uint64) | np.uint64(1)
-        self.subsets = np.array(list(combinations(range(n), k)))
-        self.names = mix(rng.integers(1, 2**63, (groups, len(self.subsets)), dtype=np.int64).astype(np.uint64))
-
-    def of(self, sets: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Anchors (row per set) and sketches of sets that lie in a row, none of them empty."""
-        mins = np.empty((len(self.salts), len(starts)), np.uint64)
+        self.groups, self.symbols = groups, max(64, groups * N)
+        self.salts = rng.integers(1, 2**63, self.symbols, dtype=np.int64).astype(np.uint64) | np.uint64(1)
+        self.names = mix(rng.integers(1, 2**63, groups, dtype=np.int64).astype(np.uint64))
+
+    def of(self, sets: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Anchors (row per set) and the two halves of the sketches of sets that lie in a row, none of them empty."""
+        mins = np.empty((self.symbols, len(starts)), np.uint64)
         for i, s in enumerate(self.salts):
             # the sets hold mixed hashes, so a multiply and a rotation of halves permute them well enough
             h = sets * s
             h ^= h >> np.uint64(32)
             h *= s
             mins[i] = np.minimum.reduceat(h, starts)
-        bits = (mix(mins[self.groups * self.n :]) >> np.uint64(63)).astype(np.uint64)
-        sketch = (bits << np.arange(SKETCH_BITS, dtype=np.uint64)[:, None]).sum(0, dtype=np.uint64)
-        symbols = mins[: self.groups * self.n].reshape(self.groups, self.n, -1)
-        out = []
+        mins = mix(mins)
+        at = np.arange(64, dtype=np.uint64)[:, None]
+        halves = [(((mins[:64] >> np.uint64(b)) & np.uint64(1)) << at).sum(0, dtype=np.uint64) for b in (63, 62)]
+        out = np.empty((len(starts), self.groups * N), np.int64)
         for g in range(self.groups):
-            for j, subset in enumerate(self.subsets):
-                word = np.full(len(starts), self.names[g, j])
-                for i in subset:
-                    word = mix(word ^ symbols[g, i])
-                out.append(word)
-        return np.stack(out, 1), sketch
+            word = mins[g * N : (g + 1) * N]
+            syndrome = np.bitwise_xor.reduce(word, 0)
+            # a code word is told by its first four symbols, the fifth being their xor
+            for j in range(N):
+                name = np.full(len(starts), self.names[g])
+                for i in range(K):
+                    name = mix(name ^ (word[i] ^ syndrome if i == j else word[i]))
+                out[:, g * N + j] = name.view(np.int64)
+        return out, *halves
 
 
 def title_and_text(title: Column, text: Column) -> Column:
@@ -86,17 +103,17 @@ def _fingerprints(anchors: Anchors, words: int):
                 sizes = np.array([len(s) for s in sets])
                 starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
                 flat_sets = np.concatenate(sets)
-                at, sketch = anchors.of(flat_sets, starts)
+                at, left, right = anchors.of(flat_sets, starts)
                 h1 = np.add.reduceat(mix(flat_sets), starts)
                 h2 = np.add.reduceat(mix(flat_sets ^ np.uint64(0x9E3779B97F4A7C15)), starts)
                 n = at.shape[1]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([ids[i] for i in keep], pa.int64()), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
-                        pa.array(sizes, pa.int32()), pa.array(sketch.view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(np.arange(0, len(keep) * n + 1, n, dtype=np.int32)), pa.array(at.ravel().view(np.int64))),
+                        pa.array(left.view(np.int64)), pa.array(right.view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(np.arange(0, len(keep) * n + 1, n, dtype=np.int32)), pa.array(at.ravel())),
                     ],
-                    names=["id", "h1", "h2", "size", "sketch", "anchors"],
+                    names=["id", "h1", "h2", "left", "right", "anchors"],
                 )
 
     return run
@@ -123,29 +140,29 @@ def _similar(words: int, threshold: float):
     return run
 
 
-def similar_classes(df: DataFrame, key: str, text: Column, words: int = 5, threshold: float = 0.8, groups: int = 10, n: int = 5, k: int = 4, sketch_limit: int = 22) -> tuple[DataFrame, DataFrame]:
+def similar_classes(df: DataFrame, key: str, text: Column, words: int = 5, threshold: float = 0.8, miss: float = 3e-4) -> tuple[DataFrame, DataFrame]:
     """``(members, pairs)``: members is ``(id, rep)`` of every row whose text has at least ``words`` words, rep being the
     smallest id among the rows with the same shingle set; pairs is ``(a, b)``, a < b, of representatives whose Jaccard
     similarity is at least ``threshold``, each checked exactly.
 
     Null, blank and too short texts have no shingles, so they are like nothing.  ``key`` must be unique and whole-numbered.
-    A pair of similarity J meets at an anchor with chance 1 - (1 - p)^groups, p being the chance of at least k of n equal
-    symbols; with the defaults that is 0.9995 at J = 0.7 and more above it.  ``sketch_limit``: bits of 64 that may differ
-    at most (a pair of J = 0.7 differs in 9.6 on average, deviation 2.9).
+    A pair at the threshold meets at no anchor with a chance of at most ``miss``, a more similar one with less; the number of
+    fingerprints and the bits that the sketches of a pair may differ in follow from ``threshold``.
     """
     base = df.select(F.col(key).cast("long").alias("id"), text.alias("text")).where(F.col("text").isNotNull())
-    prints = cut_lineage(base.mapInArrow(_fingerprints(Anchors(groups, n, k), words), "id long, h1 long, h2 long, size int, sketch long, anchors array<long>"))
+    anchors = Anchors(groups_for(threshold, miss))
+    limit = sketch_limit(threshold, 64)
+    prints = cut_lineage(base.mapInArrow(_fingerprints(anchors, words), "id long, h1 long, h2 long, left long, right long, anchors array<long>"))
     reps = prints.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
     members = prints.select("id", "h1", "h2").join(reps, ["h1", "h2"]).select("id", "rep")
     at = (
         prints.join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
-        .select("id", "size", "sketch", F.explode("anchors").alias("anchor"))
+        .select("id", "left", "right", F.explode("anchors").alias("anchor"))
     )
     x, y = at.alias("x"), at.alias("y")
     met = (
         x.join(y, (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.id") < F.col("y.id")))
-        .where(F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))) <= sketch_limit)
-        .where(F.least("x.size", "y.size") >= F.greatest("x.size", "y.size") * (threshold - 1e-9))
+        .where(F.bit_count(F.col("x.left").bitwiseXOR(F.col("y.left"))) + F.bit_count(F.col("x.right").bitwiseXOR(F.col("y.right"))) <= limit)
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         .distinct()
     )
@@ -159,9 +176,9 @@ def similar_classes(df: DataFrame, key: str, text: Column, words: int = 5, thres
     return members, paired.mapInPandas(_similar(words, threshold), "a long, b long")
 
 
-def similar_rows(df: DataFrame, key: str, text: Column, words: int, threshold: float, **how) -> DataFrame:
+def similar_rows(df: DataFrame, key: str, text: Column, words: int, threshold: float, miss: float = 3e-4) -> DataFrame:
     """``(a, b)``, a < b, of all rows whose similarity is at least ``threshold``: the pairs of classes with every member."""
-    members, pairs = similar_classes(df, key, text, words, threshold, **how)
+    members, pairs = similar_classes(df, key, text, words, threshold, miss)
     m = members.select(F.col("id"), F.col("rep"))
     within = m.alias("x").join(m.alias("y"), (F.col("x.rep") == F.col("y.rep")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     x, y = m.select(F.col("id").alias("ia"), F.col("rep").alias("a")), m.select(F.col("id").alias("ib"), F.col("rep").alias("b"))
