@@ -1,10 +1,11 @@
 """Held-out passages inside a training corpus.
 
-Method: rare word n-grams of the passages are the seeds.  A scan of the corpus finds where any seed candidate occurs
-(a sorted array of their hashes, searched in blocks, no join); the number of documents with each candidate is counted
-over the whole corpus, and of every window of ``run`` words of a passage the rarest candidate becomes its seed.  The
-documents that hold a seed of an item are aligned with the item by Smith-Waterman over words along the seeds'
-diagonal; the alignment's score ranks paraphrased or edited copies, its longest unbroken stretch decides an exact leak.
+Method: rare word n-grams of the passages are the seeds.  One scan of the corpus finds the documents that hold a seed
+candidate, by a broadcast array of their hashes where these are few, else by a join of what a bitmap of bounded size lets
+through; the number of documents with each candidate is counted over the whole corpus, and of every window of ``run``
+words of a passage the rarest candidate becomes its seed.  The documents that hold a seed of an item are aligned with the
+item by Smith-Waterman over words; the alignment's score finds and ranks paraphrased or edited copies, its longest
+unbroken stretch decides an exact leak.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 from chartweave.llm.words import Hasher, shingles, words_of
 from chartweave.session import cut_lineage
 
-#: So many seed hashes go to the workers at once (8 bytes each); more passages mean more blocks, never fewer seeds.
-BLOCK = 1_000_000
+#: Up to so many seed hashes go to the workers as they are (8 bytes each); more of them are joined, behind a bitmap of BITS bits.
+FEW = 1_000_000
+BITS = 1 << 27
 
 
 def align(a: np.ndarray, b: np.ndarray, match: int = 2, mismatch: int = -1, gap: int = -2) -> tuple[int, int]:
@@ -68,44 +70,60 @@ def _items(passages: DataFrame, key: str, text: str, seed: int, run: int) -> Dat
     return passages.select(F.col(key).cast("long"), text).mapInArrow(of, "item_id long, at int, seed long")
 
 
+def _bitmap(seeds: DataFrame) -> np.ndarray:
+    """One truth value for each remainder of the seeds by BITS, gathered as a bitmap of BITS / 8 bytes."""
+    at = (F.pmod("seed", F.lit(BITS)) + 1).alias("at")
+    parts = seeds.select(at).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    out = np.zeros(-(-BITS // 32768) * 32768, bool)
+    for r in parts.toLocalIterator():
+        out[(r.bucket - 1) * 32768 : r.bucket * 32768] = np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little")[:32768]
+    return out
+
+
 def _hits(spark: SparkSession, docs: DataFrame, seeds: DataFrame, n: int) -> DataFrame:
-    """``(doc_id, seed)``, each once, of every document that holds a seed; the seeds go out in blocks."""
-    found = None
+    """``(doc_id, seed)``, each once per row, of every document that holds a seed: one scan, however many seeds there are."""
     distinct = seeds.select("seed").distinct()
-    blocks = max(1, -(-distinct.count() // BLOCK))
-    for k in range(blocks):
-        part = distinct.where(F.pmod(F.col("seed"), F.lit(blocks)) == k) if blocks > 1 else distinct
-        table = np.sort(np.array([r.seed for r in part.toLocalIterator()], np.int64).view(np.uint64))
-        shared = spark.sparkContext.broadcast(table)
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            table, hasher = shared.value, Hasher()
-            # a filter by the low bits spares most of the search
-            mask = np.zeros(1 << 20, bool)
-            mask[(table & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-            for b in batches:
-                for lo in range(0, b.num_rows, 512):
-                    part = b.slice(lo, 512)
-                    flat, ends = hasher.words([words_of(t) for t in part.column(1).to_pylist()])
-                    every = shingles(flat, n)
-                    maybe = np.flatnonzero(mask[(every & np.uint64((1 << 20) - 1)).astype(np.int64)])
-                    if len(table):
-                        k = np.minimum(np.searchsorted(table, every[maybe]), len(table) - 1)
-                        maybe = maybe[table[k] == every[maybe]]
-                    doc = np.searchsorted(ends, maybe, "right")
-                    inside = maybe + n <= ends[doc] if len(maybe) else np.zeros(0, bool)
-                    pair = np.unique(np.stack([doc[inside].astype(np.int64), every[maybe[inside]].view(np.int64)], 1), axis=0)
-                    ids = part.column(0).take(pa.array(pair[:, 0]))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(pair[:, 1])], names=["doc_id", "seed"])
-
-        one = docs.mapInArrow(scan, "doc_id long, seed long")
-        found = one if found is None else found.unionByName(one)
-    return found
+    few = distinct.count() <= FEW
+    if few:
+        shared = spark.sparkContext.broadcast(np.sort(np.array([r.seed for r in distinct.toLocalIterator()], np.int64).view(np.uint64)))
+    else:
+        shared = spark.sparkContext.broadcast(np.packbits(_bitmap(distinct), bitorder="little"))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, table = Hasher(), shared.value
+        mask = np.zeros(1 << 20, bool)
+        if few:  # a filter by the low bits spares most of the search
+            mask[(table & np.uint64(len(mask) - 1)).astype(np.int64)] = True
+
+        def may_be_seed(x: np.ndarray) -> np.ndarray:
+            if few:
+                return mask[(x & np.uint64(len(mask) - 1)).astype(np.int64)]
+            at = (x & np.uint64(BITS - 1)).astype(np.int64)
+            return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+        for b in batches:
+            for lo in range(0, b.num_rows, 512):
+                part = b.slice(lo, 512)
+                flat, ends = hasher.words([words_of(t) for t in part.column(1).to_pylist()])
+                every = shingles(flat, n)
+                maybe = np.flatnonzero(may_be_seed(every))
+                if few and len(table):
+                    k = np.minimum(np.searchsorted(table, every[maybe]), len(table) - 1)
+                    maybe = maybe[table[k] == every[maybe]]
+                doc = np.searchsorted(ends, maybe, "right")
+                inside = maybe + n <= ends[doc] if len(maybe) else np.zeros(0, bool)
+                pair = np.unique(np.stack([doc[inside].astype(np.int64), every[maybe[inside]].view(np.int64)], 1), axis=0)
+                ids = part.column(0).take(pa.array(pair[:, 0]))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(pair[:, 1])], names=["doc_id", "seed"])
+
+    found = docs.mapInArrow(scan, "doc_id long, seed long")
+    return found if few else found.join(distinct, "seed", "left_semi")
 
 
 def leaked_items(spark: SparkSession, docs: DataFrame, doc_key: str, doc_text: str, passages: DataFrame, item_key: str, item_text: str, run: int = 12, seed: int = 6) -> DataFrame:
     """``(doc_id, item_id, score, longest)`` of every pair of a document and an item that share a rare seed: the alignment's
-    score, and the most consecutive words of the passage that the document contains consecutively and in order.
+    score (2 for a word in common, -1 for another word, -2 for one left out or put in), and the most consecutive words of the
+    passage that the document contains consecutively and in order.
 
     Every stretch of ``run`` words of a passage holds a seed, so no pair with ``longest >= run`` is missed.  Null and blank
     texts and passages shorter than ``run`` words give no row; repeated documents each give theirs.

@@ -43,13 +43,21 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.where(F.col("longest") >= 12).select("doc_id", "item_id")
 
 
+def p8_scored(spark: SparkSession, d: str) -> DataFrame:
+    """Edited and paraphrased copies, too: what shares a 4-word seed and aligns with a score of 12 words in common or more."""
+    from chartweave.llm.leaks import leaked_items
+
+    leaks = leaked_items(spark, load(spark, d, "documents"), "doc_id", "text", load(spark, d, "eval_passage"), "item_id", "passage", run=6, seed=4)
+    return leaks.where(F.col("score") >= 24).select("doc_id", "item_id", "score", "longest")
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     from chartweave.llm.encodings import garbled_texts
 
     return garbled_texts(spark, load(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p3_found, p4_found, p7_ids, p8_found, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p3_found, p4_found, p7_ids, p8_found, p8_scored, p9_found)}
 
 
 def _last(pattern: str, back: int) -> str:

@@ -55,9 +55,35 @@ def test_like_brute_force(spark, monkeypatch):
                 d = words_of(t)
                 if any(tuple(d[x : x + 12]) in grams for x in range(len(d) - 11)):
                     want.add((i, j))
-    monkeypatch.setattr(leaks, "BLOCK", 200)  # several blocks of seeds
     df, pf = spark.createDataFrame(docs, "doc_id long, text string, seed string"), spark.createDataFrame(items, "item_id long, passage string, at string")
-    got = {(x.doc_id, x.item_id) for x in leaked_items(spark, df, "doc_id", "text", pf, "item_id", "passage").where("longest >= 12").collect()}
-    assert got == want
+    for few in (10**6, 100):  # an array of the seeds, and a join behind a bitmap
+        monkeypatch.setattr(leaks, "FEW", few)
+        monkeypatch.setattr(leaks, "BITS", 1 << 16)
+        got = {(x.doc_id, x.item_id) for x in leaked_items(spark, df, "doc_id", "text", pf, "item_id", "passage").where("longest >= 12").collect()}
+        assert got == want
     assert leaked_items(spark, df.limit(0), "doc_id", "text", pf, "item_id", "passage").collect() == []
     assert leaked_items(spark, df, "doc_id", "text", pf.limit(0), "item_id", "passage").collect() == []
+
+
+def test_edited_copies_are_found_by_their_score(spark):
+    """Planted copies with every seventh word changed, left out or doubled hold no run of 12 words, yet all align; strangers don't."""
+    r = random.Random(8)
+    vocab = [f"v{k}" for k in range(4000)]
+    items = [(k, " ".join(r.choices(vocab, k=r.randint(40, 90)))) for k in range(40)]
+    docs, planted = [], set()
+    for k in range(400):
+        w = r.choices(vocab, k=120)
+        if k % 2:
+            i, passage = items[r.randrange(40)]
+            copy = []
+            for n, x in enumerate(passage.split()):
+                copy += {0: ["edited"], 1: [], 2: [x, x]}[r.randrange(3)] if n % 7 == 6 else [x]
+            w[50:50] = copy
+            planted.add((k, i))
+        docs.append((k, " ".join(w)))
+    df, pf = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, passage string")
+    found = {(x.doc_id, x.item_id): x for x in leaked_items(spark, df, "doc_id", "text", pf, "item_id", "passage", run=6, seed=4).where("score >= 24").collect()}
+    assert set(found) == planted and max(x.longest for x in found.values()) < 12
+    words = {i: p.split() for i, p in items}
+    for (k, i), x in list(found.items())[:5]:
+        assert x.score == plain_score(words[i], docs[k][1].split())
