@@ -120,12 +120,14 @@ def _hits(spark: SparkSession, docs: DataFrame, seeds: DataFrame, n: int) -> Dat
     return found if few else found.join(distinct, "seed", "left_semi")
 
 
-def leaked_items(spark: SparkSession, docs: DataFrame, doc_key: str, doc_text: str, passages: DataFrame, item_key: str, item_text: str, run: int = 12, seed: int = 6) -> DataFrame:
+def leaked_items(spark: SparkSession, docs: DataFrame, doc_key: str, doc_text: str, passages: DataFrame, item_key: str, item_text: str, run: int = 12, seed: int = 6, edited: int = 0, common: float = 0.02) -> DataFrame:
     """``(doc_id, item_id, score, longest)`` of every pair of a document and an item that share a rare seed: the alignment's
     score (2 for a word in common, -1 for another word, -2 for one left out or put in), and the most consecutive words of the
     passage that the document contains consecutively and in order.
 
-    Every stretch of ``run`` words of a passage holds a seed, so no pair with ``longest >= run`` is missed.  Null and blank
+    Every stretch of ``run`` words of a passage holds a seed, so no pair with ``longest >= run`` is missed.  With ``edited``
+    every candidate in at most a share ``common`` of the documents is a seed, and a pair is one that shares so many of them:
+    words changed in a copy leave most of its other seeds.  Null and blank
     texts and passages shorter than ``run`` words give no row; repeated documents each give theirs.
     """
     base = docs.select(F.col(doc_key).cast("long").alias("doc_id"), F.col(doc_text).alias("text")).where(F.col("text").isNotNull())
@@ -134,16 +136,20 @@ def leaked_items(spark: SparkSession, docs: DataFrame, doc_key: str, doc_text: s
     counts = hits.groupBy("seed").agg(F.count("*").alias("docs"))
     # the rarest candidate within each stretch of `run` words (ties: the first); passages are short, so are these windows
     ahead = W.partitionBy("item_id").orderBy("at").rowsBetween(W.currentRow, run - seed)
-    last = F.max("at").over(W.partitionBy("item_id"))
-    rare = (
-        seeds.join(counts, "seed", "left")
-        .withColumn("best", F.min(F.struct(F.coalesce("docs", F.lit(0)).alias("docs"), "at", "seed")).over(ahead))
-        .withColumn("last", last)
-        .where(F.col("at") <= F.col("last") - (run - seed))
-        .select("item_id", F.col("best.seed").alias("seed"))
-        .distinct()
-    )
-    pairs = cut_lineage(hits.join(rare, "seed").select("doc_id", "item_id").distinct())
+    counted = seeds.join(counts, "seed", "left")
+    if edited:
+        rare = counted.where(F.col("docs") <= max(1, common * base.count())).select("item_id", "seed").distinct()
+        pairs = hits.distinct().join(rare, "seed").groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).where(F.col("n") >= edited).select("doc_id", "item_id")
+    else:
+        rare = (
+            counted.withColumn("best", F.min(F.struct(F.coalesce("docs", F.lit(0)).alias("docs"), "at", "seed")).over(ahead))
+            .withColumn("last", F.max("at").over(W.partitionBy("item_id")))
+            .where(F.col("at") <= F.col("last") - (run - seed))
+            .select("item_id", F.col("best.seed").alias("seed"))
+            .distinct()
+        )
+        pairs = hits.join(rare, "seed").select("doc_id", "item_id").distinct()
+    pairs = cut_lineage(pairs)
     texts = base.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     items = passages.select(F.col(item_key).cast("long").alias("item_id"), F.col(item_text).alias("passage"))
     rows = pairs.join(texts, "doc_id").join(items, "item_id")

@@ -44,11 +44,11 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_scored(spark: SparkSession, d: str) -> DataFrame:
-    """Edited and paraphrased copies, too: what shares a 4-word seed and aligns with a score of 12 words in common or more."""
+    """Edited and paraphrased copies, too: what shares six rare 4-word seeds and aligns with the score of 20 words in common or more."""
     from chartweave.llm.leaks import leaked_items
 
-    leaks = leaked_items(spark, load(spark, d, "documents"), "doc_id", "text", load(spark, d, "eval_passage"), "item_id", "passage", run=6, seed=4)
-    return leaks.where(F.col("score") >= 24).select("doc_id", "item_id", "score", "longest")
+    leaks = leaked_items(spark, load(spark, d, "documents"), "doc_id", "text", load(spark, d, "eval_passage"), "item_id", "passage", run=8, seed=4, edited=6)
+    return leaks.where(F.col("score") >= 40).select("doc_id", "item_id", "score", "longest")
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:

@@ -82,7 +82,7 @@ def test_edited_copies_are_found_by_their_score(spark):
             planted.add((k, i))
         docs.append((k, " ".join(w)))
     df, pf = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, passage string")
-    found = {(x.doc_id, x.item_id): x for x in leaked_items(spark, df, "doc_id", "text", pf, "item_id", "passage", run=6, seed=4).where("score >= 24").collect()}
+    found = {(x.doc_id, x.item_id): x for x in leaked_items(spark, df, "doc_id", "text", pf, "item_id", "passage", run=8, seed=4, edited=6, common=1.0).where("score >= 40").collect()}
     assert set(found) == planted and max(x.longest for x in found.values()) < 12
     words = {i: p.split() for i, p in items}
     for (k, i), x in list(found.items())[:5]:
