@@ -47,9 +47,12 @@ def bm25(docs: DataFrame, group: str, key: str, text: str, query: str, k: int |
         return empty.where(F.lit(False))
     wanted = sorted(set(words))
     stats = _group_statistics(docs, group, text, wanted)
-    tokens = docs.where(F.col(group).isNotNull()).select(F.col(group), F.col(key).alias("chunk_id"), ascii_tokens(F.col(text)).alias("__tokens"))
-    tf = F.transform(F.array(*map(F.lit, wanted)), lambda w: F.size(F.filter("__tokens", lambda x: x == w)))
-    counted = tokens.select(group, "chunk_id", F.size("__tokens").alias("__len"), tf.alias("__tf")).where(F.exists("__tf", lambda x: x > 0))
+    # a text without any of the words is left out before it is cut into words
+    some = docs.where(F.col(group).isNotNull() & F.lower(text).rlike(rf"(?<![a-z0-9])(?:{'|'.join(wanted)})(?![a-z0-9])"))
+    tokens = some.select(F.col(group), F.col(key).alias("chunk_id"), ascii_tokens(F.col(text)).alias("__tokens"))
+    hits = tokens.select(group, "chunk_id", F.size("__tokens").alias("__len"), F.filter("__tokens", lambda t: t.isin(wanted)).alias("__hits"))
+    tf = F.transform(F.array(*map(F.lit, wanted)), lambda w: F.size(F.filter("__hits", lambda x: x == w)))
+    counted = hits.select(group, "chunk_id", "__len", tf.alias("__tf"))
     part = None
     for i, w in enumerate(wanted):
         df, t = F.col("__df")[i], F.col("__tf")[i]
@@ -68,9 +71,7 @@ def _group_statistics(docs: DataFrame, group: str, text: str, wanted: list[str])
     One pass over the texts: each sends its distinct words and one empty word with its length; these are combined per
     (group, word), then per (group, document count), so a group's last row holds a histogram and not a vocabulary.
     """
-    tokens = docs.where(F.col(group).isNotNull()).select(F.col(group), ascii_tokens(F.col(text)).alias("__t"))
-    sent = tokens.select(group, F.greatest(F.coalesce(F.size("__t"), F.lit(0)), F.lit(0)).alias("__len"), F.explode(F.concat(F.array(F.lit("")), F.coalesce(F.array_distinct("__t"), F.array().cast("array<string>")))).alias("__word"))
-    vocabulary = sent.groupBy(group, "__word").agg(F.count("*").alias("__df"), F.sum(F.when(F.col("__word") == "", F.col("__len"))).alias("__sum"))
+    vocabulary = _vocabulary(docs, group, text)
     real = F.col("__word") != ""
     mine = F.when(F.col("__word").isin(wanted), F.col("__word"))
     histogram = vocabulary.groupBy(group, "__df").agg(F.count_if(real).alias("__words"), F.max(F.when(~real, F.col("__df"))).alias("__n"), F.max("__sum").alias("__sum"), F.collect_list(mine).alias("__mine"))
@@ -86,6 +87,40 @@ def _group_statistics(docs: DataFrame, group: str, text: str, wanted: list[str])
     return g.select(group, "__n", (F.col("__sum") / n).alias("__avgdl"), F.try_divide(total, size).alias("__mean"), df.alias("__df"))
 
 
+def _vocabulary(docs: DataFrame, group: str, text: str) -> DataFrame:
+    """``(group, __word, __df, __sum)``: in how many texts each word occurs; the empty word stands for the texts themselves."""
+    tokens = docs.where(F.col(group).isNotNull()).select(F.col(group), ascii_tokens(F.col(text)).alias("__t"))
+    sent = tokens.select(group, F.greatest(F.coalesce(F.size("__t"), F.lit(0)), F.lit(0)).alias("__len"), F.explode(F.concat(F.array(F.lit("")), F.coalesce(F.array_distinct("__t"), F.array().cast("array<string>")))).alias("__word"))
+    return sent.groupBy(group, "__word").agg(F.count("*").alias("__df"), F.sum(F.when(F.col("__word") == "", F.col("__len"))).alias("__sum"))
+
+
+def bm25_queries(docs: DataFrame, group: str, key: str, text: str, queries: DataFrame, query_key: str, question: str, k: int, k1: float = 1.5, b: float = 0.75) -> DataFrame:
+    """The same for a table of queries: ``(query_key, group, chunk_id, rank, score)``, each query asked in every group.
+
+    The queries' distinct words are joined to the postings of the texts and to the groups' vocabularies, so the corpus is read
+    twice however many queries there are.  Null and wordless queries find nothing.
+    """
+    asked = queries.select(F.col(query_key), F.explode(ascii_tokens(F.col(question))).alias("__word")).groupBy(query_key, "__word").agg(F.count("*").alias("__times"))
+    words = asked.select("__word").distinct()
+    vocabulary = _vocabulary(docs, group, text)
+    real = F.col("__word") != ""
+    sizes = vocabulary.where(~real).select(group, F.col("__df").alias("__n"), (F.col("__sum") / F.col("__df")).alias("__avgdl"))
+    raw = F.log(F.col("__n") - F.col("__df") + 0.5) - F.log(F.col("__df") + 0.5)
+    # words of the same document count have the same idf, so a group's mean needs its histogram only
+    histogram = vocabulary.where(real).groupBy(group, "__df").agg(F.count("*").alias("__words"))
+    means = histogram.join(sizes, group).groupBy(group).agg((F.sum(raw * F.col("__words")) / F.sum("__words")).alias("__mean"))
+    weights = vocabulary.where(real).join(words, "__word", "left_semi").join(sizes, group).join(means, group)
+    weights = weights.select(group, "__word", "__avgdl", F.when(raw < 0, 0.25 * F.col("__mean")).otherwise(raw).alias("__idf"))
+    tokens = docs.where(F.col(group).isNotNull()).select(F.col(group), F.col(key).alias("chunk_id"), ascii_tokens(F.col(text)).alias("__t"))
+    postings = tokens.select(group, "chunk_id", F.size("__t").alias("__len"), F.explode("__t").alias("__word")).join(words, "__word", "left_semi")
+    postings = postings.groupBy(group, "chunk_id", "__len", "__word").agg(F.count("*").alias("__tf"))
+    t = F.col("__tf")
+    part = F.col("__idf") * t * (k1 + 1) / (t + k1 * (1 - b + b * F.col("__len") / F.col("__avgdl")))
+    scored = postings.join(weights, [group, "__word"]).select(group, "chunk_id", "__word", part.alias("__part")).join(asked, "__word")
+    scores = scored.groupBy(query_key, group, "chunk_id").agg(F.sum(F.col("__times") * F.col("__part")).alias("score")).where("score > 0")
+    return ranked(scores, [query_key, group], [F.round("score", 9).desc(), F.asc("chunk_id")], k).withColumn("retriever", F.lit("bm25"))
+
+
 def knn(spark: SparkSession, vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str, k: int, exclude_self: bool = True) -> DataFrame:
     """``(query_id, chunk_id, rank, score)``: the k vectors of the largest inner product with each query, exactly.
 
@@ -183,14 +218,18 @@ def member_depth(k: int) -> int:
     return max(2 * k, 10)
 
 
-def run_members(members: list[tuple[str, Callable[[], DataFrame]]]) -> tuple[list[tuple[str, DataFrame]], list[dict[str, str]]]:
-    """The members that can be planned, and an outcome per member; an error is told by its class and a hash only.  Raises if none can."""
+def run_members(members: list[tuple[str, Callable[[], DataFrame]]], keep: Callable[[DataFrame], DataFrame] | None = None) -> tuple[list[tuple[str, DataFrame]], list[dict[str, str]]]:
+    """The members that work, and an outcome per member; an error is told by its class and a hash only.  Raises if none does.
+
+    Most errors come up when rows are made, so with ``keep`` (such as ``cut_lineage``) each member's candidates, which are few,
+    are made here and a member that fails then is left out, too; without it only those that can't be planned are.
+    """
     import hashlib
 
     ok, outcomes = [], []
     for kind, make in members:
         try:
-            ok.append((kind, make()))
+            ok.append((kind, keep(make()) if keep else make()))
             outcomes.append({"retriever": kind, "status": "ok"})
         except Exception as e:
             outcomes.append({"retriever": kind, "status": "failed", "error": type(e).__name__, "detail": hashlib.sha256(str(e).encode()).hexdigest()[:16]})
@@ -199,6 +238,33 @@ def run_members(members: list[tuple[str, Callable[[], DataFrame]]]) -> tuple[lis
     return ok, outcomes
 
 
+def hybrid(docs: DataFrame, group: str, key: str, text: str, query: str, k: int, members: list[dict] | None = None, method: str = "reciprocal_rank", weights: dict[str, float] | None = None, vectors: tuple[DataFrame, str, list[float]] | None = None, keep: Callable[[DataFrame], DataFrame] | None = cut_lineage) -> DataFrame:
+    """The fused list of several retrievers, by default bm25 and embedding, each asked for ``member_depth(k)``.  ``vectors``:
+    the texts' vectors by ``key``, their column, and the query's vector; ranks of the vector search are within each group."""
+    depth = member_depth(k)
+
+    def made(config: dict) -> DataFrame:
+        extra = {n: v for n, v in config.items() if n not in ("kind", "k")}
+        if config["kind"] == "embedding":
+            table, vector, asked = vectors
+            return vectors_in_groups(docs, group, key, table, vector, asked, depth)
+        return {"bm25": bm25, "exact": exact}[config["kind"]](docs, group, key, text, query, depth, **extra)
+
+    chosen = members or [{"kind": "bm25"}, {"kind": "embedding"}]
+    found, _ = run_members([(c["kind"], lambda c=c: made(c)) for c in chosen], keep)
+    return fused(found, [group], k, method, weights)
+
+
+def vectors_in_groups(docs: DataFrame, group: str, key: str, vectors: DataFrame, vector: str, asked: list[float], k: int) -> DataFrame:
+    """The k texts of each group whose vectors have the largest inner product with the asked one, as candidates."""
+    dot = F.lit(0.0)
+    for i, x in enumerate(asked):
+        dot = dot + F.col(vector)[i].cast("double") * F.lit(float(x))
+    some = vectors.where(F.col(vector).isNotNull()).select(F.col(key), dot.alias("score"))
+    scored = docs.where(F.col(group).isNotNull()).select(F.col(group), F.col(key)).join(some, key).select(group, F.col(key).alias("chunk_id"), "score")
+    return ranked(scored, [group], [F.round("score", 9).desc(), F.asc("chunk_id")], k).withColumn("retriever", F.lit("embedding"))
+
+
 CLAUSE = re.compile(r"^\s*(\w+)\s*(==|!=|contains)\s*'((?:[^'\\]|\\.)*)'\s*$")
 
 
@@ -224,16 +290,20 @@ def table_rows(df: DataFrame, group: str | None, row_id: str, expression: str |
     return out.withColumn("score", F.lit(1.0)).withColumn("retriever", F.lit("direct_parquet"))
 
 
-def with_recent(candidates: DataFrame, docs: DataFrame, group: str, key: str, day: str, n: int) -> DataFrame:
+def with_recent(candidates: DataFrame, docs: DataFrame, group: str, key: str, day: str, n: int, most: int) -> DataFrame:
     """Candidates followed by the n newest dated texts that aren't among them (day, then id, falling; undated ones by id rising
-    after all dated ones); the rank goes on, their score is 0."""
-    candidates = cut_lineage(candidates)  # small, and used three times
-    rest = docs.select(F.col(group), F.col(key).alias("chunk_id"), F.col(day).alias("__day")).join(candidates.select(group, "chunk_id"), [group, "chunk_id"], "left_anti")
+    after all dated ones); the rank goes on, their score is 0.  ``most``: how many candidates a group has at most (the limit that
+    they were retrieved with)."""
+    # the k candidates of a group are among its first k + n texts by day at worst, so these few are all that meets the candidates
     order = [F.desc_nulls_last("__day"), F.when(F.col("__day").isNotNull(), F.col("chunk_id")).desc_nulls_last(), F.asc("chunk_id")]
-    new = ranked(rest, [group], order, n).withColumnRenamed("rank", "__r")
-    last = candidates.groupBy(group).agg(F.max("rank").alias("__last"))
-    new = new.join(last, group, "left").select(group, "chunk_id", (F.coalesce("__last", F.lit(0)) + F.col("__r")).alias("rank"), F.lit(0.0).alias("score"), F.lit("recent").alias("retriever"))
-    return candidates.select(group, "chunk_id", "rank", "score", "retriever").unionByName(new)
+    dated = docs.where(F.col(group).isNotNull()).select(F.col(group), F.col(key).alias("chunk_id"), F.col(day).alias("__day"))
+    sizes = candidates.select(group, "chunk_id", "rank", "score", "retriever", F.lit(None).cast(dated.schema["__day"].dataType).alias("__day"), F.lit(0).alias("__new"))
+    newest = ranked(dated, [group], order, n + most).select(group, "chunk_id", F.lit(None).cast("int").alias("rank"), F.lit(0.0).alias("score"), F.lit("recent").alias("retriever"), "__day", F.lit(1).alias("__new"))
+    w = W.partitionBy(group)
+    every = sizes.unionByName(newest)
+    every = every.withColumn("__first", F.min("__new").over(W.partitionBy(group, "chunk_id"))).where("__new = __first").withColumn("__last", F.coalesce(F.max("rank").over(w), F.lit(0)))
+    numbered = every.withColumn("__r", F.row_number().over(w.orderBy(F.asc("__new"), *order)) - F.sum(1 - F.col("__new")).over(w))
+    return numbered.where((F.col("__new") == 0) | (F.col("__r") <= n)).select(group, "chunk_id", F.when(F.col("__new") == 0, F.col("rank")).otherwise(F.col("__last") + F.col("__r")).alias("rank"), "score", "retriever")
 
 
 def retrieval_record(candidates: DataFrame, by: list[str], config: str) -> DataFrame:
@@ -244,7 +314,7 @@ def retrieval_record(candidates: DataFrame, by: list[str], config: str) -> DataF
 
 def build_retriever(config: dict) -> Callable[..., DataFrame]:
     """The retriever of a configuration: kinds bm25, exact, embedding, hybrid and direct_parquet; k defaults to 10."""
-    kinds = {"bm25": bm25, "exact": exact, "embedding": knn, "direct_parquet": table_rows, "hybrid": fused}
+    kinds = {"bm25": bm25, "exact": exact, "embedding": knn, "direct_parquet": table_rows, "hybrid": hybrid}
     kind = config.get("kind")
     if kind not in kinds:
         raise ValueError(f"unknown retriever {kind!r}; known: {sorted(kinds)}")

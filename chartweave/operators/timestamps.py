@@ -14,6 +14,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chartweave.functions.dates import utc_text
 from chartweave.operators import zones
 
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
@@ -37,12 +38,6 @@ _N = 3 * len(_HEADS)
 PATTERN = "^(?:" + "|".join(_HEADS) + ")" + _TAIL + "$"
 
 
-def utc_text(second: Column) -> Column:
-    """``YYYY-MM-DDTHH:MM:SSZ`` of UTC seconds, whatever the session's zone is."""
-    at = F.timestamp_add("SECOND", second, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    return F.concat(F.replace(at.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
-
-
 def parse(df: DataFrame, value: str, date_order: str) -> DataFrame:
     """Adds ``__day`` (text), ``__local`` (wall-clock seconds, null without a time), ``__epoch`` (UTC seconds of a
     plain epoch number) and ``__zone`` (what the text says of a zone, null if nothing); all null where the text

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartweave.functions.dates import interval, month_number, strictly_before
+from chartweave.functions.dates import interval, surely_before
 
 #: What a key's name says of it.
 POINTER_SUFFIXES = ("evidence_chunk_id", "evidence_chunk", "evidence_pointer", "source_chunk_id")
@@ -127,14 +127,46 @@ def rule_tally(found: DataFrame) -> DataFrame:
     return found.groupBy("rule").agg(*[F.count_if(F.col("outcome") == o).alias(o) for o in ("passed", "failed", "did_not_run")])
 
 
+def with_intervals(df: DataFrame, **dates: str) -> DataFrame:
+    """Adds the interval of each date column under a name of its own, so that no rule reads a date twice."""
+    return df.select("*", *[interval(F.col(c)).alias(name) for name, c in dates.items()])
+
+
 def ordered(earlier: Column, later: Column) -> Column:
-    """Earlier isn't surely after later; null where a date is missing or no date."""
-    return F.when(interval(earlier).isNotNull() & interval(later).isNotNull(), ~F.coalesce(strictly_before(later, earlier), F.lit(False)))
+    """Interval ``earlier`` isn't surely after ``later``; null where a date is missing or no date."""
+    return F.when(earlier.isNotNull() & later.isNotNull(), ~F.coalesce(surely_before(later, earlier), F.lit(False)))
 
 
 def not_adjacent(a: Column, b: Column) -> Column:
-    """Two dates lie more than a month apart; null where a month is unknown."""
-    return F.abs(month_number(a) - month_number(b)) > 1
+    """Two intervals lie more than a calendar month apart; null where one is missing or wider than a month."""
+    one = lambda x: F.trunc(x["lo"], "month") == F.trunc(x["hi"], "month")
+    number = lambda x: F.year(x["lo"]) * 12 + F.month(x["lo"])
+    return F.when(one(a) & one(b), F.abs(number(a) - number(b)) > 1)
+
+
+def within(day: Column, first: Column, last: Column) -> Column:
+    """Interval ``day`` is surely neither before ``first`` nor after ``last``; a missing bound bounds nothing, a missing day gives null."""
+    bad = F.coalesce(surely_before(day, first), F.lit(False)) | F.coalesce(surely_before(last, day), F.lit(False))
+    return F.when(day.isNotNull(), ~bad)
+
+
+def gathered(results: DataFrame, entity: str, variable: str, value: str, roles: dict[str, tuple[str, ...]]) -> DataFrame:
+    """One row per entity with a column per role: the value of the first of its variables that has one.  One shuffle on the
+    entity; a variable that stands twice gives its greatest value."""
+    wanted = sorted({v for names in roles.values() for v in names})
+    wide = results.where(F.col(variable).isin(wanted)).groupBy(entity).agg(*[F.max(F.when(F.col(variable) == v, F.col(value))).alias(f"__{i}") for i, v in enumerate(wanted)])
+    return wide.select(entity, *[F.coalesce(*[F.col(f"__{wanted.index(v)}") for v in names]).alias(role) for role, names in roles.items()])
+
+
+def missing_targets(roles: dict[str, tuple[str, str]], declared: dict[str, set[str]]) -> list[str]:
+    """What a rule would read and no recipe declares: a rule that reads nothing passes, so this must be empty before any runs."""
+    out = []
+    for role, (recipe, field) in sorted(roles.items()):
+        if recipe not in declared:
+            out.append(f"{role}: no recipe {recipe}")
+        elif field not in declared[recipe]:
+            out.append(f"{role}: {recipe} declares no {field}")
+    return out
 
 
 def lines_in_order(df: DataFrame, by: list[str], number: str, start: str) -> DataFrame:

@@ -449,7 +449,7 @@ select source, chunk_id, rank, round(score, 6) as score, 'bm25' as retriever fro
 union all select n.source, n.chunk_id, cast(coalesce(last, 0) + r as int), 0.0, 'recent' from n left join l on l.source = n.source where r <= 5""")
 def retrieve_recent_union(spark: SparkSession, d: str) -> DataFrame:
     docs = _docs(spark, d)
-    out = retrieval.with_recent(retrieval.bm25(docs, "source", "doc_id", "text", QUESTION, 5), docs, "source", "doc_id", "document_date", 5)
+    out = retrieval.with_recent(retrieval.bm25(docs, "source", "doc_id", "text", QUESTION, 5), docs, "source", "doc_id", "document_date", 5, 5)
     return out.withColumn("rank", F.col("rank").cast("int")).withColumn("score", F.round("score", 6))
 
 
@@ -886,9 +886,9 @@ p as (select row_id, try_cast(a as date) as a, try_cast(b as date) as b from o)
 select row_id, 'start_before_end' as rule, case when a is null or b is null then 'did_not_run' when b < a then 'failed' else 'passed' end as outcome from p
 union all select row_id, 'within_a_month', case when a is null or b is null then 'did_not_run' when abs((year(b) * 12 + month(b)) - (year(a) * 12 + month(a))) > 1 then 'failed' else 'passed' end from p""")
 def invariants_dates(spark: SparkSession, d: str) -> DataFrame:
-    a, b = F.col("start_date"), F.col("end_date")
-    ok = lambda: F.when(dates.interval(a).isNotNull() & dates.interval(b).isNotNull(), ~validation.not_adjacent(a, b))
-    return validation.outcomes(load(spark, d, "med_orders"), ["row_id"], {"start_before_end": lambda: validation.ordered(a, b), "within_a_month": ok})
+    a, b = F.col("__a"), F.col("__b")
+    o = validation.with_intervals(load(spark, d, "med_orders").select("row_id", "start_date", "end_date"), __a="start_date", __b="end_date")
+    return validation.outcomes(o, ["row_id"], {"start_before_end": lambda: validation.ordered(a, b), "within_a_month": lambda: ~validation.not_adjacent(a, b)})
 
 
 @query("""
