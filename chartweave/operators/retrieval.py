@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chartweave.functions.text import ascii_tokens, non_overlapping_count
-from chartweave.session import cut_lineage
+from chartweave.session import cut_lineage, spread
 
 #: So many query vectors are sent to the workers at once.
 QUERY_BLOCK = 8192
@@ -45,17 +45,16 @@ def bm25(docs: DataFrame, group: str, key: str, text: str, query: str, k: int |
     if not words:
         empty = docs.select(F.col(group), F.col(key).alias("chunk_id"), F.lit(0).alias("rank"), F.lit(0.0).alias("score"), F.lit("bm25").alias("retriever"))
         return empty.where(F.lit(False))
-    wanted = sorted(set(words))
+    wanted, docs = sorted(set(words)), spread(docs.select(group, key, text))
     stats = _group_statistics(docs, group, text, wanted)
-    # a text without any of the words is left out before it is cut into words
-    some = docs.where(F.col(group).isNotNull() & F.lower(text).rlike(rf"(?<![a-z0-9])(?:{'|'.join(wanted)})(?![a-z0-9])"))
+    # texts without any of the words needn't be cut into words; what still has none scores 0
+    some = docs.where(F.col(group).isNotNull() & F.lower(text).rlike("|".join(wanted)))
     tokens = some.select(F.col(group), F.col(key).alias("chunk_id"), ascii_tokens(F.col(text)).alias("__tokens"))
     hits = tokens.select(group, "chunk_id", F.size("__tokens").alias("__len"), F.filter("__tokens", lambda t: t.isin(wanted)).alias("__hits"))
-    tf = F.transform(F.array(*map(F.lit, wanted)), lambda w: F.size(F.filter("__hits", lambda x: x == w)))
-    counted = hits.select(group, "chunk_id", "__len", tf.alias("__tf"))
+    counted = hits.select(group, "chunk_id", "__len", *[F.size(F.filter("__hits", _equals(w))).alias(f"__tf{i}") for i, w in enumerate(wanted)])
     part = None
     for i, w in enumerate(wanted):
-        df, t = F.col("__df")[i], F.col("__tf")[i]
+        df, t = F.col("__df")[i], F.col(f"__tf{i}")
         raw = F.log(F.col("__n") - df + 0.5) - F.log(df + 0.5)
         idf = F.when(raw < 0, 0.25 * F.col("__mean")).otherwise(raw)
         one = F.when(t > 0, words.count(w) * idf * t * (k1 + 1) / (t + k1 * (1 - b + b * F.col("__len") / F.col("__avgdl")))).otherwise(0.0)
@@ -64,6 +63,10 @@ def bm25(docs: DataFrame, group: str, key: str, text: str, query: str, k: int |
     return ranked(scores, [group], [F.round("score", 9).desc(), F.asc("chunk_id")], k).withColumn("retriever", F.lit("bm25"))
 
 
+def _equals(word: str) -> Callable[[Column], Column]:
+    return lambda x: x == word
+
+
 def _group_statistics(docs: DataFrame, group: str, text: str, wanted: list[str]) -> DataFrame:
     """``(group, __n, __avgdl, __mean, __df)``: texts, mean length, mean idf over the group's vocabulary and the document
     counts of the wanted words, in their order.
@@ -100,6 +103,7 @@ def bm25_queries(docs: DataFrame, group: str, key: str, text: str, queries: Data
     The queries' distinct words are joined to the postings of the texts and to the groups' vocabularies, so the corpus is read
     twice however many queries there are.  Null and wordless queries find nothing.
     """
+    docs = spread(docs.select(group, key, text))
     asked = queries.select(F.col(query_key), F.explode(ascii_tokens(F.col(question))).alias("__word")).groupBy(query_key, "__word").agg(F.count("*").alias("__times"))
     words = asked.select("__word").distinct()
     vocabulary = _vocabulary(docs, group, text)

@@ -53,7 +53,7 @@ def evidence(corpus: Corpus, live: DataFrame, settings: dict) -> DataFrame:
     one = {"bm25": retrieval.bm25, "exact": retrieval.exact}
     if r["kind"] == "hybrid":
         names, deep = r.get("members", ["bm25", "exact"]), retrieval.member_depth(k)
-        members, _ = retrieval.run_members([(n, lambda n=n: one[n](docs, g, "chunk_id", "text", query, deep)) for n in names])
+        members, _ = retrieval.run_members([(n, lambda n=n: one[n](docs, g, "chunk_id", "text", query, deep)) for n in names], cut_lineage)
         found = retrieval.fused(members, [g], k, r.get("method", "reciprocal_rank"), r.get("weights"))
     else:
         found = one[r["kind"]](docs, g, "chunk_id", "text", query, k)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ def get_session(app: str = "chartweave", cores: int | str = "*", shuffle_partiti
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CHARTWEAVE_DRIVER_MEMORY", "8g"))
@@ -32,14 +35,32 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def size_of(df: DataFrame) -> int:
+    """The optimizer's estimate of a plan's bytes; of a file scan, the size of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame, least: int = 16 << 20) -> DataFrame:
+    """Rows dealt out to all cores where the input is so small (under ``least`` bytes a core) that its files would leave most of
+    them idle; any larger input stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if size_of(df) < least * cores else df
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint in the cluster's ``spark.checkpoint.dir``.
 
-    A folder of our own is set only where the session names none (as in tests), since a
-    machine-local folder can't be read by another executor.
+    In local mode a folder of our own is set where the session names none (as in tests), and removed at the end; elsewhere
+    that is an error, since a machine-local folder can't be read by another executor.
     """
-    sc = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="chartweave-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            if not sc.master.startswith("local"):
+                raise ValueError("name a shared folder in spark.checkpoint.dir")
+            named = tempfile.mkdtemp(prefix="chartweave-checkpoint-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
     return df.checkpoint(eager)
