@@ -19,8 +19,18 @@ def word_set(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1)))
 
 
+# What full case folding changes beyond lower case, one character to one and one to several.
+FOLD_ONE = {"ς": "σ", "ſ": "s", "µ": "μ", "ϐ": "β", "ϑ": "θ", "ϕ": "φ", "ϖ": "π", "ϰ": "κ", "ϱ": "ρ", "ϵ": "ε", "ẛ": "ṡ"}
+FOLD_MORE = {"ß": "ss", "ŉ": "ʼn", "ǰ": "ǰ", "և": "եւ", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
+
+
 def casefolded(text: Column) -> Column:
-    return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
+    """Lower case with the foldings beyond it that texts hold; only texts with such a character take the longer way."""
+    low = F.lower(text)
+    long = F.translate(low, "".join(FOLD_ONE), "".join(FOLD_ONE.values()))
+    for a, b in FOLD_MORE.items():
+        long = F.replace(long, F.lit(a), F.lit(b))
+    return F.when(low.rlike(f"[{''.join(FOLD_ONE)}{''.join(FOLD_MORE)}]"), long).otherwise(low)
 
 
 def normalised(text: Column) -> Column:

@@ -81,6 +81,16 @@ def by_row_axis(df: DataFrame, axis: str) -> DataFrame:
     return df.select("*", F.posexplode_outer(axis).alias("row_index", "record")).drop(axis)
 
 
+def by_only_axis(df: DataFrame, axes: list[str]) -> DataFrame:
+    """One row per record where the answers have one list of records.  With two or more there is no telling which makes the rows:
+    each answer stays one row, every list becomes a JSON cell and ``axis_note`` names them."""
+    if len(axes) == 1:
+        return by_row_axis(df, axes[0]).withColumn("axis_note", F.lit(None).cast("string"))
+    some = [F.when(F.size(a) > 0, F.lit(a)) for a in axes]
+    note = F.array_join(F.array_compact(F.array(*some)), "; ")
+    return df.select(*[F.to_json(c).alias(c) if c in axes else F.col(c) for c in df.columns], F.when(note != "", note).alias("axis_note"))
+
+
 def any_value(columns: list[str]) -> Column:
     hit = F.lit(False)
     for c in columns:

@@ -244,6 +244,12 @@ def verified_export(df: DataFrame, columns: list[str], patient_ids: DataFrame, i
     return counts.unionByName(named).groupBy("column").agg(F.sum("forbidden").alias("forbidden"), F.sum("with_id").alias("with_id"))
 
 
+def labelled_selections(selections: DataFrame, labels: DataFrame, on: tuple[str, ...] = ("run_id", "recipe_id", "step_id", "chunk_surrogate")) -> DataFrame:
+    """The reviewed ones of the selected candidates: both sides name a chunk by the same surrogate, minted in the domain that
+    chunks share.  A candidate with several labels has a row for each."""
+    return selections.join(labels.select(*on, "label"), list(on))
+
+
 def export_hash(spark: SparkSession, path: str) -> str:
     """sha256 over the names and contents of a table's files, hashed where they lie."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)

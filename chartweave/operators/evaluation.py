@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from chartweave.functions.text import casefolded
+
 K_VALUES = (1, 3, 5, 10, 20)
 
 
@@ -92,9 +97,17 @@ def latest_entries(feedback: DataFrame, by: list[str], seq: str, value: str) ->
     return feedback.groupBy(*by).agg(F.max_by(value, seq).alias(value))
 
 
+def texts_match(extracted: Column, expected: Column) -> Column:
+    """``values_match`` of plain texts in the JVM: folded, and a complete date for a partial one that it fits."""
+    a, b = casefolded(F.trim(extracted)), casefolded(F.trim(expected))
+    masked = b.rlike(r"^\d{4}-(\d\d|xx)-(\d\d|xx)$") & b.contains("xx") & a.rlike(r"^\d{4}-\d\d-\d\d$")
+    part = lambda i, n: (F.substring(b, i, n) == "xx") | (F.substring(b, i, n) == F.substring(a, i, n))
+    return (a == b) | (masked & (F.substring(a, 1, 4) == F.substring(b, 1, 4)) & part(6, 2) & part(9, 2))
+
+
 def rescored(verdicts: DataFrame, by: list[str], extracted: str, reviewed: str) -> DataFrame:
     """Confirmations of another run scored anew; those that can't be scored leave the denominator."""
-    ok = F.when(F.col(extracted).isNotNull() & F.col(reviewed).isNotNull(), F.lower(F.trim(extracted)) == F.lower(F.trim(reviewed)))
+    ok = F.when(F.col(extracted).isNotNull() & F.col(reviewed).isNotNull(), texts_match(F.col(extracted), F.col(reviewed)))
     return verdicts.groupBy(*by).agg(F.count("*").alias("confirmed"), F.count(ok).alias("scorable"), F.count_if(ok).alias("still_right"))
 
 
@@ -128,6 +141,23 @@ def values_match(extracted: object, expected: object) -> bool:
     return extracted == expected
 
 
+def json_match(extracted: Column, expected: Column) -> Column:
+    """``values_match`` of two JSON columns, in Arrow batches; null where the expected side is null or either is no JSON."""
+
+    def one(a: str | None, b: str | None) -> bool | None:
+        if b is None:
+            return None
+        try:
+            return values_match(None if a is None else json.loads(a), json.loads(b))
+        except ValueError:
+            return None
+
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=object)
+
+    return F.pandas_udf(run, "boolean")(extracted, expected)
+
+
 def feedback_labels(feedback: DataFrame, kind: str) -> DataFrame:
     """``(key columns, entry, label)``: entries of one type out of the feedback lists, agreement as 0 or 1."""
     return feedback.withColumn("entry", F.explode("feedback")).where(F.col("entry.type") == kind).withColumn("label", F.when(F.col("entry.agreed"), 1).otherwise(0))

@@ -14,6 +14,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+#: Days beyond this one are counted as this one when overlaps are counted.
+LAST_DAY = "2200-12-31"
+
+
 def day_of(text: Column) -> Column:
     """The day that a text starts with (``YYYY-MM-DD``, any time of day after it is ignored), else null."""
     t = F.trim(text)
@@ -74,6 +78,34 @@ def periods_and_gaps(df: DataFrame, keys: list[str], start: str, end: str) -> Da
     )
 
 
+def overlap_counts(df: DataFrame, others: DataFrame, key: str, first: str, last: str) -> DataFrame:
+    """``(*df, overlapping)``: with how many intervals of the other table each one shares a day (itself, by its key, left out).
+
+    An interval overlaps all but those that end before it begins and those that begin after it ends, so two ranks among the
+    sorted boundary days tell the number: counts by day are summed and ranked, and no pair of intervals is ever made.
+    """
+    days = others.where(F.col(first) <= F.col(last))
+    events = lambda c, name: days.groupBy(F.col(c).alias("__day")).agg(F.count("*").alias(name))
+    starts, ends = _so_far(events(first, "__n"), "__started"), _so_far(events(last, "__n"), "__ended")
+    return _count_before(_count_before(df, ends, F.date_sub(first, 1), "__ended"), starts, F.col(last), "__started").join(
+        days.select(F.col(key), F.lit(1).alias("__own")).distinct(), key, "left"
+    ).withColumn("overlapping", F.col("__started") - F.col("__ended") - F.coalesce("__own", F.lit(0))).drop("__started", "__ended", "__own")
+
+
+def _so_far(counts: DataFrame, name: str) -> DataFrame:
+    """``(from_day, to_day, name)``: the running total of daily counts, for every stretch between two days that have one.  There
+    are no more rows than days in the calendar."""
+    w = W.orderBy("__day")
+    total = F.sum("__n").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
+    return counts.select(F.col("__day").alias("__from"), F.lead("__day").over(w).alias("__to"), total.alias(name))
+
+
+def _count_before(df: DataFrame, steps: DataFrame, day: Column, name: str) -> DataFrame:
+    """The running total on a day, 0 before the first; exploded by day, so that it is an equi-join."""
+    table = steps.select(F.explode(F.sequence(F.col("__from"), F.coalesce(F.date_sub("__to", 1), F.greatest("__from", F.lit(LAST_DAY).cast("date"))))).alias("__at"), name)
+    return df.withColumn("__at", F.least(day, F.lit(LAST_DAY).cast("date"))).join(table, "__at", "left").withColumn(name, F.coalesce(name, F.lit(0))).drop("__at")
+
+
 def order_periods(orders: DataFrame) -> DataFrame:
     """``(patient_id, medication, kind, first_day, last_day)``, all text, of an orders table."""
     days = orders.select(

@@ -61,6 +61,36 @@ def unfinished(wanted: DataFrame, done: DataFrame, on: list[str], hashes: list[s
     return wanted.join(ok.select(*on, *hashes).distinct(), [*on, *hashes], "left_anti")
 
 
+def extraction_failures(results: DataFrame, by: list[str], ok: str) -> DataFrame:
+    """Per group: answers, and those that aren't ok (false; a null one was never judged and is counted apart)."""
+    return results.groupBy(*by).agg(F.count("*").alias("answers"), F.count_if(~F.col(ok)).alias("failures"), F.count_if(F.col(ok).isNull()).alias("unjudged"))
+
+
+def versioned(wanted: DataFrame, known: DataFrame, key: str, version: str, value: str) -> DataFrame:
+    """``wanted`` with the value known for its key and version (``key_vVERSION``), else the one known for the bare key, else null.
+    A key that stands twice gives its greatest value."""
+    best = known.groupBy(key).agg(F.max(value).alias("__value"))
+    full = F.concat(F.col(key), F.lit("_v"), F.col(version).cast("string"))
+    j = wanted.withColumn("__full", full).join(best.select(F.col(key).alias("__full"), F.col("__value").alias("__a")), "__full", "left")
+    j = j.join(best.select(F.col(key), F.col("__value").alias("__b")), key, "left")
+    return j.withColumn(value, F.coalesce("__a", "__b")).drop("__full", "__a", "__b")
+
+
+def scoped_hashes(settings: dict, scopes: dict[str, list[str]], recipes: dict[str, dict] | None = None) -> dict[str, str]:
+    """One hash per scope over the settings it names, and one per recipe over all of it: what a sealed run is compared by."""
+    import hashlib
+    import json
+
+    of = lambda x: "sha256:" + hashlib.sha256(json.dumps(x, sort_keys=True, separators=(",", ":"), default=str).encode()).hexdigest()
+    out = {name: of({k: settings.get(k) for k in sorted(keys)}) for name, keys in scopes.items()}
+    return out | {f"recipe:{n}": of(r) for n, r in (recipes or {}).items()}
+
+
+def time_left(progress: DataFrame, done: str, total: str, seconds: str, workers: int = 1) -> DataFrame:
+    """Adds ``eta_seconds``: what is left times the mean seconds of one, over the workers; null where nothing is done yet."""
+    return progress.withColumn("eta_seconds", F.round((F.col(total) - F.col(done)) * F.col(seconds) / workers, 3))
+
+
 def corpus_may_be_reused(settings_now: dict, settings_then: dict, keys: list[str], map_edited: bool, changed_charts: int) -> bool:
     return all(settings_now.get(k) == settings_then.get(k) for k in keys) and not map_edited and changed_charts == 0
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
+from datetime import date
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,14 +48,9 @@ def unprovenanced_paths(data: object, path: str = "$") -> list[str]:
 
 def unprovenanced(df: DataFrame, keys: list[str], data: str) -> DataFrame:
     """``(*keys, path)`` for JSON answers; text that is no JSON gives the path ``!``."""
-
-    def of(text: str | None) -> list[str]:
-        try:
-            return unprovenanced_paths(json.loads(text)) if text else []
-        except ValueError:
-            return ["!"]
-
-    return df.select(*keys, F.explode(F.udf(of, T.ArrayType(T.StringType()))(data)).alias("path"))
+    found = checked_json(df, keys, data, {})
+    paths = F.when(F.array_contains("errors", "no JSON"), F.array(F.lit("!"))).otherwise(F.col("unprovenanced"))
+    return found.select(*keys, F.explode(paths).alias("path"))
 
 
 def unpointed_groups(leaves: DataFrame, keys: list[str], parent: str, key: str, value: str) -> DataFrame:
@@ -66,13 +64,17 @@ def unpointed_groups(leaves: DataFrame, keys: list[str], parent: str, key: str,
     return g.where("__v and not __p").select(*keys, parent)
 
 
-def schema_errors(data: object, schema: dict, path: str = "$") -> list[str]:
-    """Errors of a value under a JSON schema (type, required, properties, additionalProperties, items, enum, pattern,
-    minimum, maximum, anyOf), sorted by path."""
-    import re
-
+def schema_errors(data: object, schema: dict, path: str = "$", root: dict | None = None) -> list[str]:
+    """Errors of a value under a JSON schema, sorted by path: type, enum, const, $ref, allOf, anyOf, oneOf, pattern, format (date),
+    lengths, minimum, maximum, required, properties, additionalProperties, items and the numbers of items."""
+    root = root or schema
+    if "$ref" in schema:
+        target: object = root
+        for part in schema["$ref"].lstrip("#/").split("/"):
+            target = target[part]  # type: ignore[index]
+        return schema_errors(data, {**target, **{k: v for k, v in schema.items() if k != "$ref"}}, path, root)  # type: ignore[dict-item]
     kinds = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
-    out = []
+    out: list[str] = []
 
     def fits(kind: str) -> bool:
         if kind in ("number", "integer"):
@@ -84,11 +86,20 @@ def schema_errors(data: object, schema: dict, path: str = "$") -> list[str]:
         return [f"{path}: not {want}"]
     if "enum" in schema and data not in schema["enum"]:
         out.append(f"{path}: not one of {schema['enum']}")
-    if any_of := schema.get("anyOf"):
-        if not any(not schema_errors(data, s, path) for s in any_of):
-            out.append(f"{path}: fits none of its forms")
-    if isinstance(data, str) and "pattern" in schema and not re.search(schema["pattern"], data):
-        out.append(f"{path}: doesn't match {schema['pattern']}")
+    if "const" in schema and data != schema["const"]:
+        out.append(f"{path}: not {schema['const']!r}")
+    for part in schema.get("allOf", []):
+        out += schema_errors(data, part, path, root)
+    for name, good in (("anyOf", lambda n: n > 0), ("oneOf", lambda n: n == 1)):
+        if name in schema and not good(sum(not schema_errors(data, s, path, root) for s in schema[name])):
+            out.append(f"{path}: fits {'none' if name == 'anyOf' else 'not exactly one'} of its forms")
+    if isinstance(data, str):
+        if "pattern" in schema and not re.search(schema["pattern"], data):
+            out.append(f"{path}: doesn't match {schema['pattern']}")
+        if schema.get("format") == "date" and not _is_day(data):
+            out.append(f"{path}: no date")
+        if not schema.get("minLength", 0) <= len(data) <= schema.get("maxLength", len(data)):
+            out.append(f"{path}: too short or too long")
     if isinstance(data, (int, float)) and not isinstance(data, bool):
         if data < schema.get("minimum", data) or data > schema.get("maximum", data):
             out.append(f"{path}: out of range")
@@ -99,11 +110,43 @@ def schema_errors(data: object, schema: dict, path: str = "$") -> list[str]:
             out += [f"{path}.{k}: not allowed" for k in data if k not in props]
         for k, v in data.items():
             if k in props:
-                out += schema_errors(v, props[k], f"{path}.{k}")
-    if isinstance(data, list) and "items" in schema:
-        for i, v in enumerate(data):
-            out += schema_errors(v, schema["items"], f"{path}[{i}]")
-    return sorted(out)
+                out += schema_errors(v, props[k], f"{path}.{k}", root)
+    if isinstance(data, list):
+        if not schema.get("minItems", 0) <= len(data) <= schema.get("maxItems", len(data)):
+            out.append(f"{path}: too few or too many items")
+        for i, v in enumerate(data if "items" in schema else []):
+            out += schema_errors(v, schema["items"], f"{path}[{i}]", root)
+    return sorted(set(out))
+
+
+def _is_day(text: str) -> bool:
+    try:
+        return len(text) == 10 and bool(date.fromisoformat(text))
+    except ValueError:
+        return False
+
+
+def checked_json(df: DataFrame, keys: list[str], data: str, schema: dict) -> DataFrame:
+    """``(*keys, schema_ok, errors, unprovenanced, found)`` of JSON answers, in Arrow batches; equal texts of a batch are read once.
+    Null gives no error of its own but is judged as the value null; text that is no JSON has the one error ``no JSON``."""
+    out = T.StructType([*(df.schema[k] for k in keys), T.StructField("schema_ok", T.BooleanType()), T.StructField("errors", T.ArrayType(T.StringType())), T.StructField("unprovenanced", T.ArrayType(T.StringType())), T.StructField("found", T.IntegerType())])
+
+    def judged(text: str | None) -> tuple[bool, list[str], list[str], int]:
+        try:
+            value = None if text is None else json.loads(text)
+        except ValueError:
+            return False, ["no JSON"], [], 0
+        errors = schema_errors(value, schema)
+        return not errors, errors, unprovenanced_paths(value), found_count(value)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts = [None if t is None or t != t else t for t in pdf["__data"]]
+            known = {t: judged(t) for t in set(texts)}
+            rows = pd.DataFrame([known[t] for t in texts], columns=["schema_ok", "errors", "unprovenanced", "found"])
+            yield pd.concat([pdf[keys].reset_index(drop=True), rows], axis=1)
+
+    return df.select(*keys, F.col(data).alias("__data")).mapInPandas(run, out)
 
 
 def is_ok(schema_ok: Column, failed_steps: Column, unprovenanced_count: Column) -> Column:
@@ -230,5 +273,8 @@ def artifact_report(artifacts: DataFrame, kind: str, payload: str, schemas: dict
             return "no JSON"
         return found[0] if found else None
 
-    marked = artifacts.select(F.col(kind).alias("artifact_type"), F.udf(errors, "string")(kind, payload).alias("e"))
+    def run(t: pd.Series, text: pd.Series) -> pd.Series:
+        return pd.Series([errors(a, b) for a, b in zip(t, text)], dtype=object)
+
+    marked = artifacts.select(F.col(kind).alias("artifact_type"), F.pandas_udf(run, "string")(kind, payload).alias("e"))
     return marked.groupBy("artifact_type").agg(F.count("*").alias("rows"), F.count("e").alias("invalid"), F.min("e").alias("example"))

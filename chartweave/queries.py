@@ -125,19 +125,15 @@ def ingest_null_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-with v as (select row_id, "date" as raw, trim("date") as t from clinical_note),
-k as (select *, regexp_matches(t, '^\d{4}-\d{2}-\d{2}(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?$') as iso,
-             regexp_matches(t, '^\d{1,2}/\d{1,2}/\d{4}(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?$') as slash from v),
-p as (select *, case when iso then substr(t, 1, 10)
-                     when slash then regexp_extract(t, '/(\d{4})', 1) || '-' || lpad(regexp_extract(t, '^(\d{1,2})/', 1), 2, '0') || '-' || lpad(regexp_extract(t, '/(\d{1,2})/', 1), 2, '0') end as ds,
-             regexp_extract(t, '[T ](\d{1,2}):\d{2}', 1) as h, regexp_extract(t, '[T ]\d{1,2}:(\d{2})', 1) as mi,
-             coalesce(nullif(regexp_extract(t, '[T ]\d{1,2}:\d{2}:(\d{2})', 1), ''), '00') as s,
-             case when regexp_matches(t, ':\d{2}(?:\.\d+)?[+-]\d{2}:?\d{2}$') then regexp_extract(t, '([+-]\d{2}:?\d{2})$', 1) end as z from k),
-q as (select *, try_cast(ds as date) as d, case when z is null then 0 else (cast(substr(z, 2, 2) as int) * 60 + cast(right(z, 2) as int)) * (case when z[1] = '-' then -1 else 1 end) end as off from p)
-select row_id, raw, case when d is null then raw when h = '' then cast(d as varchar)
-  when cast(h as int) <= 23 and cast(mi as int) <= 59 and cast(s as int) <= 59
-  then strftime(cast(d as timestamp) + to_seconds(cast(h as int) * 3600 + cast(mi as int) * 60 + cast(s as int) - off * 60), '%Y-%m-%dT%H:%M:%SZ')
-  else raw end as iso from q""")
+with v as (select row_id, "date" as raw, regexp_replace("date", '^\s+|\s+$', '', 'g') as t from clinical_note),
+k as (select *, regexp_matches(t, '^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?$') as iso,
+             regexp_matches(t, '^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}(\s+[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?)?$') as slash from v),
+p as (select *, case when iso then substr(t, 1, 10) when slash then regexp_extract(t, '/([0-9]{4})', 1) || '-' || lpad(regexp_extract(t, '^([0-9]{1,2})/', 1), 2, '0') || '-' || lpad(regexp_extract(t, '/([0-9]{1,2})/', 1), 2, '0') end as ds,
+             lpad(nullif(regexp_extract(t, '([0-9]{1,2}):[0-9]{2}', 1), ''), 2, '0') as h, regexp_extract(t, '[T ][0-9]{1,2}:([0-9]{2})', 1) as mi, coalesce(nullif(regexp_extract(t, '[T ][0-9]{1,2}:[0-9]{2}:([0-9]{2})', 1), ''), '00') as s,
+             rpad(left(regexp_extract(t, '\.([0-9]+)', 1), 6), 6, '0') as f, case when iso then regexp_extract(substr(t, 11), '(Z|[+-][0-9]{2}:?[0-9]{2})$', 1) else '' end as z from k),
+q as (select *, try_cast(ds as date) as d, regexp_matches(t, '[T ][0-9]{1,2}:[0-9]{2}') or regexp_matches(t, '\s[0-9]{1,2}:') as timed from p)
+select row_id, raw, case when d is null then raw when not timed and z = '' then cast(d as varchar) when not timed then raw when h > '23' or mi > '59' or s > '59' then raw
+  else cast(d as varchar) || 'T' || h || ':' || mi || ':' || s || case when f in ('', '000000') then '' else '.' || f end || case when z in ('', 'Z') then '+00:00' else left(z, 3) || ':' || right(z, 2) end end as iso from q""")
 def ingest_iso_dates(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "clinical_note").select("row_id", F.col("date").alias("raw"), dates.canonical(F.col("date")).alias("iso"))
 

@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,20 +48,28 @@ def spread(df: DataFrame, least: int = 16 << 20) -> DataFrame:
     return df.repartition(cores) if size_of(df) < least * cores else df
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint in the cluster's ``spark.checkpoint.dir``.
+def _shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; in local mode a folder of our own where the session names none (as in tests), which
+    is removed at the end.  Elsewhere that is an error, since a machine-local folder can't be read by another executor."""
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a shared folder in spark.checkpoint.dir")
+    made = tempfile.mkdtemp(prefix="chartweave-checkpoint-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(made)
+    return made
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path of its own under the shared folder, for files that are written and read again."""
+    return f"{_shared_folder(spark).rstrip('/')}/scratch-{uuid.uuid4().hex[:12]}/{name}"
 
-    In local mode a folder of our own is set where the session names none (as in tests), and removed at the end; elsewhere
-    that is an error, since a machine-local folder can't be read by another executor.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Reliable checkpoint in the cluster's ``spark.checkpoint.dir``."""
+    folder, sc = _shared_folder(df.sparkSession), df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named:
-            if not sc.master.startswith("local"):
-                raise ValueError("name a shared folder in spark.checkpoint.dir")
-            named = tempfile.mkdtemp(prefix="chartweave-checkpoint-")
-            atexit.register(shutil.rmtree, named, ignore_errors=True)
-        sc.setCheckpointDir(named)
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager)

@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable
 from xml.etree import ElementTree
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,10 +36,9 @@ def discovered(spark: SparkSession, folder: str) -> DataFrame:
 def read_delimited(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
     """All text, quoted line ends kept, a row of another width is an error; null spellings become null.
 
-    Column pruning is switched off for the parser, as with it a ragged row passes unnoticed when few columns are read.
+    Column pruning is switched off for this reader, as with it a ragged row passes unnoticed when few columns are read.
     """
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    df = spark.read.csv(path, header=True, sep=separator, inferSchema=False, multiLine=True, quote='"', escape='"', mode="FAILFAST", enforceSchema=False)
+    df = spark.read.option("columnPruning", "false").csv(path, header=True, sep=separator, inferSchema=False, multiLine=True, quote='"', escape='"', mode="FAILFAST", enforceSchema=False)
     return nulled(df)
 
 
@@ -86,10 +86,10 @@ def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
     names = [str(x) for x in _sheet(bytes(files.select("content").first()[0]))[0]]
     width = len(names)
 
-    def rows(content: bytes) -> list[list[str | None]]:
-        return [(r + [None] * width)[:width] for r in _sheet(bytes(content))[1:]]
+    def rows(content: pd.Series) -> pd.Series:
+        return pd.Series([[(r + [None] * width)[:width] for r in _sheet(bytes(c))[1:]] for c in content])
 
-    cells = files.select(F.explode(F.udf(rows, T.ArrayType(T.ArrayType(T.StringType())))("content")).alias("r"))
+    cells = files.select(F.explode(F.pandas_udf(rows, T.ArrayType(T.ArrayType(T.StringType())))("content")).alias("r"))
     return nulled(cells.select(*[F.col("r")[i].alias(n) for i, n in enumerate(names)]))
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-import os
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,21 +25,64 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+class _Stream:
+    """A file to write to in the cluster's file system, for ``zipfile`` and ``json``; a megabyte goes out at a time."""
+
+    def __init__(self, out):
+        self.out, self.buffer = out, bytearray()
+
+    def write(self, data: bytes) -> int:
+        self.buffer += data
+        if len(self.buffer) >= 1 << 20:
+            self.flush()
+        return len(data)
+
+    def flush(self) -> None:
+        if self.buffer:
+            self.out.write(self.buffer)
+            self.buffer = bytearray()
+
+
+@contextmanager
+def published(spark: SparkSession, path: str) -> Iterator[_Stream]:
+    """A file that appears as a whole under its path, on whatever file system that names, or not at all after an error."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, draft = hadoop.Path(path), hadoop.Path(path + ".tmp")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(draft, True)
+    stream = _Stream(out)
+    try:
+        yield stream
+        stream.flush()
+        out.hsync()
+        out.close()
+    except BaseException:
+        out.close()
+        fs.delete(draft, False)
+        raise
+    fs.delete(target, False)
+    if not fs.rename(draft, target):
+        raise OSError(f"{path} can't be put in place")
+
+
 def write_artifact(path: str, kind: str, payload: dict, parents: list[str], created_at: str, schema: dict | None = None) -> dict:
     """A small JSON record with its hash, checked against a schema, put in place by renaming."""
     envelope = {"artifact_type": kind, "parents": sorted(parents), "payload": payload, "created_at": created_at}
     if schema and (errors := schema_errors(payload, schema)):
         raise ValueError("; ".join(errors))
     envelope["content_hash"] = canonical_hash(envelope, ("content_hash", "created_at"))
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path + ".tmp", "w") as f:
-        json.dump(envelope, f, sort_keys=True)
-        f.flush()
-        os.fsync(f.fileno())
-    os.replace(path + ".tmp", path)
+    with published(SparkSession.active(), path) as f:
+        f.write(json.dumps(envelope, sort_keys=True).encode())
     return envelope
 
 
+def touch(spark: SparkSession, files: DataFrame) -> None:
+    """Writes small files, ``(path, content)``, one after another on the driver: for drafts and tests, a few files each."""
+    for r in files.toLocalIterator():
+        with published(spark, r.path) as f:
+            f.write(r.content.encode())
+
+
 def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -59,12 +103,20 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("quoteAll", False).option("escape", '"').csv(path)
 
 
+def cut_cells(df: DataFrame) -> DataFrame:
+    """``(column, cut)``: cells longer than a spreadsheet can hold, which a workbook cuts."""
+    long = [F.count_if(F.length(F.col(f"`{c}`").cast("string")) > CELL_LIMIT).alias(c) for c in df.columns]
+    counts = df.agg(*long)
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("cut")) for c in df.columns])).alias("x")).select("x.*").where("cut > 0")
+
+
 def write_workbook(tables: dict[str, DataFrame], metadata: DataFrame, path: str) -> None:
-    """One sheet per variable and one with the run's metadata; cells are text, cut at a spreadsheet's cell limit.  Rows are
-    streamed to the driver one partition at a time; a sheet has its format's million rows at most, more is an error."""
+    """One sheet per variable and one with the run's metadata; cells are text, cut at a spreadsheet's cell limit (``cut_cells``
+    counts these).  Rows are streamed to the driver one partition at a time; a sheet has its format's million rows at most,
+    more is an error."""
     sheets = [*tables.items(), ("run", metadata)]
     col = lambda i: (col(i // 26 - 1) if i >= 26 else "") + chr(65 + i % 26)
-    with zipfile.ZipFile(path + ".tmp", "w", zipfile.ZIP_DEFLATED) as z:
+    with published(metadata.sparkSession, path) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("[Content_Types].xml", '<?xml version="1.0"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>' + "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(sheets) + 1)) + "</Types>")
         z.writestr("_rels/.rels", '<?xml version="1.0"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>')
         z.writestr("xl/workbook.xml", '<?xml version="1.0"?><workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets>' + "".join(f'<sheet name="{escape(n[:31])}" sheetId="{i}" r:id="s{i}"/>' for i, (n, _) in enumerate(sheets, 1)) + "</sheets></workbook>")
@@ -79,7 +131,6 @@ def write_workbook(tables: dict[str, DataFrame], metadata: DataFrame, path: str)
                         raise ValueError("more rows than a sheet can hold")
                     f.write(_row(r, row, col).encode())
                 f.write(b"</sheetData></worksheet>")
-    os.replace(path + ".tmp", path)
 
 
 def _row(r: int, values, col) -> str:
@@ -98,7 +149,7 @@ def export_zip(df: DataFrame, columns: list[str], path: str) -> None:
         dirty = dirty | is_forbidden(F.col(c).cast("string"), c)
     if df.where(dirty).limit(1).count():
         raise ValueError("the export holds content that may not leave")
-    with zipfile.ZipFile(path + ".tmp", "w", zipfile.ZIP_DEFLATED) as z, z.open("metadata.csv", "w") as f:
+    with published(df.sparkSession, path) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z, z.open("metadata.csv", "w") as f:
         import csv
         import io
 
@@ -107,7 +158,6 @@ def export_zip(df: DataFrame, columns: list[str], path: str) -> None:
                 buffer = io.StringIO()
                 csv.writer(buffer).writerow(list(r))
                 f.write(buffer.getvalue().encode())
-    os.replace(path + ".tmp", path)
 
 
 class ResponseCache:

@@ -49,7 +49,12 @@ def test_resolving_and_rendering(spark):
 def test_ingest(spark):
     assert ingest.metadata_columns(["Visit", "TYPE", "author", "Author "])["document_date"] is None
     assert ingest.metadata_columns(["Note_Date ", "TYPE"])["document_date"] == "Note_Date " and ingest.ambiguous_columns(["A b", "a_b", "c"]) == {"a_b": ["A b", "a_b"]}
-    assert ingest.role_columns(["Text", "MRN"], ["text", "mrn"], ["mrn"]) == ["Text"]
+    assert ingest.role_columns(["Text", "MRN"], ["text"], ["mrn"]) == ["Text"]
+    with pytest.raises(ValueError, match="never embedded"):
+        ingest.role_columns(["Text", "MRN"], ["text", "mrn"], ["MRN "])
+    assert ingest.metadata_columns(["date", "note_date", "Signed On"], site={"document_date": "signed on"})["document_date"] == "Signed On" and ingest.metadata_columns(["note_date"], site={"document_date": "signed on"})["document_date"] == "note_date"
+    with pytest.raises(ValueError, match="no metadata fields"):
+        ingest.metadata_columns(["date"], site={"dcument_date": "date"})
     assert ingest.drafted_map(["date", "note_text", "patient_id", "x"]) == {"fields": {"document_date": "date"}, "text": ["note_text"], "identifiers": ["patient_id"], "leftovers": ["x"]}
     df = spark.createDataFrame([(1, "5/3/21")], "row_id int, d string")
     with pytest.raises(Exception, match="two-digit year in d"):
