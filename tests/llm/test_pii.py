@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 
@@ -23,13 +25,49 @@ def test_decoding_like_brute_force():
     assert got[8] == 0
 
 
+# Marked by hand, written apart from the labelled table and from any corpus.
+MARKED = """
+On arrival [name:Deborah Akinyemi] gave her number as [phone:(415) 902-7781] and her mother's as [phone:415-902-7790].
+Referred by Dr. [name:Castellanos] for an opinion on a solid renal mass; the CT of 2023-04-11 (R23-40219) shows 34 x 29 mm.
+The caretaker, [name:R. Okonkwo], can be written to at [email:okonkwo.r@hillcrest.example] or [address:88 Quarry Bank Road, Dunford, OH 44021].
+MRN [id:00417723] was merged with a duplicate; social security no. [id:523-48-1190] matches.
+Apgar score 9 at one minute, 10 at five; a Foley catheter stayed in until noon, lot 4471-203-B.
+Mr. [name:Lindgren] declined the colonoscopy, his wife [name:Astrid Lindgren] was present.
+Member no. [id:KPL4410-2231-7] is valid until December. Order 77120431 replaces order 77120398.
+He grows roses and keeps pigeons; knee pain is worse since the move. Sodium 139, potassium 4.1.
+Please fax to [name:Yolanda Pruitt], [phone:212.555.0188], before Friday.
+Discharged to [address:P.O. Box 911, Larkton, TX 75001]; visiting nurse [name:Tamika Rowe] will come on 2024-02-02 at 10:30.
+[name:HOLLOWAY, JUNE] SSN [id:604 22 9917] DOB 1950-03-02
+Protocol NRG-12-04, arm A: paclitaxel 80 mg weekly was tolerated, neutrophils 1.9.
+E-mail: [email:june (at) holloway.test], cell [phone:+44 20 7123 4567].
+Hodgkin lymphoma stage II, Karnofsky index 90; Swan-Ganz line removed.
+Ms. [name:Ferraro] lives at [address:Lindenweg 12, 40210 Altdorf] and works nights.
+"""
+
+
+def marked(line):
+    text, spans = "", []
+    for part in re.split(r"(\[\w+:[^\]]*\])", line):
+        if m := re.fullmatch(r"\[(\w+):([^\]]*)\]", part):
+            spans.append((len(text), len(text) + len(m[2]), m[1]))
+            part = m[2]
+        text += part
+    return text, spans
+
+
 def test_held_out_accuracy(spark, roster):
-    model = model_for(roster)
+    table = [marked(line) for line in MARKED.strip().split("\n")]
+    found = model_for(roster).find([t for t, _ in table])
+    right = sum(len(set(s) & set(f)) for (_, s), f in zip(table, found))
+    said, true = sum(map(len, found)), sum(len(s) for _, s in table)
+    assert right >= 0.85 * true and right >= 0.85 * said, [(t[a:z], k) for (t, s), f in zip(table, found) for a, z, k in set(s) ^ set(f)]
+
+
+def test_the_generator_is_learnt(spark, roster):
     table = labelled_rows(400, seed=987, given=GIVEN, family=COMMON_FAMILIES)
-    found = model.find([t for _, t, _ in table])
+    found = model_for(roster).find([t for _, t, _ in table])
     right = sum(len(set(s) & set(f)) for (_, _, s), f in zip(table, found))
-    said, true = sum(map(len, found)), sum(len(s) for *_, s in table)
-    assert right / said > 0.97 and right / true > 0.97
+    assert right > 0.96 * sum(map(len, found)) and right > 0.96 * sum(len(s) for *_, s in table)
 
 
 def test_spans_and_placeholders(spark, roster):
