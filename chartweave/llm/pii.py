@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,10 +89,13 @@ class Tokens:
         if t != "\n" and t.isspace():
             return -1
         bare = t[:-1] if t[-1] == " " else t
+        blank = bare is not t
+        if len(bare) > 3 and bare.isdecimal():  # all that features know of a long number
+            bare = bare[:2] + "0" * (min(len(bare), 9) - 2)
         if bare not in self.plain:
             self.plain[bare] = len(self.list)
             self.list.append(bare)
-        return 2 * self.plain[bare] + (bare is not t)
+        return 2 * self.plain[bare] + blank
 
     def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Token numbers, start offsets, ends, and which text each belongs to (-1: an edge)."""
@@ -131,26 +135,52 @@ class Model:
 
     def __init__(self, features: Features, weights: np.ndarray, tri: np.ndarray, steps: np.ndarray, most: int = 400_000):
         self.features, self.weights, self.tri, self.steps, self.most = features, weights, tri, steps, most
-        #: What a label in place of O can gain in steps, from the neighbours that favour it most.
-        self.gain = (steps - steps[:, :1]).max(0) + (steps - steps[:1]).max(1)
+        #: What a label in place of O can gain in the step to it and in the step from it: beside any label, and beside O.
+        self.before = ((steps - steps[:, :1]).max(0), steps[0] - steps[0, 0])
+        self.behind = ((steps - steps[:1]).max(1), steps[:, 0] - steps[0, 0])
         self._forget()
 
     def _forget(self) -> None:
-        self.tokens = Tokens()
+        self.tokens, self.known = Tokens(), 0
         self.rows = np.zeros((0, len(AROUND), L), np.float32)
         self.shapes = np.zeros(0, np.int64)
 
     def _grow(self) -> None:
         """Adds the rows of new tokens; the numbers given out before stay good."""
-        new = self.tokens.list[len(self.rows) :]
-        if new:
-            rows = np.zeros((len(new), len(AROUND), L), np.float32)
-            for i, t in enumerate(new):
-                f = self.features.numbers(t)
-                if f:
-                    rows[i] = self.weights[:, f].sum(1)
-            self.rows = np.concatenate([self.rows, rows])
-            self.shapes = np.concatenate([self.shapes, [_shape(t) if t else 46 for t in new]])
+        new = self.tokens.list[self.known :]
+        if len(self.tokens.list) > len(self.rows):  # room for as many again, so that no row is copied often
+            room = 2 * len(self.tokens.list) - len(self.rows)
+            self.rows = np.concatenate([self.rows, np.zeros((room, len(AROUND), L), np.float32)])
+            self.shapes = np.concatenate([self.shapes, np.zeros(room, np.int64)])
+        for i, t in enumerate(new, self.known):
+            f = self.features.numbers(t)
+            if f:
+                self.rows[i] = self.weights[:, f].sum(1)
+            self.shapes[i] = _shape(t) if t else 46
+        self.known += len(new)
+
+    def open(self, emit: np.ndarray, owner: np.ndarray, rounds: int = 6) -> tuple[np.ndarray, np.ndarray]:
+        """Begins and ends of the stretches of tokens that aren't sure to be O.
+
+        Where O leads every label by more than that label can gain in its two steps, O is on the best path whatever stands
+        beside it; and what is beside such a token can gain only what is to be gained beside O, which makes more tokens
+        sure, round by round.  So the best paths of the stretches, cut there, are those of the whole text.  The slack is for
+        rounding.
+        """
+        # by label first, so that the least over the labels is taken along whole rows; by what is beside: neither, left, right, both sure
+        lead = np.subtract(emit[:, 0], emit[:, 1:].T, order="C")
+        slack = [(lead - (self.before[i & 1] + self.behind[i >> 1])[1:, None]).min(0) for i in range(4)]
+        sure = owner < 0
+        left = np.flatnonzero(~sure)
+        for _ in range(rounds):
+            code = sure[np.maximum(left - 1, 0)] + 2 * sure[np.minimum(left + 1, len(sure) - 1)]
+            done = np.choose(code, [x[left] for x in slack]) > 0.01
+            if not done.any():
+                break
+            sure[left[done]] = True
+            left = left[~done]
+        flips = np.flatnonzero(np.diff(np.concatenate([[0], (~sure).view(np.int8), [0]])))
+        return flips[::2], flips[1::2]
 
     def find(self, texts: list[str]) -> list[list[tuple[int, int, str]]]:
         """``(start, end, kind)`` of every item of each text, in order."""
@@ -163,11 +193,7 @@ class Model:
         for j, o in enumerate(AROUND):
             a, z = max(0, -o), n - max(0, o)
             emit[a:z] += self.rows[ids[a + o : z + o], j]
-        # Where O leads every label by more than its gain, O is on the best path whatever stands beside it: the rest, cut
-        # there, has the best path of the whole text.  The slack is for rounding.
-        inside = (emit[:, 1:] + self.gain[1:] >= emit[:, :1] - 0.01).any(1) & (owner >= 0)
-        flips = np.flatnonzero(np.diff(np.concatenate([[0], inside.view(np.int8), [0]])))
-        path = viterbi(emit, flips[::2], flips[1::2], self.steps)
+        path = viterbi(emit, *self.open(emit, owner), self.steps)
         out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
         hits = np.flatnonzero(path)
         i = 0
@@ -191,24 +217,35 @@ def viterbi(emit: np.ndarray, begin: np.ndarray, end: np.ndarray, steps: np.ndar
     order = np.argsort(begin - end, kind="stable")
     begin, size = begin[order], (end - begin)[order]
     longest = int(size[0])
-    back = np.zeros((longest, len(begin), L), np.int8)
+    #: How many segments have a token number t.
+    alive = np.searchsorted(-size, -np.arange(longest), "left").tolist()
+    back: list[np.ndarray] = [np.zeros(0, np.int8)] * longest
     into = np.ascontiguousarray(steps.T)
     score = emit[begin] + steps[0]
     last = score.copy()
     for t in range(1, longest):
-        m = int(np.searchsorted(-size, -t, "left"))
-        every = score[:m, None, :] + into
-        best = every.argmax(2)
-        back[t, :m] = best
-        score = np.take_along_axis(every, best[:, :, None], 2)[:, :, 0] + emit[begin[:m] + t]
+        m = alive[t]
+        if m < 100:
+            every = score[:m, None, :] + into
+            back[t] = every.argmax(2).astype(np.int8)
+            score = every.max(2)
+        else:  # label by label, along whole rows
+            best, back[t] = score[:m, :1] + steps[0], np.zeros((m, L), np.int8)
+            for p in range(1, L):
+                other = score[:m, p : p + 1] + steps[p]
+                better = other > best
+                np.copyto(best, other, where=better)
+                np.putmask(back[t], better, p)
+            score = best
+        score += emit[begin[:m] + t]
         last[:m] = score
     now = (last + steps[:, 0]).argmax(1)
     rows = np.arange(len(begin))
     for t in range(longest - 1, -1, -1):
-        m = int(np.searchsorted(-size, -t, "left"))
+        m = alive[t]
         path[begin[:m] + t] = now[:m]
         if t:
-            now[:m] = back[t, rows[:m], now[:m]]
+            now[:m] = back[t][rows[:m], now[:m]]
     return path
 
 
@@ -238,7 +275,7 @@ def checked(text: str, a: int, z: int, kind: str) -> tuple[int, int, str] | None
     return (a, z, kind) if a < z else None
 
 
-def train(given: list[str] = (), family: list[str] = (), rows: int = 6500, rounds: int = 8, seed: int = 5) -> Model:
+def train(given: list[str] = (), family: list[str] = (), rows: int = 6500, rounds: int = 11, seed: int = 5) -> Model:
     """Maximum likelihood by Adam over batches; ``given`` and ``family``: name lists that serve as word features."""
     table = labelled_rows(rows, given=list(given), family=list(family))
     texts = [t for _, t, _ in table]
@@ -306,11 +343,11 @@ def train(given: list[str] = (), family: list[str] = (), rows: int = 6500, round
                     np.add.at(grads[0][j], feats_of[:, c], by_token)
             grads[0][:, n_feat] = 0
             for p, g, (m, v) in zip(params, grads, moments):
-                g = g / len(seqs) + 2e-4 * p
+                g = g / len(seqs) + 2e-5 * p
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 p -= 0.06 * (0.9 ** (r / 3)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-            if r >= rounds // 2:  # the mean of the later steps is steadier than the last
+            if r >= rounds - 4:  # the mean of the later steps is steadier than the last
                 taken += 1
                 for a, p in zip(mean, params):
                     a += (p - a) / taken
@@ -365,6 +402,17 @@ def _unpack(parts) -> Model:
     return Model(Features(*parts[:4]), *parts[4:])
 
 
+def _parts(batch: pa.RecordBatch, fields: list[str], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``most`` bytes of text: many texts are decoded side by side, long ones don't pile up."""
+    sizes = sum(pc.fill_null(pc.binary_length(batch.column(j)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for j in range(1, len(fields) + 1))
+    total, lo = np.cumsum(sizes), 0
+    while lo < batch.num_rows:
+        before = total[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(total, before + most, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def find_items(spark: SparkSession, df: DataFrame, key: str, fields: list[str], roster: DataFrame) -> DataFrame:
     """``(key, field_name, kind, char_start, char_end)`` of every item in the named text fields.
 
@@ -376,8 +424,7 @@ def find_items(spark: SparkSession, df: DataFrame, key: str, fields: list[str],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _unpack(shared.value)
         for b in batches:
-            for lo in range(0, b.num_rows, 200):
-                part = b.slice(lo, 200)
+            for part in _parts(b, fields):
                 keys = part.column(0)
                 index, names, kinds, a, z = [], [], [], [], []
                 for j, field in enumerate(fields, 1):

@@ -118,7 +118,7 @@ def test_decoding_is_that_of_whole_texts():
         texts = [" ".join(rng.choice(words, 30)) for _ in range(10)]
         model = pii.Model(pii.Features(known, set(words), set(), set()), weights, plain_tri, steps)
         got = model.find(texts)
-        model.gain = np.full(len(LABELS), np.inf, np.float32)
+        model.before = model.behind = (np.full(len(LABELS), np.inf, np.float32),) * 2
         assert got == model.find(texts)
 
 
