@@ -188,6 +188,10 @@ Aim for {lab} ≤ {n} µmol/L; {num} ± {num} at {time} – naïve to {drug}.
 At {time} {drug} {dose} was given over {n} minutes.
 Allergic to {drug}; {drug} {dose} caused {symptom}.
 No {symptom}, {symptom} or {symptom}; {symptom} {n} times a month.
+Denied {word}, {word} and {word}, reports {word} or {word}.
+Complains of {word}, {word} and {symptom}; no {word}.
+{drug} {dose} ran for {n} minutes, {word}, {lab} at {time}.
+Went well, {word}, {lab} to follow.
 The patient {hobby} and wonders whether to {act} after {event}.
 The patient, who {hobby}, has {symptom} and wants to {act}.
 Since {event} there is {symptom}; the patient {hobby} and climbs {n} stairs.
@@ -279,7 +283,7 @@ FILL = {
 GIVEN = "Anna Peter Maria José Thomas Ingrid Pierre Chloé Hans Olga Ivan Emily Jack Sofia Liam Noah Mia Zoë Lukas Marta Piotr Agnieszka Paulo Inês Carlos Lucía François Élodie Yuki Hiro Ahmed Fatima Wei Priya Arjun Grace Henry Alice George Martha Walter Ruth Oscar Clara Victor Nina Jonas Freya Tobias Greta Sven Astrid Mateo Elena Hugo Iris Max Ida Leo Eva".split()
 COMMON_FAMILIES = "Smith Brown Green Young King Baker Cook Day May Rose Park Bush Bell Stone Wood Hill Field Page Winter Marsh Brook Palmer Long Short Price".split()
 FAMILIES = "Johnson Williams Martínez García Müller Schröder Nowak Kowalski Silva Gonçalves Rossi Dubois Lefèvre Novák Petrov Ivanova Andersson Sørensen Nguyen Patel Singh Kim Tanaka O'Brien MacDonald Fitzgerald Hernández Richardson Thompson Whitaker Underwood Abernathy Castellano Ferreira Lindqvist Bjørnstad Czerny Dąbrowski".split()
-ONSETS, MIDDLES, ENDS = "B C D F G H K L M N P R S T V W Br Ch Cr Gr Sch Sh Sl Tr Wh Y".split(), "a e i o u ai ea oo ie an er il on ul am".split(), "son ton ley man berg wick ford stein ski ova ez ini eau sen ham worth ö dottir quist low ris nen bury gate".split()
+ONSETS, MIDDLES, ENDS = "B C D F G H K L M N P R S T V W Br Ch Cr Gr Sch Sh Sl Tr Wh Y".split(), "a e i o u ai ea oo ie an er il on ul am".split(), "son ton ley man berg wick ford stein ski ova ez ini eau sen ham worth ö ing ering ry dottir quist low ris nen bury gate".split()
 PLACES, KINDS_OF_PLACE = "Oak Maple Elm Cedar Lake River Spring Church High Chestnut Rose Willow Bay Hunter Castle Orchard North West Silver Harbour".split(), "side wood view field brook dale mont stead haven crest".split()
 TOWN_ENDS = "ton ville burg field mouth bridge borough shire haven port stad wald".split()
 STEMS, STEM_ENDS = "ato lisi meto ome rami simva cefa doxy flu hydro keto levo nilo oxa pred rosu tacro valga zol ibu".split(), "statin pril lol prazole mab nib cillin cycline sone zine pine tidine platin taxel".split()
@@ -371,6 +375,8 @@ class Filler:
             return f"{r.randint(0, 23):02}:{r.randint(0, 59):02}"
         if slot == "n":
             return str(r.choice([r.randint(2, 99), r.randint(2, 999)]))
+        if slot == "word":
+            return self.made_up("a")
         if slot == "street":
             return self.street()
         if slot == "code":
