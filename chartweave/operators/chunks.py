@@ -14,21 +14,6 @@ from pyspark.sql import types as T
 from chartweave.functions.text import is_blank, text_hash
 
 
-def token_spans(text: Column) -> Column:
-    """``array<struct(lo, hi)>``: offsets of the non-blank runs, by expressions alone.
-
-    ``split`` with the text's own blanks kept turns the text into blanks and runs; a running sum gives the offsets.
-    """
-    runs = F.regexp_extract_all(text, F.lit(r"(\s*)(\S+)"), F.lit(0))
-    lens = F.transform(runs, lambda r: F.struct(F.length(r).alias("all"), F.length(F.ltrim(F.regexp_replace(r, r"^\s+", ""))).alias("run")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<lo:int,hi:int>>").alias("out"))
-    return F.aggregate(
-        lens, zero,
-        lambda acc, x: F.struct((acc["at"] + x["all"]).alias("at"), F.concat(acc["out"], F.array(F.struct((acc["at"] + x["all"] - x["run"]).alias("lo"), (acc["at"] + x["all"]).alias("hi")))).alias("out")),
-        lambda acc: acc["out"],
-    )
-
-
 def window_count(total: Column, window: int, overlap: int) -> Column:
     """How many windows of ``window`` tokens cover ``total`` tokens, the last being the first that reaches the end."""
     step = window - overlap

@@ -204,6 +204,88 @@ def ivf_knn(index: DataFrame, centres: np.ndarray, key: str, vector: str, querie
     return ranked(pairs, ["query_id"], [F.round("score", 9).desc(), F.asc("chunk_id")], k)
 
 
+def pq_index(vectors: DataFrame, key: str, vector: str, parts: int = 16, centres: int = 64, sample: int = 20_000, seed: int = 3) -> tuple[DataFrame, np.ndarray]:
+    """``(id, codes)`` of every vector, and the code book: product quantisation, a vector as one byte for each of its ``parts``.
+
+    The book is fitted by k-means on at most ``sample`` vectors (by hash order, so the same ones each time); every vector is
+    indexed.  A code is a sixteenth of a vector of 64 floats, and it is what a search reads.
+    """
+    rows = vectors.where(F.col(vector).isNotNull()).select(F.col(vector).alias("v")).orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(sample).toPandas()
+    x = np.array(rows["v"].tolist(), np.float64).reshape(len(rows), -1)
+    rng = np.random.default_rng(seed)
+    book = []
+    for p in np.array_split(np.arange(x.shape[1]), parts):
+        sub = x[:, p]
+        c = sub[rng.choice(len(sub), min(centres, len(sub)), replace=False)] if len(sub) else np.zeros((1, len(p)))
+        for _ in range(12):
+            near = _nearest(sub, c)
+            c = np.stack([sub[near == i].mean(0) if (near == i).any() else c[i] for i in range(len(c))])
+        book.append(c)
+    width = max((b.shape[1] for b in book), default=0)
+    packed = np.full((parts, centres, width), np.nan)
+    for i, b in enumerate(book):
+        packed[i, : len(b), : b.shape[1]] = b
+    shared = vectors.sparkSession.sparkContext.broadcast(packed)
+
+    def encode(v: pd.Series) -> pd.Series:
+        return pd.Series([bytes(r) for r in _codes(np.array(v.tolist(), np.float64), shared.value)])
+
+    some = vectors.where(F.col(vector).isNotNull())
+    return some.select(F.col(key).cast("long").alias("id"), F.pandas_udf(encode, "binary")(vector).alias("codes")), packed
+
+
+def _nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return (x @ c.T - 0.5 * (c * c).sum(1)).argmax(1) if len(x) else np.zeros(0, np.int64)
+
+
+def _subs(book: np.ndarray, dim: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The dimensions of each part and its centres."""
+    out = []
+    for p, b in zip(np.array_split(np.arange(dim), len(book)), book):
+        real = b[~np.isnan(b[:, 0])] if b.size else b
+        out.append((p, real[:, : len(p)]))
+    return out
+
+
+def _codes(x: np.ndarray, book: np.ndarray) -> np.ndarray:
+    return np.stack([_nearest(x[:, p], c) for p, c in _subs(book, x.shape[1])], 1).astype(np.uint8)
+
+
+def pq_knn(index: DataFrame, book: np.ndarray, vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str, k: int, deep: int = 20) -> DataFrame:
+    """Approximate kNN: the ``deep`` x k nearest of each query by their codes, in each partition and then over all, are scored
+    again by their vectors.  The queries go out in blocks, as in ``knn``."""
+    q = queries.select(F.col(query_key).cast("long").alias("q"), F.col(vector).alias("v")).where(F.col("v").isNotNull())
+    blocks, found, sc = max(1, -(-q.count() // QUERY_BLOCK)), None, index.sparkSession.sparkContext
+    for i in range(blocks):
+        rows = (q.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == i) if blocks > 1 else q).toPandas()
+        block = sc.broadcast((rows["q"].to_numpy(np.int64), np.array(rows["v"].tolist(), np.float64), book))
+
+        def run(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
+            ids, m, book = block.value
+            if not len(ids):
+                return
+            tables = [m[:, p] @ c.T for p, c in _subs(book, m.shape[1])]
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                own = pdf["id"].to_numpy(np.int64)
+                codes = np.frombuffer(b"".join(pdf["codes"]), np.uint8).reshape(len(own), -1)
+                s = sum(t[:, codes[:, j]] for j, t in enumerate(tables))
+                s[ids[:, None] == own] = -np.inf
+                take = min(k * deep, s.shape[1])
+                best = np.argpartition(-s, take - 1, axis=1)[:, :take]
+                r = np.repeat(np.arange(len(ids)), take)
+                yield pd.DataFrame({"query_id": ids[r], "id": own[best.ravel()], "near": s[r, best.ravel()]})
+
+        one = index.mapInPandas(run, "query_id long, id long, near double").where(F.col("near") > float("-inf"))
+        found = one if found is None else found.unionByName(one)
+    near = ranked(found, ["query_id"], [F.desc("near"), F.asc("id")], k * deep).select("query_id", "id")
+    dot = F.aggregate(F.zip_with("qv", "v", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda a, b: a + b)
+    pairs = near.join(vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")), "id").join(q.select(F.col("q").alias("query_id"), F.col("v").alias("qv")), "query_id")
+    scored = pairs.select("query_id", F.col("id").alias("chunk_id"), dot.alias("score"))
+    return ranked(scored, ["query_id"], [F.round("score", 9).desc(), F.asc("chunk_id")], k)
+
+
 def fused(members: list[tuple[str, DataFrame]], by: list[str], k: int, method: str = "reciprocal_rank", weights: dict[str, float] | None = None, k0: int = 60) -> DataFrame:
     """One list of several retrievers' lists: sum of weight / (k0 + rank), or of weight x score with ``weighted_sum``.
     ``retriever`` is the first member, in the order given, that returned the chunk."""

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from chartweave.operators.validation import is_pointer
 from chartweave.plans.filters import Filter
+from chartweave.sources.sinks import ResponseCache
 
 STEP_KEYS = {"id", "kind", "prompt", "retrieval", "reranking", "filters", "table", "columns", "filter", "stop_if", "max_rows", "also_include_tables", "function", "schema"}
 #: What a step of each kind reads beside its id, kind and ``stop_if``; anything else would be without effect and is refused.
@@ -317,9 +318,44 @@ def ask_until_grounded(provider: Provider, request: Request, shown: set[str], re
 ANSWER = T.StructType([T.StructField(n, t) for n, t in [("data", T.StringType()), ("ok", T.BooleanType()), ("error", T.StringType()), ("rejected", T.IntegerType()), ("calls", T.IntegerType()), ("input_tokens", T.IntegerType())]])
 
 
+@dataclass(frozen=True)
+class Cached:
+    """A provider behind a table of its answers; ``fingerprint`` names the model, another one is a miss."""
+
+    provider: Provider
+    cache: ResponseCache
+    fingerprint: str
+
+    def chat(self, request: Request) -> Response:
+        return self.provider.chat(request)
+
+
+#: Errors that a second call would meet again: a request that failed so stays in quarantine, all others are asked once more.
+DETERMINISTIC = ("ValueError", "KeyError", "TypeError")
+
+
 def prompted(df: DataFrame, keys: list[str], system: str, prompt: str, shown: str | None, provider: Provider) -> DataFrame:
     """One model call per row, in Arrow batches: ``(*keys, data, ok, error, rejected, calls, input_tokens)``.  An empty prompt
-    isn't sent.  An error becomes a row with its class; no row is lost.  A retried task asks again, so put a cache before it."""
+    isn't sent.  An error becomes a row with its class; no row is lost.
+
+    A ``Cached`` provider is asked only for what its table doesn't hold, equal requests once; what it says is written there and
+    read back, so that a task that is run again, or another run, doesn't pay twice.
+    """
+    if not isinstance(provider, Cached):
+        return _asked(df, keys, system, prompt, shown, provider)
+    ids = F.sort_array(F.col(shown).cast("array<string>")) if shown else F.array().cast("array<string>")
+    key = F.sha2(F.to_json(F.struct(F.lit(system).alias("s"), F.col(prompt).alias("p"), ids.alias("i"))), 256)
+    wanted = df.select(*keys, F.col(prompt).alias("__prompt"), ids.alias("__shown"), key.alias("key"), F.lit(provider.fingerprint).alias("fingerprint"))
+    said = F.from_json("response", ANSWER)
+    first = wanted.dropDuplicates(["key"])
+    done = F.col("__said").isNotNull() & (F.col("__said.ok") | F.col("__said.error").isin(*DETERMINISTIC))
+    open_ = provider.cache.get(first).withColumn("__said", said).where(~F.coalesce(done, F.lit(False)))
+    made = _asked(open_.select("key", "fingerprint", "__prompt", "__shown"), ["key", "fingerprint"], system, "__prompt", "__shown", provider.provider)
+    provider.cache.put(made.select("key", "fingerprint", F.to_json(F.struct(*ANSWER.names)).alias("response"), F.unix_micros(F.current_timestamp()).alias("seq")))
+    return provider.cache.get(wanted).select(*keys, said.alias("__said")).select(*keys, "__said.*")
+
+
+def _asked(df: DataFrame, keys: list[str], system: str, prompt: str, shown: str | None, provider: Provider) -> DataFrame:
     schema = T.StructType([*(df.schema[k] for k in keys), *ANSWER.fields])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

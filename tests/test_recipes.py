@@ -156,3 +156,48 @@ def test_keys_that_a_kind_does_not_read_are_refused():
     for step in ({"kind": "llm_only", "max_rows": 3}, {"kind": "direct_parquet", "table": "t", "retrieval": {"kind": "exact", "query": "x"}}, {"kind": "retrieve_and_prompt", "retrieval": {"kind": "embedding", "query": "x"}}, {"kind": "retrieve_and_prompt", "retrieval": {"kind": "exact", "query": "x"}, "also_include_tables": [{"name": "t", "rows": 1}]}):
         with pytest.raises(ValueError):
             R.parse_recipe(_raw(steps=[{"id": "a"} | step]))
+
+
+def test_a_cached_provider_is_asked_once(spark, tmp_path):
+    from chartweave.sources.sinks import ResponseCache
+
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    class Counts:
+        def chat(self, request):
+            import uuid
+
+            (log / uuid.uuid4().hex).write_text(request.user)
+            if "bad" in request.user:
+                raise ValueError("never works")
+            if "busy" in request.user:
+                raise RuntimeError("works later")
+            return R.Response(json.dumps({"value": request.user}))
+
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "bad"), (4, "busy"), (5, " "), (6, None)], "id int, p string")
+    ask = lambda model: {r.id: (r.data, r.ok, r.error) for r in R.prompted(rows, ["id"], "sys", "p", None, R.Cached(Counts(), ResponseCache(spark, str(tmp_path / "cache")), model)).collect()}
+    first = ask("m1")
+    assert first[1] == first[2] == ('{"value": "a"}', True, None) and first[3] == (None, False, "ValueError") and first[4][2] == "RuntimeError" and first[5] == first[6] == (None, True, "empty_evidence")
+    said = sorted(f.read_text() for f in log.iterdir())
+    assert said == ["a", "bad", "busy"]
+    assert ask("m1") == first and sorted(f.read_text() for f in log.iterdir()) == ["a", "bad", "busy", "busy"]
+    ask("m2")
+    assert len(list(log.iterdir())) == 7
+
+
+def test_an_index_of_codes_finds_most(spark):
+    import numpy as np
+
+    from chartweave.operators import retrieval
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(900, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    v = spark.createDataFrame([(i, r.tolist(), "x") for i, r in enumerate(x)] + [(5000, None, "x")], "id long, v array<double>, codes string").repartition(3)
+    q = v.where("id % 30 = 0")
+    pairs = lambda df: {(r.query_id, r.chunk_id) for r in df.collect()}
+    exact = pairs(retrieval.knn(spark, v, "id", "v", q, "id", 10))
+    index, book = retrieval.pq_index(v, "id", "v", parts=8, centres=32)
+    assert index.count() == 900 and len(pairs(retrieval.pq_knn(index, book, v, "id", "v", q, "id", 10)) & exact) >= 0.9 * len(exact) == 0.9 * 300
+    assert pairs(retrieval.pq_knn(index, book, v, "id", "v", q.limit(0), "id", 10)) == set()
