@@ -907,7 +907,9 @@ def provenance_paths(spark: SparkSession, d: str) -> DataFrame:
     return validation.unpointed_groups(leaves, ["row_id"], "parent", "key", "value")
 
 
-@query()
+@query("""
+select row_id, '$.sex' as path from demographics where lower(trim(legal_sex)) not in ('', 'unknown') and coalesce(patient_id, '') = ''
+union all select row_id, '$.language' from demographics where lower(trim(language)) not in ('', 'unknown')""")
 def validate_provenance_json(spark: SparkSession, d: str) -> DataFrame:
     made = F.to_json(F.struct(F.struct(F.col("legal_sex").alias("value"), F.col("patient_id").alias("evidence_chunk_id")).alias("sex"), F.struct(F.col("language").alias("value")).alias("language")))
     return validation.unprovenanced(load(spark, d, "demographics").select("row_id", made.alias("data")), ["row_id"], "data")
@@ -1059,7 +1061,11 @@ def deid_error_buckets(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "med_orders").select("row_id", deid.error_bucket(message, r % 6 == 5).alias("b")).select("row_id", "b.*")
 
 
-@query()
+_PADS = [bytes(x ^ y for x in b"test key".ljust(64, b"\0")).hex() for y in (0x36, 0x5C)]
+
+
+# HMAC by its definition: two hashes over the key's pads.
+@query(f"select chunk_id, 'surr:v1:study:chunk_id:' || left(sha256(unhex('{_PADS[1]}') || unhex(sha256(unhex('{_PADS[0]}') || encode('v1|study|evidence_chunk|chunk_id|' || chunk_id)))), 24) as surrogate from chunk_index")
 def deid_surrogate(spark: SparkSession, d: str) -> DataFrame:
     c = load(spark, d, "chunk_index")
     return c.select("chunk_id", deid.surrogate(F.col("chunk_id"), b"test key", "study", "evidence_chunk", "chunk_id").alias("surrogate"))
@@ -1074,7 +1080,12 @@ def deid_month_stamp(spark: SparkSession, d: str) -> DataFrame:
 # --- recipes ---
 
 
-@query()
+_ECHO = """'{"evidence_chunk_id": ' || coalesce('"' || nullif(regexp_extract(u, '\\[\\d+\\] (\\S+)', 1), '') || '"', 'null') || ', "value": "' || left(sha256(sys || u), 12) || '"}'"""
+
+
+# What the echoing provider says is a hash of the prompt, so SQL can say it, too.
+@query(f"""with {_PACK}, pk as (select source, 'Answer from the passages.' as sys, string_agg(rendered, chr(10) || chr(10) order by final_rank) as u from bt group by 1)
+select source, {_ECHO} as data, true as ok, cast(null as varchar) as error, 0 as rejected, 1 as calls, cast(greatest(1, length(u) // 4) as int) as input_tokens from pk""")
 def recipe_retrieve_and_prompt(spark: SparkSession, d: str) -> DataFrame:
     from chartweave.plans.recipes import HANDLERS, EchoProvider
 
@@ -1102,7 +1113,8 @@ def recipe_run(spark: SparkSession, d: str) -> DataFrame:
     return steps
 
 
-@query()
+@query(f"""with r as (select item_id, 'One answer per row.' as sys, concat_ws(chr(10), case when regexp_matches(variable, '\\S') then 'variable: ' || variable end, case when regexp_matches(query_text, '\\S') then 'query_text: ' || query_text end) as u from eval_passage)
+select item_id, {_ECHO} as data, true as ok, cast(null as varchar) as error, 0 as rejected, 1 as calls, cast(greatest(1, length(u) // 4) as int) as input_tokens from r""")
 def recipe_map_rows(spark: SparkSession, d: str) -> DataFrame:
     from chartweave.plans.recipes import HANDLERS, EchoProvider
 
@@ -1110,6 +1122,36 @@ def recipe_map_rows(spark: SparkSession, d: str) -> DataFrame:
     return HANDLERS["map_table_rows_and_prompt"](rows, ["item_id"], {"prompt": "One answer per row."}, EchoProvider())
 
 
+@query(f"""
+with g as (select distinct patient_id from demographics where patient_id is not null),
+o as (select patient_id, row_id, medication, route from med_orders where patient_id is not null and (regexp_matches(medication, '\\S') or regexp_matches(route, '\\S'))),
+j as (select *, '{{"row_id":' || row_id || coalesce(',"medication":' || to_json(medication)::varchar, '') || coalesce(',"route":' || to_json(route)::varchar, '') || '}}' as js,
+        concat_ws(chr(10), case when regexp_matches(medication, '\\S') then 'medication: ' || medication end, case when regexp_matches(route, '\\S') then 'route: ' || route end) as u, 'One answer per row.' as sys from o),
+a as (select patient_id, '[' || string_agg(js, ',' order by row_id) || ']' as data from (select * from j where contains(medication, 'TABLET') qualify row_number() over (partition by patient_id order by row_id) <= 2) group by 1),
+b as (select patient_id, '[' || string_agg('{{"row_id":' || row_id || ',"data":' || to_json({_ECHO})::varchar || '}}', ',' order by row_id) || ']' as data, count(*) as calls, sum(greatest(1, length(u) // 4)) as tokens
+      from (select * from j qualify row_number() over (partition by patient_id order by row_id) <= 2) group by 1),
+c as (select a.patient_id, '' as sys, a.data || ' / ' || coalesce(b.data, '') as u from a join g on g.patient_id = a.patient_id left join b on b.patient_id = a.patient_id)
+select g.patient_id, 'rows' as step, case when a.data is null then 'stopped' else 'complete' end as status, a.data, case when a.data is null then 'empty_evidence' end as error, cast(0 as bigint) as calls, cast(0 as bigint) as input_tokens from g left join a on a.patient_id = g.patient_id
+union all select g.patient_id, 'each', case when a.data is null then 'skipped' else 'complete' end, case when a.data is not null then b.data end, null, case when a.data is not null then b.calls end, case when a.data is not null then b.tokens end from g left join a on a.patient_id = g.patient_id left join b on b.patient_id = g.patient_id
+union all select g.patient_id, 'sum', case when c.u is null then 'skipped' else 'complete' end, case when c.u is not null then {_ECHO} end, null, case when c.u is not null then 1 end, case when c.u is not null then greatest(1, length(c.u) // 4) end from g left join c on c.patient_id = g.patient_id""")
+def recipe_steps(spark: SparkSession, d: str) -> DataFrame:
+    """Three steps one after the other: rows of a table, which stop a patient who has none, an answer for each row, and one over both."""
+    from chartweave.plans.recipes import EchoProvider, parse_recipe
+    from chartweave.plans.runner import Corpus, run_recipes
+
+    orders = load(spark, d, "med_orders").where("patient_id is not null")
+    rows = {"table": "med_orders", "columns": ["medication", "route"], "max_rows": 2}
+    recipe = {"name": "tablets", "version": 1, "steps": [
+        {"id": "rows", "kind": "direct_parquet", **rows, "filter": "medication contains 'TABLET'", "stop_if": "data is null"},
+        {"id": "each", "kind": "map_table_rows_and_prompt", "prompt": "One answer per row.", **rows},
+        {"id": "sum", "kind": "llm_only", "prompt": "{{ rows }} / {{ each }}"},
+    ]}
+    groups = load(spark, d, "demographics").select("patient_id").where("patient_id is not null").distinct()
+    docs = spark.createDataFrame([], "patient_id string, chunk_id string, text string, title string, doc_type string, document_date string, author string, source string")
+    steps, _ = run_recipes({"tablets": parse_recipe(recipe)}, ["tablets"], Corpus("patient_id", groups, docs, {"med_orders": (orders, "row_id")}), EchoProvider(200_000))
+    return steps.select("patient_id", "step", "status", "data", "error", F.col("calls").cast("long").alias("calls"), F.col("input_tokens").cast("long").alias("input_tokens"))
+
+
 @query("select distinct row_id, medication, route from med_orders where contains(medication, 'TABLET')")
 def recipe_direct_rows(spark: SparkSession, d: str) -> DataFrame:
     from chartweave.plans.recipes import HANDLERS
