@@ -28,7 +28,7 @@ def budget(model_max: int, special_tokens: int, window: int | None = None) -> in
     return most if window is None else window
 
 
-def token_windows(df: DataFrame, keys: list[str], text: str, window: int, overlap: int, pattern: str = r"\S+") -> DataFrame:
+def token_windows(df: DataFrame, keys: list[str], text: str, window: int, overlap: int, pattern: str = r"\S+", first_only: bool = False) -> DataFrame:
     """``(*keys, chunk_idx, char_start, char_end, token_count, parent_tokens, num_chunks)`` of every non-blank text.
 
     Offsets are found in Arrow batches (one pass of the pattern over each text), whole texts of any length; no shuffle.
@@ -49,7 +49,7 @@ def token_windows(df: DataFrame, keys: list[str], text: str, window: int, overla
                 spans = [m.span() for m in find.finditer(t)]
                 n = len(spans)
                 k = 0 if not n else 1 if n <= window else -(-(n - window) // step) + 1
-                for c in range(k):
+                for c in range(min(k, 1) if first_only else k):
                     lo, hi = c * step, min(c * step + window, n)
                     row.append(i), idx.append(c), a.append(spans[lo][0]), z.append(spans[hi - 1][1]), count.append(hi - lo), parent.append(n), chunks.append(k)
             out = pdf[keys].iloc[row].reset_index(drop=True)
@@ -60,8 +60,7 @@ def token_windows(df: DataFrame, keys: list[str], text: str, window: int, overla
 
 def single_windows(df: DataFrame, keys: list[str], text: str, most: int) -> DataFrame:
     """One window per text, of its first ``most`` tokens: the no-chunker, whose cut is its purpose."""
-    every = token_windows(df, keys, text, most, 0)
-    return every.where(F.col("chunk_idx") == 0).withColumn("num_chunks", F.lit(1))
+    return token_windows(df, keys, text, most, 0, first_only=True).withColumn("num_chunks", F.lit(1))
 
 
 def addressed(windows: DataFrame, patient: str, stem: str, row: str) -> DataFrame:

@@ -252,7 +252,7 @@ def labelled_selections(selections: DataFrame, labels: DataFrame, on: tuple[str,
 
 def export_hash(spark: SparkSession, path: str) -> str:
     """sha256 over the names and contents of a table's files, hashed where they lie."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
     rows = sorted((r.n, r.h) for r in files.select(F.element_at(F.split("path", "/"), -1).alias("n"), F.sha2("content", 256).alias("h")).collect())
     return "sha256:" + hashlib.sha256("\n".join(f"{n} {h}" for n, h in rows).encode()).hexdigest()
 

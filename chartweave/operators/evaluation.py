@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartweave.functions.text import casefolded
 
@@ -172,6 +174,50 @@ def deep_diff(a: DataFrame, b: DataFrame, keys: list[str], path: str = "path", v
     return j.withColumn("change", change).where(F.col("change").isNotNull()).select(*keys, path, "left", "right", "change")
 
 
+def json_leaves(value: object, path: str = "$") -> dict[str, tuple[str, str | None]]:
+    """path -> (type, text) of every leaf; a list's length and an empty object are leaves of their own."""
+    if isinstance(value, dict):
+        out: dict[str, tuple[str, str | None]] = {} if value else {path: ("object", "{}")}
+        for k, v in value.items():
+            out |= json_leaves(v, f"{path}.{k}")
+        return out
+    if isinstance(value, list):
+        out = {f"{path}.length": ("length", str(len(value)))}
+        for i, v in enumerate(value):
+            out |= json_leaves(v, f"{path}[{i}]")
+        return out
+    kind = {str: "string", bool: "boolean", int: "number", float: "number", type(None): "null"}[type(value)]
+    return {path: (kind, None if value is None else value if isinstance(value, str) else json.dumps(value))}
+
+
+def json_diff(df: DataFrame, keys: list[str], left: str, right: str) -> DataFrame:
+    """``(*keys, path, left, right, change)`` of two JSON columns: added, removed, changed, type_changed or length_changed leaves.
+    A side that is null or no JSON has the value null."""
+    schema = T.StructType([*(df.schema[k] for k in keys), *(T.StructField(n, T.StringType()) for n in ("path", "left", "right", "change"))])
+
+    def leaves(text: str | None) -> dict[str, tuple[str, str | None]]:
+        try:
+            return json_leaves(None if text is None else json.loads(text))
+        except ValueError:
+            return json_leaves(None)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            at, rows = [], []
+            for i, (x, y) in enumerate(zip(pdf["__l"], pdf["__r"])):
+                a, b = leaves(x), leaves(y)
+                for path in sorted(a.keys() | b.keys()):
+                    p, q = a.get(path), b.get(path)
+                    if p == q:
+                        continue
+                    change = "added" if p is None else "removed" if q is None else "length_changed" if p[0] == q[0] == "length" else "type_changed" if p[0] != q[0] else "changed"
+                    at.append(i)
+                    rows.append((path, p and p[1], q and q[1], change))
+            yield pd.concat([pdf[keys].iloc[at].reset_index(drop=True), pd.DataFrame(rows, columns=["path", "left", "right", "change"])], axis=1)
+
+    return df.select(*keys, F.col(left).alias("__l"), F.col(right).alias("__r")).mapInPandas(run, schema)
+
+
 def flattened(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Records as ``(*keys, path, value)``, all values as text."""
     pairs = F.array(*[F.struct(F.lit(c).alias("path"), F.col(c).cast("string").alias("value")) for c in columns])

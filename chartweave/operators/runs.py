@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -17,6 +17,26 @@ def merged_log(fragments: list[DataFrame], canonical: Column | None = None) -> D
     return every.withColumn("__c", F.sha2(canonical, 256)).dropDuplicates(["__c"]).drop("__c")
 
 
+def read_log(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Fragments of JSON lines, each entry once, and ``(dropped)``: how many lines fit no entry."""
+    lines = spark.read.text(path).where(F.trim("value") != "").select(F.from_json("value", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("e"))
+    good = lines.where(F.col("e._bad").isNull()).select("e.*").drop("_bad")
+    return merged_log([good]), lines.agg(F.count_if(F.col("e._bad").isNotNull()).alias("dropped"))
+
+
+def in_order(log: DataFrame, ts: str, seq: str) -> DataFrame:
+    """A log in the order of its entries; the sort is by ranges, so no task holds more than its share."""
+    return log.orderBy(ts, seq)
+
+
+def rollup(log: DataFrame, entity: list[str], step: str, state: str, ts: str, seq: str, completed: str, failed: str, chunks: DataFrame | None = None) -> DataFrame:
+    """Per step: entities, those whose last state is completed or failed, the earliest and latest entry, and, from a table of
+    ``(step, chunks)`` sums, its chunks."""
+    last = log.groupBy(*entity, step).agg(F.max_by(state, F.struct(ts, seq)).alias("__last"), F.min(ts).alias("__first"), F.max(ts).alias("__latest"))
+    out = last.groupBy(step).agg(F.count("*").alias("entities"), F.count_if(F.col("__last") == completed).alias("completed"), F.count_if(F.col("__last") == failed).alias("failed"), F.min("__first").alias("earliest"), F.max("__latest").alias("latest"))
+    return out if chunks is None else out.join(chunks.groupBy(step).agg(F.sum("chunks").alias("chunks")), step, "left").withColumn("chunks", F.coalesce("chunks", F.lit(0)))
+
+
 def last_states(log: DataFrame, by: list[str], state: str, ts: str, seq: str) -> DataFrame:
     """The last state of each entity: latest timestamp, ties by the sequence column."""
     return log.groupBy(*by).agg(F.max_by(state, F.struct(ts, seq)).alias("last_state"), F.max(ts).alias("last_ts"), F.count("*").alias("transitions"))

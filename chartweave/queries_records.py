@@ -60,6 +60,15 @@ def source_parquet(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_source(spark, path + "/*.parquet")
 
 
+@query("select count(*) as rows, 3 as columns, count(*) filter (medication is null) as no_medication from med_orders")
+def sink_table_record(spark: SparkSession, d: str) -> DataFrame:
+    """The metadata row of a written table."""
+    path, o = scratch(spark, "recorded"), load(spark, d, "med_orders").select("row_id", "patient_id", "medication")
+    sinks.write_table(o, path)
+    none = spark.read.parquet(path).agg(F.count_if(F.col("medication").isNull()).alias("no_medication"))
+    return sinks.table_record(spark, path).select("rows", "columns", F.lit(none.first().no_medication).cast("long").alias("no_medication"))
+
+
 @query("""with f as (select distinct cast(row_id % 10 as varchar) as patient_id, 'table' || row_id % 3 as stem, case row_id % 2 when 0 then 'csv' else 'json' end as extension from demographics)
 select patient_id, stem, min(extension) as extension from f group by all""")
 def source_discover(spark: SparkSession, d: str) -> DataFrame:
@@ -87,10 +96,9 @@ def sink_compaction(spark: SparkSession, d: str) -> DataFrame:
 def sink_log(spark: SparkSession, d: str) -> DataFrame:
     """Two writers append to one log; entries that both wrote count once."""
     path, e = scratch(spark, "log"), load(spark, d, "events").select("event_id", "user_id", "event_type")
-    e.limit(0).write.mode("overwrite").parquet(path)
-    sinks.append_log(e.where(F.col("event_id") % 3 < 2), path)
-    sinks.append_log(e.where(F.col("event_id") % 3 > 0), path)
-    return runs.state_counts(runs.merged_log([spark.read.parquet(path)]), "user_id", "event_type")
+    sinks.append_log(e.where(F.col("event_id") % 3 < 2), path, "a")
+    sinks.append_log(e.where(F.col("event_id") % 3 > 0), path, "b")
+    return runs.state_counts(runs.merged_log([spark.read.parquet(path).drop("writer")]), "user_id", "event_type")
 
 
 @query("select query_id, variable, item_id from eval_passage")
@@ -499,6 +507,37 @@ def run_versioned_lookup(spark: SparkSession, d: str) -> DataFrame:
     return runs.versioned(wanted, known, "medication", "version", "code_hash").select("row_id", "code_hash")
 
 
+@query("""
+with l as (select user_id, event_id % 4 as step, arg_max(event_type, (ts, event_id)) as last_state, min(ts) as a, max(ts) as z from events group by all), c as (select event_id % 4 as step, sum(event_id % 7) as chunks from events group by 1)
+select l.step, count(*) as entities, count(*) filter (last_state = 'purchase') as completed, count(*) filter (last_state = 'error') as failed, cast(min(a) as varchar) as earliest, cast(max(z) as varchar) as latest, cast(max(c.chunks) as bigint) as chunks from l join c on c.step = l.step group by 1""")
+def run_rollup(spark: SparkSession, d: str) -> DataFrame:
+    e = load(spark, d, "events").withColumn("step", F.col("event_id") % 4)
+    out = runs.rollup(e, ["user_id"], "step", "event_type", "ts", "event_id", "purchase", "error", e.select("step", (F.col("event_id") % 7).alias("chunks")))
+    return out.withColumn("earliest", F.col("earliest").cast("timestamp_ntz").cast("string")).withColumn("latest", F.col("latest").cast("timestamp_ntz").cast("string"))
+
+
+@query("select count(*) filter (event_id % 10 = 3) as dropped, count(distinct event_id) filter (event_id % 10 <> 3) as entries from events")
+def run_read_log(spark: SparkSession, d: str) -> DataFrame:
+    """A log of JSON lines with broken ones and repeats."""
+    path, e = scratch(spark, "lines"), load(spark, d, "events")
+    line = F.when(F.col("event_id") % 10 == 3, "{broken").otherwise(F.to_json(F.struct("event_id", "event_type")))
+    e.select(line.alias("value")).write.mode("overwrite").text(path)
+    e.where(F.col("event_id") % 10 == 4).select(line.alias("value")).write.mode("append").text(path)
+    log, dropped = runs.read_log(spark, path, "event_id long, event_type string")
+    return dropped.select("dropped", F.lit(log.count()).cast("long").alias("entries"))
+
+
+@query("""
+select row_id, '$.a' as path, legal_sex as "left", language as "right", case when legal_sex is null or language is null then 'type_changed' else 'changed' end as change from demographics where legal_sex is distinct from language
+union all select row_id, '$.l.length', '1', '2', 'length_changed' from demographics union all select row_id, '$.l[1]', null, '2', 'added' from demographics
+union all select row_id, '$.n', cast(row_id as varchar), cast(row_id as varchar), 'type_changed' from demographics""")
+def diff_json(spark: SparkSession, d: str) -> DataFrame:
+    r, keep = F.col("row_id"), {"ignoreNullFields": "false"}
+    made = lambda a, l, n: F.to_json(F.struct(F.col(a).alias("a"), l.alias("l"), n.alias("n")), keep)  # noqa: E731, E741
+    g = load(spark, d, "demographics").select("row_id", made("legal_sex", F.array(F.lit(1)), r).alias("x"), made("language", F.array(F.lit(1), F.lit(2)), r.cast("string")).alias("y"))
+    return evaluation.json_diff(g, ["row_id"], "x", "y")
+
+
 @query("""
 with g as (select user_id, count(*) filter (event_type = 'purchase') as done, count(*) as total, avg(value) as s from events group by 1)
 select user_id, round((total - done) * s / 4, 3) as eta_seconds from g""")

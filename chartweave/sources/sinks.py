@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartweave.operators.deid import is_forbidden
+from chartweave.operators.deid import export_hash, is_forbidden
 from chartweave.operators.validation import canonical_hash, schema_errors
 
 CELL_LIMIT = 32_767
@@ -25,6 +25,15 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def table_record(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, rows, columns, files, bytes, content_hash)``: the metadata row of a table that was written.  Rows are counted from
+    the files' footers, the hash is over the names and contents of its files, each hashed where it lies."""
+    df = spark.read.parquet(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    total = files.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    return df.agg(F.count("*").alias("rows")).withColumn("__one", F.lit(1)).join(total.withColumn("__one", F.lit(1)), "__one").select(F.lit(path).alias("path"), "rows", F.lit(len(df.columns)).alias("columns"), "files", "bytes", F.lit(export_hash(spark, path)).alias("content_hash"))
+
+
 class _Stream:
     """A file to write to in the cluster's file system, for ``zipfile`` and ``json``; a megabyte goes out at a time."""
 
@@ -83,12 +92,13 @@ def touch(spark: SparkSession, files: DataFrame) -> None:
             f.write(r.content.encode())
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append_log(df: DataFrame, path: str, writer: str = "0") -> None:
+    """Entries join the fragment of their writer, so that writers never touch each other's files; reading the path gives all."""
+    df.write.mode("append").parquet(f"{path.rstrip('/')}/writer={writer}")
 
 
 def compacted(spark: SparkSession, shards: str, schema: T.StructType, path: str) -> dict:
-    """JSON-lines shards as one parquet table; lines that don't fit the schema are counted, not written."""
+    """JSON-lines shards as one parquet table with a manifest beside it; lines that don't fit the schema are counted, not written."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(shards).persist()
     try:
@@ -96,7 +106,10 @@ def compacted(spark: SparkSession, shards: str, schema: T.StructType, path: str)
         rows.where(F.col("_corrupt").isNull()).drop("_corrupt").write.mode("overwrite").parquet(path)
     finally:
         rows.unpersist()
-    return {"rows": n - bad, "failed": bad}
+    said = {"rows": n - bad, "failed": bad}
+    with published(spark, f"{path.rstrip('/')}.manifest.json") as f:
+        f.write(json.dumps(said | {"sha256": export_hash(spark, path)}, sort_keys=True).encode())
+    return said
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -51,7 +51,7 @@ def test_shards_logs_and_artifacts(spark, tmp_path):
     said = sinks.compacted(spark, str(tmp_path / "s"), T.StructType([T.StructField("a", T.LongType())]), str(tmp_path / "out"))
     assert said == {"rows": 2, "failed": 1} and spark.read.parquet(str(tmp_path / "out")).count() == 2
     df = spark.createDataFrame([(1,)], "a long")
-    sinks.append_log(df, str(tmp_path / "log")), sinks.append_log(df, str(tmp_path / "log"))
+    sinks.append_log(df, str(tmp_path / "log")), sinks.append_log(df, str(tmp_path / "log"), "b")
     assert spark.read.parquet(str(tmp_path / "log")).count() == 2
     e = sinks.write_artifact(str(tmp_path / "x" / "a.json"), "t", {"a": 1}, [], "now", {"type": "object", "required": ["a"]})
     assert json.loads((tmp_path / "x" / "a.json").read_text()) == e and e["content_hash"].startswith("sha256:")
