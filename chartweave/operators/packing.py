@@ -11,19 +11,23 @@ CEILING = 200_000
 DASH = "—"
 
 
-def block_header(rank: Column, chunk_id: Column, title: Column, doc_type: Column, date: Column, author: Column, source: Column, score: Column) -> Column:
-    """One line that names a block; a dash stands for what is missing."""
-    show = lambda c: F.coalesce(F.nullif(F.trim(c.cast("string")), F.lit("")), F.lit(DASH))
-    return F.concat_ws(" | ", F.concat(F.lit("["), rank.cast("string"), F.lit("] "), show(chunk_id)), show(title), show(doc_type), show(date), show(author), show(source), F.concat(F.lit("score="), F.coalesce(score.cast("decimal(18,3)").cast("string"), F.lit(DASH))))
+def block_header(rank: Column, chunk_id: Column, title: Column, doc_type: Column, date: Column, author: Column, linked: Column, source: Column, record: Column, chunk: Column, score: Column) -> Column:
+    """One line that names a block, as prompts refer to it; a dash stands for what is missing."""
+    show = lambda c: F.coalesce(F.nullif(c.cast("string"), F.lit("")), F.lit(DASH))
+    named = [F.concat(F.lit("[Evidence "), rank.cast("string")), F.concat(F.lit("chunk_id="), show(chunk_id))]
+    named += [F.concat(F.lit(f"{n}="), show(c)) for n, c in (("title", title), ("doc_type", doc_type), ("date", date), ("author", author), ("linked_author", linked))]
+    named += [show(source), F.concat(F.lit("record "), show(record)), F.concat(F.lit("chunk "), show(chunk)), F.concat(F.lit("score "), show(score.cast("decimal(18,3)")), F.lit("]"))]
+    return F.concat_ws(" | ", *named)
 
 
 def blocks(candidates: DataFrame, rank: str = "final_rank", text: str = "text", direct: DataFrame | None = None) -> DataFrame:
     """Candidates as blocks ``rendered`` with ``tokens``; those without text are dropped.  ``direct`` blocks (the same columns)
-    come before them (``ord`` 0 and 1)."""
+    come before them (``ord`` 0 and 1).  ``linked_author``, ``record_index`` and ``chunk_index`` may be missing."""
     every = candidates.withColumn("ord", F.lit(1))
     if direct is not None:
         every = direct.withColumn("ord", F.lit(0)).unionByName(every)
-    header = block_header(F.col(rank), F.col("chunk_id"), F.col("title"), F.col("doc_type"), F.col("document_date"), F.col("author"), F.col("source"), F.col("score"))
+    c = lambda n: F.col(n) if n in every.columns else F.lit(None)
+    header = block_header(F.col(rank), *map(c, ("chunk_id", "title", "doc_type", "document_date", "author", "linked_author", "source", "record_index", "chunk_index", "score")))
     made = every.where(~is_blank(F.col(text))).withColumn("rendered", F.concat(header, F.lit("\n"), F.col(text)))
     return made.withColumn("tokens", estimated_tokens(F.col("rendered")))
 

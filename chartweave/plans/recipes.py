@@ -268,7 +268,7 @@ class EchoProvider:
         tokens = max(1, (len(request.system) + len(request.user)) // 4)
         if tokens > self.ceiling:
             raise ValueError(f"a prompt of {tokens} tokens is over the ceiling of {self.ceiling}")
-        first = re.search(r"\[\d+\] (\S+)", request.user)
+        first = re.search(r"chunk_id=(\S+)", request.user)
         answer = {"value": hashlib.sha256((request.system + request.user).encode()).hexdigest()[:12], "evidence_chunk_id": first[1] if first else None}
         return Response(json.dumps(answer), False, tokens, 16)
 

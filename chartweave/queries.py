@@ -607,9 +607,9 @@ def _blocks(spark: SparkSession, d: str) -> DataFrame:
 
 
 _PACK = f"""{_TRIM}, bl as (
-  select source, doc_type, final_rank, '[' || final_rank || '] ' || chunk_id || ' | ' || coalesce(nullif(trim(title), ''), '—') || ' | ' || coalesce(nullif(trim(doc_type), ''), '—') || ' | '
-         || coalesce(nullif(trim(document_date), ''), '—') || ' | — | ' || coalesce(nullif(trim(source), ''), '—') as head, text, score from cf where regexp_matches(text, '\\S')),
-bk as (select *, head || ' | score=' || cast(cast(score as decimal(18, 3)) as varchar) || chr(10) || text as rendered from bl),
+  select source, doc_type, final_rank, '[Evidence ' || final_rank || ' | chunk_id=' || chunk_id || ' | title=' || coalesce(nullif(title, ''), '—') || ' | doc_type=' || coalesce(nullif(doc_type, ''), '—') || ' | date='
+         || coalesce(nullif(document_date, ''), '—') || ' | author=— | linked_author=— | ' || coalesce(nullif(source, ''), '—') || ' | record — | chunk — | score ' as head, text, score from cf where regexp_matches(text, '\\S')),
+bk as (select *, head || cast(cast(score as decimal(18, 3)) as varchar) || ']' || chr(10) || text as rendered from bl),
 bt as (select *, greatest(1, length(rendered) // 4) as tokens from bk)"""
 
 
@@ -1080,7 +1080,7 @@ def deid_month_stamp(spark: SparkSession, d: str) -> DataFrame:
 # --- recipes ---
 
 
-_ECHO = """'{"evidence_chunk_id": ' || coalesce('"' || nullif(regexp_extract(u, '\\[\\d+\\] (\\S+)', 1), '') || '"', 'null') || ', "value": "' || left(sha256(sys || u), 12) || '"}'"""
+_ECHO = """'{"evidence_chunk_id": ' || coalesce('"' || nullif(regexp_extract(u, 'chunk_id=(\\S+)', 1), '') || '"', 'null') || ', "value": "' || left(sha256(sys || u), 12) || '"}'"""
 
 
 # What the echoing provider says is a hash of the prompt, so SQL can say it, too.

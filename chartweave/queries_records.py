@@ -255,9 +255,9 @@ def rank_cross_encoder(spark: SparkSession, d: str) -> DataFrame:
 
 _ROWS = """
 b as (select site_code, row_id, 'medication: ' || medication || case when regexp_matches(route, '\\S') then chr(10) || 'route: ' || route else '' end as text, row_number() over (partition by site_code order by row_id) as rank from med_orders where regexp_matches(medication, '\\S') and site_code is not null),
-h as (select site_code, rank, 0 as ord, '[' || rank || '] ' || row_id || ' | — | builder_table | — | — | med_orders | score=1.000' || chr(10) || text as rendered from b where rank <= 3),
+h as (select site_code, rank, 0 as ord, '[Evidence ' || rank || ' | chunk_id=' || row_id || ' | title=— | doc_type=builder_table | date=— | author=— | linked_author=— | med_orders | record — | chunk — | score 1.000]' || chr(10) || text as rendered from b where rank <= 3),
 n as (select site_code, row_id, text, title, row_number() over (partition by site_code order by row_id) as rank from clinical_note where regexp_matches(text, '\\S') and site_code is not null),
-m as (select site_code, rank, 1 as ord, '[' || rank || '] ' || row_id || ' | ' || coalesce(nullif(trim(title), ''), '—') || ' | note | — | — | notes | score=0.500' || chr(10) || text as rendered from n where rank <= 2),
+m as (select site_code, rank, 1 as ord, '[Evidence ' || rank || ' | chunk_id=' || row_id || ' | title=' || coalesce(nullif(title, ''), '—') || ' | doc_type=note | date=— | author=— | linked_author=— | notes | record — | chunk — | score 0.500]' || chr(10) || text as rendered from n where rank <= 2),
 u as (select *, greatest(1, length(rendered) // 4) as tokens from (select * from h union all select * from m))"""
 
 

@@ -141,7 +141,7 @@ def test_packets(spark):
     df = spark.createDataFrame(rows, "q string, final_rank int, chunk_id string, text string, doc_type string, title string, document_date string, author string, source string, score double")
     made = packing.blocks(df)
     p = packing.packets(made, ["q"], ceiling=50).first()
-    assert p.n_blocks == 2 and p.status == "over_ceiling" and p.packet.startswith("[1] c1 | t | note | 2020-01-01 | — | s | score=1.235\ntext one\n\n[3] c3 | — |")
+    assert p.n_blocks == 2 and p.status == "over_ceiling" and p.packet.startswith("[Evidence 1 | chunk_id=c1 | title=t | doc_type=note | date=2020-01-01 | author=— | linked_author=— | s | record — | chunk — | score 1.235]\ntext one\n\n[Evidence 3 | chunk_id=c3 | title=— |")
     assert {r.doc_type for r in packing.tokens_by_type(made, ["q"]).collect()} == {"note", "unknown"}
     with pytest.raises(Exception, match="over its ceiling"):
         packing.refused(packing.packets(made, ["q"], ceiling=50)).collect()

@@ -144,7 +144,7 @@ def test_a_recipe_runs_and_every_setting_counts(spark):
     assert len(got) == 16
     assert {p: (got[p, "one", "find"].status, got[p, "one", "rows"].status) for p in "abcd"} == {"a": ("stopped", "skipped"), "b": ("complete", "complete"), "c": ("failed", "complete"), "d": ("complete", "complete")}
     saw = json.loads(got["a", "one", "find"].data)["saw"]
-    assert [line.split(" | ")[0].split("] ")[1] for line in saw.split("\n") if " | " in line] == ["a:orders:1:TABLE", "a:orders:3:TABLE", "2", "3"]
+    assert [line.split(" | ")[1].split("=")[1] for line in saw.split("\n") if " | " in line] == ["a:orders:1:TABLE", "a:orders:3:TABLE", "2", "3"]
     assert json.loads(got["b", "one", "rows"].data) == [{"row_id": 5, "drug": "drop"}, {"row_id": 6, "drug": "w pill"}] and got["d", "one", "find"].error == "empty_evidence"
     assert [x["row_id"] for x in json.loads(got["a", "two", "each"].data)] == [1, 2, 4]
     last = {(r.p, r.recipe): r for r in answers.collect()}
