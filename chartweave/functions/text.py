@@ -25,12 +25,11 @@ FOLD_MORE = {"ß": "ss", "ŉ": "ʼn", "ǰ": "ǰ", "և": "եւ", "ﬀ": "ff", "
 
 
 def casefolded(text: Column) -> Column:
-    """Lower case with the foldings beyond it that texts hold; only texts with such a character take the longer way."""
-    low = F.lower(text)
-    long = F.translate(low, "".join(FOLD_ONE), "".join(FOLD_ONE.values()))
-    for a, b in FOLD_MORE.items():
-        long = F.replace(long, F.lit(a), F.lit(b))
-    return F.when(low.rlike(f"[{''.join(FOLD_ONE)}{''.join(FOLD_MORE)}]"), long).otherwise(low)
+    """Lower case with the foldings beyond it that texts hold."""
+    out = F.lower(text)
+    for a, b in (FOLD_ONE | FOLD_MORE).items():
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
 
 
 def normalised(text: Column) -> Column:

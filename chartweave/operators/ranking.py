@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from chartweave.functions.dates import interval
 from chartweave.functions.text import is_blank, normalised, word_set
+from chartweave.session import spread
 
 WEIGHTS = {"prior_rank": 0.4, "overlap": 0.4, "source": 0.2}
 
@@ -61,7 +62,7 @@ def without_copies(candidates: DataFrame, by: list[str], text: str, rank: str =
 def copy_statistics(df: DataFrame, key: str, text: str, best: str) -> DataFrame:
     """Per text that occurs more than once: copies, dropped, the id kept (smallest by ``best``, then id) and a 12-digit hash.
     The copies of a text are combined before the shuffle."""
-    n = normalised(F.col(text))
+    n, df = normalised(F.col(text)), spread(df.select(key, text, best))
     g = df.where(~is_blank(F.col(text))).groupBy(F.sha2(n, 256).alias("h")).agg(F.count("*").alias("copies"), F.min(F.struct(best, key))[key].alias("kept_id"))
     return g.where("copies > 1").select(F.substring("h", 1, 12).alias("text_hash"), "copies", (F.col("copies") - 1).alias("dropped"), "kept_id")
 
