@@ -62,6 +62,17 @@ def accuracy(df: DataFrame, by: list[str], correct: str) -> DataFrame:
     return g.select(*by, "n", "k", F.when(F.col("n") > 0, F.round(F.col("k") / F.col("n"), 4)).alias("accuracy"), F.col("ci.low").alias("ci_low"), F.col("ci.high").alias("ci_high"), power(F.col("n"), F.col("ci.low"), F.col("ci.high")).alias("power"))
 
 
+def field_accuracy(corrections: DataFrame, confirmations: DataFrame, case: str, field: str, right: str, across_runs: bool = False) -> DataFrame:
+    """Per field: the corrected cases that name it, and every confirmed case without a correction, which agrees on all fields.
+    Across runs a confirmation counts for nothing but what was scored of it already, so none is added."""
+    fields = corrections.where(F.col(right).isNotNull()).groupBy(field).agg(F.count("*").alias("n"), F.count_if(F.col(right)).alias("k"))
+    agreed = confirmations.select(case).distinct().join(corrections.select(case), case, "left_anti").agg((F.lit(0) if across_runs else F.count("*")).cast("long").alias("c"))
+    both = fields.withColumn("__one", F.lit(1)).join(agreed.withColumn("__one", F.lit(1)), "__one")
+    g = both.select(field, (F.col("n") + F.col("c")).alias("n"), (F.col("k") + F.col("c")).alias("k"))
+    g = g.withColumn("ci", wilson(F.col("k"), F.col("n")))
+    return g.select(field, "n", "k", F.round(F.col("k") / F.col("n"), 4).alias("accuracy"), F.col("ci.low").alias("ci_low"), F.col("ci.high").alias("ci_high"), power(F.col("n"), F.col("ci.low"), F.col("ci.high")).alias("power"))
+
+
 def mismatch_patterns(df: DataFrame, patient: str, least: int = 2) -> DataFrame:
     """``(field, extracted, expected, patients, systematic)``: over distinct patients; combined before the shuffle."""
     g = df.groupBy("field", "extracted", "expected").agg(F.count_distinct(patient).alias("patients"))

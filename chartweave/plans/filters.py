@@ -140,9 +140,15 @@ def with_template_values(df: DataFrame, f: Filter, values: DataFrame, on: list[s
 
 
 def stop_gate(df: DataFrame, expression: str) -> DataFrame:
-    """Rows that go on to the next step: those for which the stop expression isn't true.  Null counts as not true, and an
-    expression that can't be resolved stops nothing."""
+    """Rows that go on to the next step: those for which the stop expression isn't true.  Null counts as not true, an expression
+    that can't be resolved stops nothing, and a value that can't be cast or divided is null, so no row can fail the query."""
+    conf = df.sparkSession.conf
+    ansi = conf.get("spark.sql.ansi.enabled")
     try:
+        # an expression keeps the mode that it is resolved in
+        conf.set("spark.sql.ansi.enabled", "false")
         return df.where(~F.coalesce(F.expr(expression).cast("boolean"), F.lit(False)))
     except Exception:
         return df
+    finally:
+        conf.set("spark.sql.ansi.enabled", ansi)

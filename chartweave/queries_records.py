@@ -9,7 +9,7 @@ from chartweave.functions import dates, text
 from chartweave.operators import answers, chunks, deid, evaluation, ingest, intervals, packing, ranking, retrieval, runs, validation
 from chartweave.plans import filters, recipes
 from chartweave.plans.filters import Filter
-from chartweave.queries import _bm25, _docs, query
+from chartweave.queries import _WILSON, _bm25, _docs, query
 from chartweave.session import load, scratch
 from chartweave.sources import readers, sinks
 
@@ -468,6 +468,19 @@ def eval_corrections(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.latest_entries(o.select("patient_id", F.col("route").alias("field"), "row_id", F.col("frequency").alias("correct_value")), ["patient_id", "field"], "row_id", "correct_value")
 
 
+@query(f"""
+with c as (select patient_id, route as field, frequency = 'daily' or length(frequency) > 8 as ok from med_orders where patient_id is not null and route is not null),
+t as (select count(*) as m from (select distinct patient_id from demographics where patient_id is not null and patient_id not in (select patient_id from c))),
+a as (select field, count(ok) + max(m) as n, count(*) filter (ok) + max(m) as k from c, t where ok is not null group by 1), {_WILSON}
+select field, n, k, round(p, 4) as accuracy, lo as ci_low, hi as ci_high, case when n < 5 or hi - lo > 0.35 then 'underpowered' else 'adequate' end as power from u""")
+def eval_field_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    """Corrected cases count for the field they name, confirmed ones for every field."""
+    o = load(spark, d, "med_orders").where(F.col("patient_id").isNotNull() & F.col("route").isNotNull())
+    made = o.select("patient_id", F.col("route").alias("field"), ((F.col("frequency") == "daily") | (F.length("frequency") > 8)).alias("ok"))
+    people = load(spark, d, "demographics").where(F.col("patient_id").isNotNull())
+    return evaluation.field_accuracy(made, people, "patient_id", "field", "ok")
+
+
 @query("select site_code, patient_id, row_id, case when row_id % 2 = 0 then 1 else 0 end as label from demographics where row_id % 3 <> 0")
 def eval_feedback_labels(spark: SparkSession, d: str) -> DataFrame:
     r = F.col("row_id")

@@ -77,3 +77,11 @@ def test_dates_that_refuse(spark):
     assert df.select(dates.sort_key(F.col("a"), True)).first()[0] == 20200399
     c = spark.createDataFrame([("5/3/2021",), ("05/03/2021 14:05",), ("2021-05-03T14:05:06+02:00",), ("2021-05-03T14:05:06Z",), ("2021-13-03",), ("5/3/21",), ("word",), (None,)], "v string")
     assert [r[0] for r in c.select(dates.canonical(F.col("v"))).collect()] == ["2021-05-03", "2021-05-03T14:05:00+00:00", "2021-05-03T14:05:06+02:00", "2021-05-03T14:05:06+00:00", "2021-13-03", "5/3/21", "word", None]
+
+
+def test_a_stop_expression_never_fails_a_query(spark):
+    from chartweave.plans.filters import stop_gate
+
+    df = spark.createDataFrame([(1, "abc"), (2, "5"), (3, None), (4, "1")], "id int, v string")
+    assert sorted(r.id for r in stop_gate(df, "cast(v as int) > 3").collect()) == [1, 3, 4] and sorted(r.id for r in stop_gate(df, "1 / (id - 1) > 0.9").collect()) == [1, 3, 4]
+    assert stop_gate(df, "no_such_column > 1").count() == 4 and spark.conf.get("spark.sql.ansi.enabled") == "true"
