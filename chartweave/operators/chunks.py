@@ -121,6 +121,23 @@ def embedded(df: DataFrame, key: str, text: str, dim: int = 64, encode: Callable
     return df.select(key, text).mapInPandas(run, T.StructType([df.schema[key], T.StructField("embedding", T.ArrayType(T.FloatType()))]))
 
 
+def pooled(tokens: Column, mask: Column, how: str = "mean") -> Column:
+    """The vector of a text from those of its tokens (``array<array<float>>``), in doubles and of unit length: the mean over the
+    tokens whose mask isn't 0, or with ``cls`` the first one.  Without any such token it is null."""
+    wide = F.transform(tokens, lambda v: F.transform(v, lambda x: x.cast("double")))
+    if how == "cls":
+        v = F.get(wide, F.lit(0))
+    elif how == "mean":
+        shown = F.transform(F.filter(F.arrays_zip(wide.alias("v"), mask.alias("m")), lambda z: z["m"] != 0), lambda z: z["v"])
+        zero = F.transform(F.get(wide, F.lit(0)), lambda x: x * 0.0)
+        total = F.aggregate(shown, zero, lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
+        v = F.when(F.size(shown) > 0, total)
+    else:
+        raise ValueError(f"unknown pooling {how!r}; known: mean, cls")
+    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    return F.transform(v, lambda x: F.when(norm < 1e-12, x).otherwise(x / norm))
+
+
 def hashed_vectors(texts: list[str], dim: int) -> np.ndarray:
     import zlib
 

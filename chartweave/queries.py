@@ -113,7 +113,12 @@ def ingest_strip_empty(spark: SparkSession, d: str) -> DataFrame:
     return ingest.strip_empty(load(spark, d, "demographics"), OPTIONAL).select("row_id", "patient_id")
 
 
-_NULLS = ", ".join(f"'{t}'" for t in text.NULL_TOKENS)
+# The SQL has patterns and lists of its own, so that a slip in the operators' shows.
+_NULLS = "'', 'NA', 'N/A', 'n/a', 'na', 'null', 'NULL', 'None', 'none', 'nan', 'NaN', 'NAN'"
+_CLOCK = r"([T ][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?"
+_SHAPE = rf"^\s*([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{1,2}}/[0-9]{{1,2}}/([0-9]{{2}}|[0-9]{{4}})){_CLOCK}\s*$"
+_SHORT_YEAR = r"^\s*[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}(\s.*)?$"
+_SAFE = "^[A-Za-z0-9][A-Za-z0-9._-]{0,127}$"
 
 
 @query(f"""
@@ -144,14 +149,14 @@ _LONG = lambda cols, t, row="row_id": " union all ".join(f"""select {row} as r,
 
 @query(f"""
 with l as ({_LONG(SHAPED, 'demographics')}), f as (select *, row_number() over (partition by "column" order by r) as n from l)
-select "column", count(*) as sampled, count(*) filter (regexp_matches(value, '{dates.DATE_SHAPE}')) as shaped,
-       count(*) filter (regexp_matches(value, '{dates.DATE_SHAPE}')) >= count(*) * 0.6 as is_date from f where n <= 100 group by 1""")
+select "column", count(*) as sampled, count(*) filter (regexp_matches(value, '{_SHAPE}')) as shaped,
+       count(*) filter (regexp_matches(value, '{_SHAPE}')) >= count(*) * 0.6 as is_date from f where n <= 100 group by 1""")
 def ingest_date_column_detect(spark: SparkSession, d: str) -> DataFrame:
     return ingest.date_columns(load(spark, d, "demographics"), "row_id", SHAPED)
 
 
 @query(f"""
-with l as ({_LONG(['date', 'age'], 'clinical_note')}), c as (select "column", value, count(*) as n from l where regexp_matches(value, '{dates.TWO_DIGIT_YEAR}') group by all),
+with l as ({_LONG(['date', 'age'], 'clinical_note')}), c as (select "column", value, count(*) as n from l where regexp_matches(value, '{_SHORT_YEAR}') group by all),
 r as (select *, row_number() over (partition by "column" order by value) as k from c)
 select "column", cast(sum(n) as bigint) as offenders, string_agg(value, '; ' order by value) filter (k <= 5) as examples from r group by 1""")
 def ingest_two_digit_year(spark: SparkSession, d: str) -> DataFrame:
@@ -181,8 +186,8 @@ with i as (
   select patient_id, row_id, 'blank_text' as issue, false as blocking from clinical_note where text is null or not regexp_matches(text, '\S')
   union all select patient_id, row_id, 'no_date', false from clinical_note where "date" is null or not regexp_matches("date", '\S')
   union all select patient_id, row_id, 'no_author', false from clinical_note where author is null or not regexp_matches(author, '\S')
-  union all select patient_id, row_id, 'two_digit_year', true from clinical_note where regexp_matches("date", '{dates.TWO_DIGIT_YEAR}')
-  union all select patient_id, row_id, 'unsafe_id', true from clinical_note where not coalesce(regexp_matches(patient_id, '{ingest.SAFE_ID}'), false)),
+  union all select patient_id, row_id, 'two_digit_year', true from clinical_note where regexp_matches("date", '{_SHORT_YEAR}')
+  union all select patient_id, row_id, 'unsafe_id', true from clinical_note where not coalesce(regexp_matches(patient_id, '{_SAFE}'), false)),
 g as (select patient_id, issue, blocking, count(*) as occurrences, min(row_id) as first_row from i group by all)"""
 
 
@@ -211,7 +216,7 @@ def ingest_orphans(spark: SparkSession, d: str) -> DataFrame:
     return ingest.orphans(derived, load(spark, d, "demographics"), ["patient_id"])
 
 
-@query(f"select title, count(*) as rows from clinical_note group by 1 having not coalesce(regexp_matches(title, '{ingest.SAFE_ID}'), false)")
+@query(f"select title, count(*) as rows from clinical_note group by 1 having not coalesce(regexp_matches(title, '{_SAFE}'), false)")
 def ingest_unsafe_ids(spark: SparkSession, d: str) -> DataFrame:
     return ingest.unsafe_ids(load(spark, d, "clinical_note"), "title")
 
@@ -300,12 +305,33 @@ def chunk_metadata(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-with n as (select label, sqrt(list_dot_product(cast(embedding as double[]), cast(embedding as double[]))) as norm, embedding is null as missing from embeddings)
-select label, count(*) as rows, count(*) filter (missing) as missing, cast(0 as bigint) as nan, cast(0 as bigint) as infinite, count(*) filter (norm < 1e-12) as zero,
-       count(*) filter (norm >= 1e-12 and abs(norm - 1) > 1e-3) as off_norm,
-       count(*) filter (missing or norm < 1e-12 or abs(norm - 1) > 1e-3) = 0 as ok from n group by 1""")
+with n as (select label, sqrt(list_dot_product(cast(embedding as double[]), cast(embedding as double[]))) as norm, embedding is null as missing,
+             coalesce(len(list_filter(embedding, lambda x: isnan(x))) > 0, false) as nan, coalesce(len(list_filter(embedding, lambda x: isinf(x))) > 0, false) as inf from (
+    select label, case when vec_id % 11 = 3 then list_transform(embedding, lambda x: x * 'nan'::float) when vec_id % 11 = 5 then list_transform(embedding, lambda x: 'inf'::float) when vec_id % 11 = 7 then list_transform(embedding, lambda x: 0::float) when vec_id % 11 = 8 then list_transform(embedding, lambda x: x * 2) when vec_id % 11 = 9 then null else embedding end as embedding from embeddings))
+select label, count(*) as rows, count(*) filter (missing) as missing, count(*) filter (nan) as nan, count(*) filter (inf) as infinite, count(*) filter (not nan and norm < 1e-12) as zero,
+       count(*) filter (not nan and not inf and norm >= 1e-12 and abs(norm - 1) > 1e-3) as off_norm,
+       count(*) filter (missing or nan or inf or norm < 1e-12 or abs(norm - 1) > 1e-3) = 0 as ok from n group by 1""")
 def embed_validate(spark: SparkSession, d: str) -> DataFrame:
-    return chunks.embedding_report(load(spark, d, "embeddings"), "label")
+    """Vectors of which some are spoilt in each way."""
+    e, k = F.col("embedding"), F.col("vec_id") % 11
+    each = lambda f: F.transform(e, lambda x: f(x).cast("float"))
+    spoilt = F.when(k == 3, each(lambda x: x * float("nan"))).when(k == 5, each(lambda x: F.lit(float("inf")))).when(k == 7, each(lambda x: F.lit(0.0))).when(k == 8, each(lambda x: x * 2)).when(k != 9, e)
+    return chunks.embedding_report(load(spark, d, "embeddings").withColumn("embedding", spoilt), "label")
+
+
+@query("""
+with t as (select vec_id // 8 as text_id, vec_id, cast(embedding as double[]) as v, vec_id % 3 <> 0 as shown from embeddings),
+x as (select text_id, vec_id, shown, generate_subscripts(v, 1) as i, unnest(v) as x from t),
+m as (select text_id, i, avg(x) filter (shown) as mean, arg_min(x, vec_id) as first from x group by all),
+n as (select text_id, sqrt(sum(mean * mean)) as a, sqrt(sum(first * first)) as b from m group by 1)
+select m.text_id, round(sum(mean / a * i), 4) as mean_pooled, round(sum(first / b * i), 4) as cls_pooled from m join n on n.text_id = m.text_id group by 1""")
+def embed_pooling(spark: SparkSession, d: str) -> DataFrame:
+    """Eight vectors as the tokens of a text, some of them masked, pooled to one of unit length."""
+    t = load(spark, d, "embeddings").groupBy(F.floor(F.col("vec_id") / 8).alias("text_id")).agg(F.sort_array(F.collect_list(F.struct("vec_id", "embedding"))).alias("t"))
+    t = t.select("text_id", F.transform("t", lambda x: x["embedding"]).alias("tokens"), F.transform("t", lambda x: (x["vec_id"] % 3 != 0).cast("int")).alias("mask"))
+    told = lambda v: F.round(F.aggregate(F.transform(v, lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x), 4)
+    made = t.select("text_id", chunks.pooled(F.col("tokens"), F.col("mask")).alias("a"), chunks.pooled(F.col("tokens"), F.col("mask"), "cls").alias("b"))
+    return made.select("text_id", told(F.col("a")).alias("mean_pooled"), told(F.col("b")).alias("cls_pooled"))
 
 
 @query()
