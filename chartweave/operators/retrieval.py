@@ -101,7 +101,8 @@ def bm25_queries(docs: DataFrame, group: str, key: str, text: str, queries: Data
     """The same for a table of queries: ``(query_key, group, chunk_id, rank, score)``, each query asked in every group.
 
     The queries' distinct words are joined to the postings of the texts and to the groups' vocabularies, so the corpus is read
-    twice however many queries there are.  Null and wordless queries find nothing.
+    twice however many queries there are.  Null and wordless queries find nothing.  Where ``query_key`` is ``group``, each group
+    has a query of its own, which is asked in it alone.
     """
     docs = spread(docs.select(group, key, text))
     asked = queries.select(F.col(query_key), F.explode(ascii_tokens(F.col(question))).alias("__word")).groupBy(query_key, "__word").agg(F.count("*").alias("__times"))
@@ -120,9 +121,10 @@ def bm25_queries(docs: DataFrame, group: str, key: str, text: str, queries: Data
     postings = postings.groupBy(group, "chunk_id", "__len", "__word").agg(F.count("*").alias("__tf"))
     t = F.col("__tf")
     part = F.col("__idf") * t * (k1 + 1) / (t + k1 * (1 - b + b * F.col("__len") / F.col("__avgdl")))
-    scored = postings.join(weights, [group, "__word"]).select(group, "chunk_id", "__word", part.alias("__part")).join(asked, "__word")
-    scores = scored.groupBy(query_key, group, "chunk_id").agg(F.sum(F.col("__times") * F.col("__part")).alias("score")).where("score > 0")
-    return ranked(scores, [query_key, group], [F.round("score", 9).desc(), F.asc("chunk_id")], k).withColumn("retriever", F.lit("bm25"))
+    by = list(dict.fromkeys([query_key, group]))
+    scored = postings.join(weights, [group, "__word"]).select(group, "chunk_id", "__word", part.alias("__part")).join(asked, ["__word"] if query_key != group else [group, "__word"])
+    scores = scored.groupBy(*by, "chunk_id").agg(F.sum(F.col("__times") * F.col("__part")).alias("score")).where("score > 0")
+    return ranked(scores, by, [F.round("score", 9).desc(), F.asc("chunk_id")], k).withColumn("retriever", F.lit("bm25"))
 
 
 def knn(spark: SparkSession, vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str, k: int, exclude_self: bool = True) -> DataFrame:

@@ -23,7 +23,7 @@ STEP_KEYS = {"id", "kind", "prompt", "retrieval", "reranking", "filters", "table
 #: What a step of each kind reads beside its id, kind and ``stop_if``; anything else would be without effect and is refused.
 _ROWS = {"table", "filter", "columns", "max_rows"}
 READS = {"retrieve_and_prompt": {"prompt", "retrieval", "reranking", "filters", "also_include_tables"}, "map_table_rows_and_prompt": _ROWS | {"prompt"}, "llm_only": {"prompt"}, "direct_parquet": _ROWS, "python": _ROWS | {"function", "schema"}}
-RETRIEVAL = {"bm25": {"kind", "query", "k"}, "exact": {"kind", "query", "k"}, "hybrid": {"kind", "query", "k", "members", "method", "weights"}}
+RETRIEVAL = {"bm25": {"kind", "query", "query_from", "k"}, "exact": {"kind", "query", "k"}, "hybrid": {"kind", "query", "k", "members", "method", "weights"}}
 TABLE_KEYS = {"name", "filter", "columns", "max_rows"}
 RECIPE_KEYS = {"name", "version", "archetype", "depends_on", "steps", "draft", "output_schema", "validation"}
 ARCHETYPES = {"single_value", "list_of_records", "table_lookup"}
@@ -80,7 +80,7 @@ def parse_recipe(raw: dict, folder: str | None = None) -> Recipe:
             raise ValueError(f"unknown kind {s['kind']!r}; known: {sorted(HANDLERS)}")
         if unread := set(s) - READS.get(s["kind"], STEP_KEYS) - {"id", "kind", "stop_if"}:
             raise ValueError(f"a step of kind {s['kind']} doesn't read {sorted(unread)}")
-        if (r := s.get("retrieval")) is not None and (r.get("kind") not in RETRIEVAL or not {"query"} <= set(r) <= RETRIEVAL[r["kind"]]):
+        if (r := s.get("retrieval")) is not None and (r.get("kind") not in RETRIEVAL or len({"query", "query_from"} & set(r)) != 1 or not set(r) <= RETRIEVAL[r["kind"]]):
             raise ValueError(f"step {s['id']}: retrieval is a query by one of {sorted(RETRIEVAL)} with its own keys, not {r}")
         for t in s.get("also_include_tables", []):
             if not {"name"} <= set(t) <= TABLE_KEYS:

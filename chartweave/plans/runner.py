@@ -49,19 +49,25 @@ def evidence(corpus: Corpus, live: DataFrame, settings: dict) -> DataFrame:
     """Retrieved, filtered, reranked and packed: ``(group, packet, shown)``, null where a group has no evidence.  Rows of
     ``also_include_tables`` come first; a table that isn't there is left out."""
     g, r = corpus.group, settings["retrieval"]
-    docs, query, k = corpus.docs.join(live.select(g), g, "left_semi"), r["query"], int(r.get("k", 10))
+    docs, query, k, own = corpus.docs.join(live.select(g), g, "left_semi"), r.get("query"), int(r.get("k", 10)), r.get("query_from")
     one = {"bm25": retrieval.bm25, "exact": retrieval.exact}
-    if r["kind"] == "hybrid":
+    if own and own not in live.columns:
+        raise ValueError(f"query_from: no earlier step or recipe {own!r}")
+    if own:  # each group asks what an earlier step or recipe answered for it
+        asked = live.select(g, F.col(own).alias("__query"))
+        found = retrieval.bm25_queries(docs, g, "chunk_id", "text", asked, g, "__query", k)
+    elif r["kind"] == "hybrid":
         names, deep = r.get("members", ["bm25", "exact"]), retrieval.member_depth(k)
         members, _ = retrieval.run_members([(n, lambda n=n: one[n](docs, g, "chunk_id", "text", query, deep)) for n in names], cut_lineage)
         found = retrieval.fused(members, [g], k, r.get("method", "reciprocal_rank"), r.get("weights"))
     else:
         found = one[r["kind"]](docs, g, "chunk_id", "text", query, k)
     found = found.join(docs, [g, "chunk_id"])
+    found = found.join(asked, g) if own else found
     if settings.get("filters"):
         found = filters.kept(found, [Filter(f["field"], f["op"], f["value"], f.get("keep_if_missing", False)) for f in settings["filters"]], filters.KINDS)
     over = settings.get("reranking", {})
-    found = ranking.rerank(found, [g], F.lit(query), "text", "doc_type", "document_date", int(over.get("top_n", k)), chronological=bool(over.get("chronological_order")))
+    found = ranking.rerank(found, [g], F.col("__query") if own else F.lit(query), "text", "doc_type", "document_date", int(over.get("top_n", k)), chronological=bool(over.get("chronological_order")))
     columns = list(dict.fromkeys([g, "chunk_id", "text", "title", "doc_type", "document_date", "author", "source", "score", "final_rank", "read_pos"]))
     found, direct = found.withColumn("chunk_id", F.col("chunk_id").cast("string")).select(*columns), None
     for at, spec in enumerate(settings.get("also_include_tables", [])):

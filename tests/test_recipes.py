@@ -158,6 +158,25 @@ def test_keys_that_a_kind_does_not_read_are_refused():
             R.parse_recipe(_raw(steps=[{"id": "a"} | step]))
 
 
+def test_each_group_asks_its_own_query(spark):
+    from chartweave.plans.runner import Corpus, run_recipes
+
+    docs = spark.createDataFrame([(g, f"{g}{k}", t) for g, ts in {"a": ["ankle pain", "cough again", "sleep well"], "b": ["ankle pain", "cough again", "sleep well"], "c": ["ankle pain"]}.items() for k, t in enumerate(ts)], "g string, chunk_id string, text string")
+    docs = docs.selectExpr("g", "chunk_id", "text", "null as title", "null as doc_type", "null as document_date", "null as author", "'s' as source").selectExpr("g", "chunk_id", "text", *[f"cast({c} as string) as {c}" for c in ("title", "doc_type", "document_date", "author", "source")])
+    asks = spark.createDataFrame([("a", 1, "ankle"), ("b", 2, "cough"), ("c", 3, "nothing here")], "g string, id int, topic string")
+
+    class Says:
+        def chat(self, request):
+            return R.Response(json.dumps({"value": request.user.split("\n")[-1], "evidence_chunk_id": None}))
+
+    steps = [{"id": "topic", "kind": "direct_parquet", "table": "asks", "columns": ["topic"]}, {"id": "find", "kind": "retrieve_and_prompt", "prompt": "p", "retrieval": {"kind": "bm25", "query_from": "topic", "k": 1}}]
+    log, _ = run_recipes({"r": R.parse_recipe({"name": "r", "version": 1, "steps": steps})}, ["r"], Corpus("g", docs.select("g").distinct(), docs, {"asks": (asks, "id")}), Says())
+    assert {r.g: r.data and json.loads(r.data)["value"] for r in log.where("step = 'find'").collect()} == {"a": "ankle pain", "b": "cough again", "c": None}
+    for bad in ({"kind": "bm25"}, {"kind": "bm25", "query": "x", "query_from": "y"}, {"kind": "exact", "query_from": "y"}):
+        with pytest.raises(ValueError, match="retrieval"):
+            R.parse_recipe({"name": "r", "version": 1, "steps": [steps[1] | {"retrieval": bad}]})
+
+
 def test_a_cached_provider_is_asked_once(spark, tmp_path):
     from chartweave.sources.sinks import ResponseCache
 
